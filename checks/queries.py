@@ -1,0 +1,351 @@
+"""Every report and operator bound to the test data, one query each."""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.derived import Derived
+from checks.expected import AS_OF, CAPTURED_AT, HOST, RUN_ID
+from estatelens import operators as ops
+from estatelens import plans
+from estatelens.functions import (
+    ascending,
+    band_rank,
+    concat_text,
+    hour_label,
+    lookup_type,
+    safe_ratio,
+)
+from estatelens.plans.seeds import IO_REQUESTS, SPEC_OF_BODY
+from estatelens.session import shared_folder
+from estatelens.sources import checksum_manifest, read_rowset, write_rowset
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+DETECTORS = (
+    plans.Detector(
+        "Promotional objects",
+        "dba_objects",
+        "HIGH",
+        ("owner", "object_name"),
+        (("object_type", ("PROMO", "STANDARD")),),
+    ),
+    plans.Detector(
+        "Economy objects", "dba_objects", "MEDIUM", ("owner", "object_name"), (("object_type", ("ECONOMY",)),)
+    ),
+    plans.Detector(
+        "Absent objects", "dba_objects", "HIGH", ("owner", "object_name"), (("object_type", ("NO SUCH TYPE",)),)
+    ),
+)
+MORE_DETECTORS = (
+    plans.Detector("Partitioned tables", "dba_part_tables", "LOW", ("owner", "table_name")),
+    plans.Detector(
+        "Code referencing suppliers",
+        "dba_dependencies",
+        "MEDIUM",
+        ("owner", "name", "referenced_name"),
+        (
+            ("referenced_name", ("1", "2", "3", "4", "6", "7", "8", "9")),
+            ("referenced_owner", tuple(f"NATION_{i}" for i in range(13))),
+        ),
+        (".", ":"),
+    ),
+)
+
+
+def _feature_score(d: Derived) -> DataFrame:
+    return plans.feature_score(d.features(), d.rubric(), d.keys)
+
+
+def _iops(d: Derived) -> DataFrame:
+    return plans.iops_by_hour(d.snapshots(), d.sysstat(), AS_OF, d.keys)
+
+
+def _throughput(d: Derived) -> DataFrame:
+    return plans.throughput_by_hour(d.snapshots(), d.sysstat(), AS_OF, d.keys)
+
+
+def _top_waits(d: Derived) -> DataFrame:
+    return plans.top_waits(d.snapshots(), d.system_event(), AS_OF, d.keys)
+
+
+def _cpu_memory(d: Derived) -> DataFrame:
+    return plans.cpu_memory_by_snapshot(d.snapshots(), d.osstat(), d.pgastat(), AS_OF, d.keys)
+
+
+def _blockers(d: Derived) -> DataFrame:
+    catalog, detectors = {"dba_objects": d.objects()}, DETECTORS
+    if not d.fleet:
+        catalog |= {"dba_part_tables": d.part_tables(), "dba_dependencies": d.dependencies()}
+        detectors += MORE_DETECTORS
+    return plans.blocker_inventory(catalog, detectors, d.excluded(), d.keys)
+
+
+def _code_inventory(d: Derived) -> DataFrame:
+    return plans.code_inventory(d.users(), d.source())
+
+
+def _code_hotspots(d: Derived) -> DataFrame:
+    return plans.code_hotspots(d.users(), d.source(), d.dependencies())
+
+
+def _partition_topology(d: Derived) -> DataFrame:
+    return plans.partition_topology(d.users(), d.part_tables(), d.subpartitions(), d.tables())
+
+
+def _audit_policies(d: Derived) -> DataFrame:
+    return plans.audit_policies(d.users(), d.fine_grained(), d.unified(), d.enabled())
+
+
+def _fingerprint(d: Derived) -> DataFrame:
+    return plans.fingerprint(d.database(), d.instance(), d.cluster_instances(), d.parameters(), d.keys)
+
+
+def _manifest(d: Derived) -> DataFrame:
+    return plans.manifest(_fingerprint(d), RUN_ID, CAPTURED_AT, HOST)
+
+
+def _manifest_document(d: Derived) -> DataFrame:
+    return plans.manifest_document(_manifest(d))
+
+
+def _scorecard(d: Derived) -> DataFrame:
+    return plans.scorecard(_feature_score(d), _blockers(d), _manifest(d), d.keys)
+
+
+def _summary_document(d: Derived) -> DataFrame:
+    return plans.summary_document(_scorecard(d))
+
+
+def _file_checksums(d: Derived) -> DataFrame:
+    return checksum_manifest(d.spark, d.sf_dir)
+
+
+# -- single operators ---------------------------------------------------------------------------
+
+
+def _latest_per_key(d: Derived) -> DataFrame:
+    latest = ops.latest_per_key(d.features(), ["dbid", "name"], "last_sample_date", ["aux_count"])
+    return latest.select("dbid", "name", "last_sample_date", "aux_count", "detected_usages")
+
+
+def _rubric(d: Derived, **options: int) -> DataFrame:
+    default = {"target_score": "AMBER", "target_notes": "none"}
+    parts = d.base("part").select("p_partkey", "p_name")
+    return ops.rubric_join(parts, "p_name", d.rubric(), "feature_pattern", default, **options)
+
+
+def _rubric_shuffled(d: Derived) -> DataFrame:
+    return _rubric(d, broadcast_rows=0)
+
+
+def _order_by_band(d: Derived) -> DataFrame:
+    ranking = ("PROMO", "ECONOMY")
+    parts = d.base("part").select(
+        "p_partkey", "p_type", band_rank(F.col("p_type"), ranking, 3).alias("band_position")
+    )
+    return ops.order_by_band(parts, "p_type", ranking, then=["p_partkey"], otherwise=3)
+
+
+def _rolling_window(d: Derived) -> DataFrame:
+    return ops.rolling_window(d.snapshots(), "begin_interval_time", AS_OF)
+
+
+def _stat_pivot(d: Derived) -> DataFrame:
+    return ops.stat_pivot(d.sysstat(), ["snap_id", "instance_number", "dbid"], IO_REQUESTS)
+
+
+def _counter_delta(d: Derived) -> DataFrame:
+    facts = d.sysstat().select("instance_number", "stat_name", "snap_id", "value")
+    return ops.counter_delta(
+        facts, {"value": "delta"}, ["instance_number", "stat_name"], ["snap_id"], ops.snapshot_chunk(size=64)
+    )
+
+
+def _cents() -> Column:
+    return F.round(F.col("value") * 100).cast("bigint")
+
+
+def _counter_delta_long_partition(d: Derived) -> DataFrame:
+    """Two partitions hold all events."""
+    instance = ((F.col("user_id") % 2).cast("int") + 1).alias("instance_number")
+    events = d.base("events").select("event_id", instance, _cents().alias("cents"))
+    chunk = ops.snapshot_chunk("event_id", 4096)
+    return ops.counter_delta(events, {"cents": "delta"}, ["instance_number"], ["event_id"], chunk)
+
+
+def _hourly_rate(d: Derived) -> DataFrame:
+    events = d.base("events").select("event_type", "ts", _cents().alias("cents"), (F.col("user_id") % 60).alias("secs"))
+    rates = ops.hourly_rate(events, {"cents": "cents_per_sec"}, "secs", "ts", ["event_type"])
+    return rates.select("event_type", hour_label(F.col("hour_bucket")).alias("hour_utc"), "cents_per_sec")
+
+
+def _top_n(d: Derived) -> DataFrame:
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    lines = d.base("lineitem").select(*keys, "l_extendedprice")
+    return ops.top_n(lines, 25, [F.col("l_extendedprice").desc_nulls_last(), *ascending(*keys)])
+
+
+def _top_n_per_group(d: Derived) -> DataFrame:
+    orders = d.base("orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
+    order = [F.col("o_totalprice").desc_nulls_last(), *ascending("o_orderkey")]
+    return ops.top_n(orders, 25, order, by=["o_orderpriority"])
+
+
+def _safe_ratio(d: Derived) -> DataFrame:
+    price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    ratio = safe_ratio(price, F.col("l_linenumber") - 1, 7, 2).alias("ratio")
+    return d.base("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", ratio)
+
+
+def _sampled(d: Derived, keys: tuple[str, ...] = ()) -> DataFrame:
+    label = concat_text(F.col("owner"), ".", F.col("object_name"))
+    return ops.sampled_inventory(d.objects(), label, ["owner", "object_name"], keys)
+
+
+def _sampled_inventory(d: Derived) -> DataFrame:
+    return _sampled(d, ("object_type",))
+
+
+def _exclude_keys(d: Derived) -> DataFrame:
+    return ops.exclude_keys(d.objects(), "owner", d.excluded())
+
+
+def _restrict_to_keys(d: Derived) -> DataFrame:
+    lines = d.base("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
+    in_debt = d.base("supplier").where(F.col("s_acctbal") < 0).select("s_suppkey")
+    return ops.restrict_to_keys(lines, ["l_suppkey"], in_debt)
+
+
+def _unit_rollup(d: Derived) -> DataFrame:
+    lines = d.source().withColumnRenamed("type", "object_type")
+    names = ["object_count", "total_loc", "avg_loc", "max_loc"]
+    return ops.unit_rollup(lines, ["owner", "object_type", "name"], ["owner", "object_type"], names)
+
+
+def _fan_in(d: Derived) -> DataFrame:
+    return ops.fan_in(
+        d.dependencies(), ["referenced_owner", "referenced_type", "referenced_name"], ["owner", "name"]
+    )
+
+
+def _weighted_score(d: Derived) -> DataFrame:
+    """Every scored unit, where the report keeps the top ones."""
+    return plans.code_hotspots(d.users(), d.source(), d.dependencies(), n=None)
+
+
+def _normalise_key(d: Derived) -> DataFrame:
+    lookup = lookup_type(F.col("type"), SPEC_OF_BODY).alias("lookup_type")
+    return d.source().groupBy("owner", lookup).agg(F.count("*").alias("lines"))
+
+
+def _enrich(d: Derived) -> DataFrame:
+    customers = d.base("customer").select("c_custkey", "c_name")
+    totals = (
+        d.base("orders")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(F.count("*").alias("n_orders"), F.max("o_orderdate").alias("last_order"))
+    )
+    return ops.enrich(customers, totals, ["c_custkey"], counts=["n_orders"])
+
+
+def _union_tagged(d: Derived) -> DataFrame:
+    return ops.union_tagged(
+        [
+            (
+                "CUSTOMER",
+                d.base("customer"),
+                {"name": F.col("c_name"), "segment": F.col("c_mktsegment"), "balance": F.col("c_acctbal")},
+            ),
+            ("SUPPLIER", d.base("supplier"), {"name": F.col("s_name"), "balance": F.col("s_acctbal")}),
+        ],
+        {"name": "string", "segment": "string", "balance": "double"},
+        tag="party_type",
+    )
+
+
+def _enabled_flag(d: Derived) -> DataFrame:
+    return ops.enabled_flag(d.unified(), d.enabled(), ["policy_name"], "enabled_option", "enable")
+
+
+def _band_counts(d: Derived) -> DataFrame:
+    return ops.band_counts(d.base("part"), "p_type", {"PROMO": "promo", "ECONOMY": "economy"}, by=["p_brand"])
+
+
+def _csv_rowset(d: Derived) -> DataFrame:
+    """A report written as CSV to the shared folder and read back."""
+    report = _partition_topology(d)
+    path = f"{shared_folder(d.spark)}/rowsets/{uuid.uuid4()}"
+    write_rowset(report, path)
+    return read_rowset(d.spark, path, report.schema)
+
+
+_JOBS = {
+    "feature_score": _feature_score,
+    "iops_by_hour": _iops,
+    "throughput_by_hour": _throughput,
+    "top_waits": _top_waits,
+    "cpu_memory_by_snapshot": _cpu_memory,
+    "blocker_inventory": _blockers,
+    "code_inventory": _code_inventory,
+    "code_hotspots": _code_hotspots,
+    "partition_topology": _partition_topology,
+    "audit_policies": _audit_policies,
+    "fingerprint": _fingerprint,
+    "manifest_document": _manifest_document,
+    "scorecard": _scorecard,
+    "summary_document": _summary_document,
+    "file_checksums": _file_checksums,
+}
+
+_FLEET = {
+    "feature_score": _feature_score,
+    "iops_by_hour": _iops,
+    "throughput_by_hour": _throughput,
+    "top_waits": _top_waits,
+    "cpu_memory_by_snapshot": _cpu_memory,
+    "blocker_inventory": _blockers,
+    "fingerprint": _fingerprint,
+    "scorecard": _scorecard,
+}
+
+_OPERATORS = {
+    "latest_per_key": _latest_per_key,
+    "rubric_join": _rubric,
+    "rubric_join_shuffled": _rubric_shuffled,
+    "order_by_band": _order_by_band,
+    "rolling_window": _rolling_window,
+    "stat_pivot": _stat_pivot,
+    "counter_delta": _counter_delta,
+    "counter_delta_long_partition": _counter_delta_long_partition,
+    "hourly_rate": _hourly_rate,
+    "top_n": _top_n,
+    "top_n_per_group": _top_n_per_group,
+    "safe_ratio": _safe_ratio,
+    "sampled_inventory": _sampled_inventory,
+    "sampled_inventory_whole_table": _sampled,
+    "exclude_keys": _exclude_keys,
+    "restrict_to_keys": _restrict_to_keys,
+    "unit_rollup": _unit_rollup,
+    "fan_in": _fan_in,
+    "weighted_score": _weighted_score,
+    "normalise_key": _normalise_key,
+    "enrich": _enrich,
+    "union_tagged": _union_tagged,
+    "enabled_flag": _enabled_flag,
+    "band_counts": _band_counts,
+    "csv_rowset": _csv_rowset,
+}
+
+
+def _bound(build: Callable[[Derived], DataFrame], fleet: bool = False) -> Query:
+    return lambda spark, sf_dir: build(Derived(spark, sf_dir, fleet))
+
+
+def registered() -> dict[str, Query]:
+    queries = {name: _bound(build) for name, build in (_JOBS | _OPERATORS).items()}
+    return queries | {f"fleet_{name}": _bound(build, fleet=True) for name, build in _FLEET.items()}
