@@ -1,14 +1,14 @@
 """Catalog-shaped tables derived from the test data (FIXTURES.md, part B).
 
-``source_id`` columns (``fleet=True``) split the same rows into five sources.
+``fleet=True`` splits the same rows into five sources by a ``source_id`` column.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 
-from estatelens.functions import hour_bucket
 from estatelens.sources import literal_table
 
 SOURCE = "source_id"
@@ -20,286 +20,265 @@ RUBRIC = [
     ("Plate", "RED", "r2"),
 ]
 
+STAT_FACTORS = {
+    "physical read total IO requests": 1,
+    "physical write total IO requests": 2,
+    "physical read total bytes": 81920,
+    "physical write total bytes": 16384,
+    "redo size": 4096,
+    "user commits": 1,
+}
 
-def source_of(number: str) -> Column:
-    return F.concat(F.lit("S"), (F.col(number) % 5).cast("string"))
+_ROW = ("snap_id", "instance_number", "dbid")
 
 
 class Derived:
-    """The derived tables of one scale folder, each built on request."""
+    """The derived tables of one scale folder, each built on request and once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, fleet: bool = False) -> None:
         self.spark, self.sf_dir, self.fleet = spark, sf_dir, fleet
         self.keys = [SOURCE] if fleet else []
+        self.base = cache(self._base)
+        self.events = cache(self._events)
+        self.snapshots = cache(self._snapshots)
+        self.dependencies = cache(self._dependencies)
 
-    def base(self, table: str) -> DataFrame:
+    def _base(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
-    def _source(self, number: str) -> list[Column]:
-        return [source_of(number).alias(SOURCE)] if self.fleet else []
+    def _source(self, number: str) -> list[str]:
+        return [f"concat('S', CAST({number} % 5 AS STRING)) AS {SOURCE}"] if self.fleet else []
 
     # -- snapshot history ---------------------------------------------------------------------
 
-    def events(self) -> DataFrame:
-        half_hour = F.make_dt_interval(F.lit(0), F.lit(0), F.when(F.minute("ts") >= 30, 30).otherwise(0))
-        late = (F.minute("ts") >= 30).cast("int")
-        return self.base("events").select(
+    def _events(self) -> DataFrame:
+        seconds_into_hour = "make_dt_interval(0, 0, minute(ts), extract(SECOND FROM ts))"
+        return self.base("events").selectExpr(
             *self._source("user_id"),
-            ((F.col("user_id") % 2).cast("int") + 1).alias("instance_number"),
-            F.lit(1).cast("bigint").alias("dbid"),
-            (F.day("ts") * 48 + F.hour("ts") * 2 + late).cast("bigint").alias("snap_id"),
-            (hour_bucket(F.col("ts")) + half_hour).alias("begin_interval_time"),
-            (F.day("ts") >= 16).cast("int").alias("epoch_no"),
+            "CAST(user_id % 2 AS INT) + 1 AS instance_number",
+            "CAST(1 AS BIGINT) AS dbid",
+            "CAST(day(ts) * 48 + hour(ts) * 2 + IF(minute(ts) >= 30, 1, 0) AS BIGINT) AS snap_id",
+            f"ts - {seconds_into_hour} + make_dt_interval(0, 0, IF(minute(ts) >= 30, 30, 0)) AS begin_interval_time",
+            "IF(day(ts) >= 16, 1, 0) AS epoch_no",
             "event_type",
             "user_id",
-            F.round(F.col("value") * 100).cast("bigint").alias("cents"),
+            "CAST(round(value * 100) AS BIGINT) AS cents",
         )
 
-    def snapshots(self) -> DataFrame:
+    def _snapshots(self) -> DataFrame:
+        columns = [*self.keys, *_ROW, "begin_interval_time"]
         return (
             self.events()
-            .select(*self.keys, "snap_id", "instance_number", "dbid", "begin_interval_time")
+            .select(*columns)
             .distinct()
-            .withColumn(
-                "end_interval_time",
-                F.col("begin_interval_time") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(30)),
-            )
+            .selectExpr(*columns, "begin_interval_time + INTERVAL '30' MINUTE AS end_interval_time")
         )
 
-    def _running(self, value: Column, *series: str) -> Column:
+    def _running(self, value: str, *series: str) -> str:
         """A cumulative counter: restarts with ``epoch_no``. A series has one row per half hour."""
-        window = Window.partitionBy(*self.keys, "instance_number", *series, "epoch_no").orderBy("snap_id")
-        return F.sum(value).over(window).cast("bigint")
-
-    def _per_snapshot(self, *aggregates: Column, extra: tuple = ()) -> DataFrame:
-        keys = [*self.keys, "snap_id", "instance_number", "dbid", "epoch_no"]
-        return self.events().groupBy(*keys, *extra).agg(*aggregates)
+        partition = ", ".join([*self.keys, "instance_number", *series, "epoch_no"])
+        return f"CAST(sum({value}) OVER (PARTITION BY {partition} ORDER BY snap_id) AS BIGINT)"
 
     def sysstat(self) -> DataFrame:
-        factors = {
-            "physical read total IO requests": 1,
-            "physical write total IO requests": 2,
-            "physical read total bytes": 81920,
-            "physical write total bytes": 16384,
-            "redo size": 4096,
-            "user commits": 1,
-        }
-        stats = [F.struct(F.lit(s).alias("stat_name"), F.lit(k).alias("k")) for s, k in factors.items()]
-        rows = self._per_snapshot(F.sum("cents").alias("cents")).select("*", F.inline(F.array(*stats)))
-        gap = F.col("stat_name").like("physical write%") & (F.col("snap_id") % 11 == 0)
-        return rows.where(~gap).select(
-            *self.keys,
-            "snap_id",
-            "instance_number",
-            "dbid",
-            "stat_name",
-            self._running(F.col("cents") * F.col("k"), "stat_name").alias("value"),
+        stats = ", ".join(f"named_struct('stat_name', '{s}', 'k', {k})" for s, k in STAT_FACTORS.items())
+        rows = self.events().groupBy(*self.keys, *_ROW, "epoch_no").agg({"cents": "sum"})
+        return (
+            rows.selectExpr("*", f"inline(array({stats}))")
+            .where("NOT (stat_name LIKE 'physical write%' AND snap_id % 11 = 0)")
+            .selectExpr(*self.keys, *_ROW, "stat_name", f"{self._running('`sum(cents)` * k', 'stat_name')} AS value")
         )
 
     def system_event(self) -> DataFrame:
-        wait_class = (
-            F.when(F.col("event_type") == "signup", "Idle")
-            .when(F.col("event_type") == "error", None)
-            .when(F.col("event_type") == "click", "User I/O")
-            .otherwise("Concurrency")
-        )
-        rows = self._per_snapshot(
-            F.count("*").alias("n"),
-            F.sum(F.col("cents") * 1000).alias("micros"),
-            extra=("event_type", (F.col("user_id") % 9).alias("slot")),
-        )
-        return rows.select(
+        rows = self.events().selectExpr("*", "user_id % 9 AS slot", "cents * 1000 AS micros")
+        totals = rows.groupBy(*self.keys, *_ROW, "event_type", "slot", "epoch_no").agg({"micros": "sum", "*": "count"})
+        return totals.selectExpr(
             *self.keys,
-            "snap_id",
-            "instance_number",
-            "dbid",
-            F.concat("event_type", F.lit("-"), F.col("slot").cast("string")).alias("event_name"),
-            wait_class.alias("wait_class"),
-            self._running(F.col("n"), "event_type", "slot").alias("total_waits_fg"),
-            self._running(F.col("micros"), "event_type", "slot").alias("time_waited_micro_fg"),
+            *_ROW,
+            "concat(event_type, '-', CAST(slot AS STRING)) AS event_name",
+            """CASE event_type WHEN 'signup' THEN 'Idle' WHEN 'error' THEN NULL
+               WHEN 'click' THEN 'User I/O' ELSE 'Concurrency' END AS wait_class""",
+            f"{self._running('`count(1)`', 'event_type', 'slot')} AS total_waits_fg",
+            f"{self._running('`sum(micros)`', 'event_type', 'slot')} AS time_waited_micro_fg",
         )
 
     def osstat(self) -> DataFrame:
-        busy = F.col("event_type").isin("error", "click")
-        rows = self._per_snapshot(
-            F.sum(F.when(busy, F.col("cents")).otherwise(0)).alias("busy"),
-            F.sum(F.when(~busy, F.col("cents")).otherwise(0)).alias("idle"),
-        ).where(F.col("snap_id") % 13 != 0)
-        values = {"BUSY_TIME": "busy", "IDLE_TIME": "idle", "LOAD": "idle"}
-        stats = [F.struct(F.lit(s).alias("stat_name"), F.col(c).alias("v")) for s, c in values.items()]
-        return rows.select("*", F.inline(F.array(*stats))).select(
-            *self.keys,
-            "snap_id",
-            "instance_number",
-            "dbid",
-            "stat_name",
-            self._running(F.col("v"), "stat_name").alias("value"),
+        busy = "event_type IN ('error', 'click')"
+        rows = self.events().where("snap_id % 13 <> 0").selectExpr(
+            "*", f"IF({busy}, cents, 0) AS busy", f"IF(NOT {busy}, cents, 0) AS idle"
+        )
+        totals = rows.groupBy(*self.keys, *_ROW, "epoch_no").agg({"busy": "sum", "idle": "sum"})
+        stats = ", ".join(
+            f"named_struct('stat_name', '{s}', 'v', `sum({c})`)"
+            for s, c in {"BUSY_TIME": "busy", "IDLE_TIME": "idle", "LOAD": "idle"}.items()
+        )
+        return totals.selectExpr("*", f"inline(array({stats}))").selectExpr(
+            *self.keys, *_ROW, "stat_name", f"{self._running('v', 'stat_name')} AS value"
         )
 
     def pgastat(self) -> DataFrame:
-        rows = self.events().where(F.col("snap_id") % 17 != 0)
-        return (
-            rows.groupBy(*self.keys, "snap_id", "instance_number", "dbid")
-            .agg((F.max("cents") * 1000).alias("value"))
-            .withColumn("name", F.lit("total PGA allocated"))
+        rows = self.events().where("snap_id % 17 <> 0").groupBy(*self.keys, *_ROW).agg({"cents": "max"})
+        return rows.selectExpr(
+            *self.keys, *_ROW, "'total PGA allocated' AS name", "`max(cents)` * 1000 AS value"
         )
 
     # -- dictionary -----------------------------------------------------------------------------
 
     def features(self) -> DataFrame:
-        size, key = F.col("p_size"), F.col("p_partkey").cast("int")
-        day = lambda text, days: F.date_add(F.lit(text).cast("date"), days)
-        return self.base("part").select(
+        return self.base("part").selectExpr(
             *self._source("p_size"),
-            (size % 2).cast("bigint").alias("dbid"),
-            F.col("p_name").alias("name"),
-            F.when(F.col("p_type") == "PROMO", "TRUE").otherwise("FALSE").alias("currently_used"),
-            (size - 25).cast("bigint").alias("detected_usages"),
-            size.cast("bigint").alias("total_samples"),
-            F.when(size <= 40, day("2023-01-01", size)).alias("first_usage_date"),
-            day("2023-06-01", size).alias("last_usage_date"),
-            F.when(key % 7 != 0, day("2024-01-01", key)).alias("last_sample_date"),
-            F.col("p_partkey").alias("aux_count"),
+            "CAST(p_size % 2 AS BIGINT) AS dbid",
+            "p_name AS name",
+            "IF(p_type = 'PROMO', 'TRUE', 'FALSE') AS currently_used",
+            "CAST(p_size - 25 AS BIGINT) AS detected_usages",
+            "CAST(p_size AS BIGINT) AS total_samples",
+            "CASE WHEN p_size <= 40 THEN DATE '2023-01-01' + p_size END AS first_usage_date",
+            "DATE '2023-06-01' + p_size AS last_usage_date",
+            "CASE WHEN p_partkey % 7 <> 0 THEN DATE '2024-01-01' + CAST(p_partkey AS INT) END AS last_sample_date",
+            "p_partkey AS aux_count",
         )
 
     def rubric(self) -> DataFrame:
         return literal_table(self.spark, ["feature_pattern", "target_score", "target_notes"], RUBRIC)
 
     def objects(self) -> DataFrame:
-        return self.base("part").select(
+        return self.base("part").selectExpr(
             *self._source("p_size"),
-            F.when(F.col("p_partkey") % 97 != 0, F.col("p_brand")).alias("owner"),
-            F.concat("p_name", F.lit("#"), F.col("p_partkey").cast("string")).alias("object_name"),
-            F.col("p_type").alias("object_type"),
+            "IF(p_partkey % 97 = 0, NULL, p_brand) AS owner",
+            "concat(p_name, '#', CAST(p_partkey AS STRING)) AS object_name",
+            "p_type AS object_type",
         )
 
     def excluded(self) -> DataFrame:
         return literal_table(self.spark, ["owner_name"], [("Brand#1",), ("Brand#2",), ("Brand#3",)])
 
     def users(self) -> DataFrame:
-        return self.base("nation").select(
-            F.col("n_name").alias("username"),
-            F.when(F.col("n_regionkey") == 0, "Y").otherwise("N").alias("oracle_maintained"),
+        return self.base("nation").selectExpr(
+            "n_name AS username", "IF(n_regionkey = 0, 'Y', 'N') AS oracle_maintained"
         )
 
+    def _nations(self, key: str) -> DataFrame:
+        return self.base("nation").selectExpr(f"n_nationkey AS {key}", "n_name")
+
     def _suppliers(self) -> DataFrame:
-        nation = self.base("nation").select("n_nationkey", "n_name")
-        supplier = self.base("supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-        return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        return self.base("supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey")
 
-    def _customers(self) -> DataFrame:
-        nation = self.base("nation").select("n_nationkey", "n_name")
-        return self.base("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    def _with_nation(self, table: str, nation_key: str) -> DataFrame:
+        return self.base(table).join(self._nations(nation_key), nation_key)
 
     def source(self) -> DataFrame:
-        kind = (
-            F.when(F.col("l_returnflag") == "A", "PACKAGE")
-            .when(F.col("l_returnflag") == "R", "PACKAGE BODY")
-            .otherwise("FUNCTION")
-        )
-        lines = self.base("lineitem").join(self._suppliers(), F.col("l_suppkey") == F.col("s_suppkey"))
-        return lines.select(
-            F.col("n_name").alias("owner"), kind.alias("type"), F.col("l_suppkey").cast("string").alias("name")
+        return (
+            self.base("lineitem")
+            .join(self._suppliers(), "l_suppkey")
+            .join(self._nations("s_nationkey"), "s_nationkey")
+            .selectExpr(
+                "n_name AS owner",
+                "CASE l_returnflag WHEN 'A' THEN 'PACKAGE' WHEN 'R' THEN 'PACKAGE BODY' ELSE 'FUNCTION' END AS type",
+                "CAST(l_suppkey AS STRING) AS name",
+            )
         )
 
-    def dependencies(self) -> DataFrame:
-        lines = self.base("lineitem").where(F.col("l_suppkey") % 5 != 0)
-        orders = self.base("orders").select("o_orderkey", "o_custkey")
-        customers = self.base("customer").select("c_custkey", "c_name", "c_mktsegment")
-        joined = (
-            lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-            .join(self._suppliers(), F.col("l_suppkey") == F.col("s_suppkey"))
-        )
-        return joined.select(
-            F.col("c_mktsegment").alias("owner"),
-            F.col("c_name").alias("name"),
-            F.col("n_name").alias("referenced_owner"),
-            F.when(F.col("l_returnflag") == "A", "PACKAGE").otherwise("FUNCTION").alias("referenced_type"),
-            F.col("l_suppkey").cast("string").alias("referenced_name"),
+    def _dependencies(self) -> DataFrame:
+        orders = self.base("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
+        customers = self.base("customer").selectExpr("c_custkey AS o_custkey", "c_name", "c_mktsegment")
+        return (
+            self.base("lineitem")
+            .where("l_suppkey % 5 <> 0")
+            .join(orders, "l_orderkey")
+            .join(customers, "o_custkey")
+            .join(self._suppliers(), "l_suppkey")
+            .join(self._nations("s_nationkey"), "s_nationkey")
+            .selectExpr(
+                "c_mktsegment AS owner",
+                "c_name AS name",
+                "n_name AS referenced_owner",
+                "IF(l_returnflag = 'A', 'PACKAGE', 'FUNCTION') AS referenced_type",
+                "CAST(l_suppkey AS STRING) AS referenced_name",
+            )
         )
 
     def part_tables(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self._customers().select(
-            F.col("n_name").alias("owner"),
-            F.col("c_name").alias("table_name"),
-            F.when(key % 3 == 0, "RANGE").otherwise("LIST").alias("partitioning_type"),
-            F.col("c_mktsegment").alias("subpartitioning_type"),
-            F.when(key % 19 != 0, key % 50).alias("partition_count"),
-            (key % 4).alias("def_subpartition_count"),
-            F.when(key % 3 == 0, "1 DAY").alias("interval"),
-            F.when(key % 11 == 0, F.col("c_name")).alias("ref_ptn_constraint_name"),
+        return self._with_nation("customer", "c_nationkey").selectExpr(
+            "n_name AS owner",
+            "c_name AS table_name",
+            "IF(c_custkey % 3 = 0, 'RANGE', 'LIST') AS partitioning_type",
+            "c_mktsegment AS subpartitioning_type",
+            "CASE WHEN c_custkey % 19 <> 0 THEN c_custkey % 50 END AS partition_count",
+            "c_custkey % 4 AS def_subpartition_count",
+            "CASE WHEN c_custkey % 3 = 0 THEN '1 DAY' END AS interval",
+            "CASE WHEN c_custkey % 11 = 0 THEN c_name END AS ref_ptn_constraint_name",
         )
 
     def subpartitions(self) -> DataFrame:
-        orders = self.base("orders").select("o_custkey")
-        return orders.join(self._customers(), F.col("o_custkey") == F.col("c_custkey")).select(
-            F.col("n_name").alias("table_owner"), F.col("c_name").alias("table_name")
+        customers = self.base("customer").selectExpr("c_custkey AS o_custkey", "c_nationkey", "c_name AS table_name")
+        return (
+            self.base("orders")
+            .join(customers, "o_custkey")
+            .join(self._nations("c_nationkey"), "c_nationkey")
+            .selectExpr("n_name AS table_owner", "table_name")
         )
 
     def tables(self) -> DataFrame:
-        key, balance = F.col("c_custkey"), F.col("c_acctbal")
         return (
-            self._customers()
-            .where(key % 5 != 0)
-            .select(
-                F.col("n_name").alias("owner"),
-                F.col("c_name").alias("table_name"),
-                F.when(balance >= 0, F.round(balance).cast("bigint")).alias("num_rows"),
-                F.date_add(F.lit("2024-01-01").cast("date"), (key % 300).cast("int")).alias("last_analyzed"),
+            self._with_nation("customer", "c_nationkey")
+            .where("c_custkey % 5 <> 0")
+            .selectExpr(
+                "n_name AS owner",
+                "c_name AS table_name",
+                "CASE WHEN c_acctbal >= 0 THEN CAST(round(c_acctbal) AS BIGINT) END AS num_rows",
+                "DATE '2024-01-01' + CAST(c_custkey % 300 AS INT) AS last_analyzed",
             )
         )
 
     def fine_grained(self) -> DataFrame:
-        return self._suppliers().select(
-            F.col("n_name").alias("object_schema"),
-            F.col("s_name").alias("object_name"),
-            F.concat(F.lit("POL_"), F.col("s_suppkey").cast("string")).alias("policy_name"),
-            F.lit("COL").alias("policy_column"),
-            F.when(F.col("s_acctbal") < 0, "NO").otherwise("YES").alias("enable"),
-            F.lit("SELECT").alias("statement_types"),
-            F.lit("DB").alias("audit_trail"),
+        return self._with_nation("supplier", "s_nationkey").selectExpr(
+            "n_name AS object_schema",
+            "s_name AS object_name",
+            "concat('POL_', CAST(s_suppkey AS STRING)) AS policy_name",
+            "'COL' AS policy_column",
+            "IF(s_acctbal < 0, 'NO', 'YES') AS enable",
+            "'SELECT' AS statement_types",
+            "'DB' AS audit_trail",
         )
 
     def unified(self) -> DataFrame:
-        named, size = F.col("p_partkey") % 4 != 0, F.col("p_size")
-        prefix = F.when(size < 10, "ORA_").when(size < 12, "ORAX").otherwise("APP_")
-        return self.base("part").select(
-            F.when(named, F.col("p_brand")).alias("object_schema"),
-            F.when(named, F.col("p_name")).alias("object_name"),
-            F.concat(prefix, size.cast("string")).alias("policy_name"),
-            F.col("p_type").alias("audit_option"),
+        return self.base("part").selectExpr(
+            "CASE WHEN p_partkey % 4 <> 0 THEN p_brand END AS object_schema",
+            "CASE WHEN p_partkey % 4 <> 0 THEN p_name END AS object_name",
+            """concat(CASE WHEN p_size < 10 THEN 'ORA_' WHEN p_size < 12 THEN 'ORAX' ELSE 'APP_' END,
+               CAST(p_size AS STRING)) AS policy_name""",
+            "p_type AS audit_option",
         )
 
     def enabled(self) -> DataFrame:
-        size = F.col("p_size")
-        prefix = F.when(size < 12, "ORAX").otherwise("APP_")
         return (
             self.base("part")
-            .where(F.col("p_partkey") < 60)
-            .select(F.concat(prefix, size.cast("string")).alias("policy_name"), F.col("p_brand").alias("enabled_option"))
+            .where("p_partkey < 60")
+            .selectExpr(
+                "concat(IF(p_size < 12, 'ORAX', 'APP_'), CAST(p_size AS STRING)) AS policy_name",
+                "p_brand AS enabled_option",
+            )
         )
 
     # -- environment ----------------------------------------------------------------------------
 
     def database(self) -> DataFrame:
-        return self.base("region").select(
+        return self.base("region").selectExpr(
             *self._source("r_regionkey"),
-            F.col("r_name").alias("name"),
-            F.when(F.col("r_regionkey") % 2 == 0, "YES").otherwise("NO").alias("cdb"),
-            F.concat(F.lit("Platform "), F.col("r_name")).alias("platform_name"),
+            "r_name AS name",
+            "IF(r_regionkey % 2 = 0, 'YES', 'NO') AS cdb",
+            "concat('Platform ', r_name) AS platform_name",
         )
 
     def instance(self) -> DataFrame:
-        version = F.concat(F.lit("19."), (F.col("user_id") % 2 + 1).cast("string"))
-        return self.base("events").select(*self._source("user_id"), version.alias("version_full"))
+        version = "concat('19.', CAST(user_id % 2 + 1 AS STRING)) AS version_full"
+        return self.base("events").selectExpr(*self._source("user_id"), version)
 
     def cluster_instances(self) -> DataFrame:
-        return self.snapshots().select(*self.keys, F.col("instance_number").alias("inst_id")).distinct()
+        return self.snapshots().selectExpr(*self.keys, "instance_number AS inst_id").distinct()
 
     def parameters(self) -> DataFrame:
-        charset = F.when(F.col("c_custkey") % 2 == 0, "NLS_CHARACTERSET").otherwise("NLS_LANGUAGE")
-        return self.base("customer").select(
-            *self._source("c_custkey"), charset.alias("parameter"), F.col("c_mktsegment").alias("value")
+        return self.base("customer").selectExpr(
+            *self._source("c_custkey"),
+            "IF(c_custkey % 2 = 0, 'NLS_CHARACTERSET', 'NLS_LANGUAGE') AS parameter",
+            "c_mktsegment AS value",
         )

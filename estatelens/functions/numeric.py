@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Wide enough for a 64-bit counter times any rounding factor used here.
 WIDE = "decimal(38,0)"
+_LONG_HEADROOM = 2**61
 
 
 def non_negative_delta(current: Column, previous: Column) -> Column:
@@ -22,15 +23,24 @@ def safe_ratio(num: Column, den: Column | None = None, scale: int = 1, digits: i
     """``num / den / scale`` rounded half away from zero to ``digits`` decimals, as a double.
 
     NULL when ``den`` is 0 or NULL. ``num`` and ``den`` are integers, so the rounding is done
-    on integers; doubles would fall on either side of a tie.
+    on integers; doubles would fall on either side of a tie. Values near the end of the 64-bit
+    range take the slower decimal route.
     """
     power = 10**digits
-    divisor = F.nullif(F.lit(1) if den is None else den, F.lit(0)).cast(WIDE) * F.lit(scale).cast(WIDE)
-    dividend = num.cast(WIDE) * F.lit(2 * power).cast(WIDE)
+    den = F.lit(1).cast("bigint") if den is None else F.nullif(den, F.lit(0))
+    most_num, most_den = _LONG_HEADROOM // (2 * power), _LONG_HEADROOM // scale
+    fits_long = num.between(-most_num, most_num) & den.between(-most_den, most_den)
+    steps = F.when(fits_long, _rounded_quotient(num, den, power, scale)).otherwise(
+        _rounded_quotient(num.cast(WIDE), den.cast(WIDE), power, scale)
+    )
+    return steps / float(power)
+
+
+def _rounded_quotient(num: Column, den: Column, power: int, scale: int) -> Column:
+    dividend, divisor = num * (2 * power), den * scale
     size = F.abs(divisor)
-    steps = F.call_function("div", F.abs(dividend) + size, size * F.lit(2).cast(WIDE))
-    sign = F.signum(dividend) * F.signum(divisor)
-    return (sign * steps).cast("double") / F.lit(float(power))
+    steps = F.call_function("div", F.abs(dividend) + size, size * 2).cast("double")
+    return F.signum(num) * F.signum(den) * steps
 
 
 def rounded_mean(total: Column, n: Column) -> Column:

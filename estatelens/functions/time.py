@@ -23,21 +23,21 @@ def timestamp_literal(moment: datetime | str) -> Column:
     return F.lit(moment).cast(NTZ)
 
 
-def _whole_seconds(ts: Column) -> Column:
-    since_epoch = ts.cast(NTZ) - timestamp_literal("1970-01-01 00:00:00")
-    return since_epoch.cast("interval second").cast("bigint")
+def _seconds_since(ts: Column, start: Column) -> Column:
+    return (ts.cast(NTZ) - start).cast("interval second").cast("bigint")
 
 
 def seconds_between(begin: Column, end: Column) -> Column:
     """Seconds from ``begin`` to ``end`` after dropping the fraction of each side."""
-    return _whole_seconds(end) - _whole_seconds(begin)
+    epoch = timestamp_literal("1970-01-01 00:00:00")
+    return _seconds_since(end, epoch) - _seconds_since(begin, epoch)
 
 
 def hour_bucket(ts: Column) -> Column:
     """Start of the wall-clock hour that holds ``ts``."""
     ntz = ts.cast(NTZ)
-    seconds = F.extract(F.lit("SECOND"), ntz)
-    return ntz - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(ntz), seconds)
+    zero = F.lit(0)
+    return ntz - F.make_dt_interval(zero, zero, F.minute(ntz), F.extract(F.lit("SECOND"), ntz))
 
 
 def hour_label(bucket: Column) -> Column:

@@ -50,7 +50,7 @@ def stat_pivot(
 
 def snapshot_chunk(snap_id: str = "snap_id", size: int = SNAPSHOTS_PER_CHUNK) -> Column:
     """Runs of ``size`` consecutive snapshot ids: the unit of work of ``counter_delta``."""
-    return F.floor(F.col(snap_id) / size)
+    return F.call_function("div", F.col(snap_id), F.lit(size))
 
 
 def counter_delta(
@@ -78,11 +78,11 @@ def counter_delta(
         with_previous = df.withColumn(_PREVIOUS, F.lag(cells).over(partition))
     else:
         in_chunk = Window.partitionBy(*partition_by, _CHUNK).orderBy(*order)
-        linked = (
-            df.withColumn(_CHUNK, chunk)
-            .withColumn(_COUNTERS, cells)
-            .withColumn(_PREVIOUS, F.lag(_COUNTERS).over(in_chunk))
-            .withColumn(_IS_LAST, F.lead(F.lit(True)).over(in_chunk).isNull())
+        linked = df.withColumns({_CHUNK: chunk, _COUNTERS: cells}).withColumns(
+            {
+                _PREVIOUS: F.lag(_COUNTERS).over(in_chunk),
+                _IS_LAST: F.lead(F.lit(True)).over(in_chunk).isNull(),
+            }
         )
         is_edge = F.col(_PREVIOUS).isNull() | F.col(_IS_LAST)
         inner = linked.where(~is_edge)
