@@ -86,11 +86,11 @@ def _blockers(d: Derived) -> DataFrame:
 
 
 def _code_inventory(d: Derived) -> DataFrame:
-    return plans.code_inventory(d.users(), d.source())
+    return plans.code_inventory(d.users(), plans.code_units(d.source()))
 
 
 def _code_hotspots(d: Derived) -> DataFrame:
-    return plans.code_hotspots(d.users(), d.source(), d.dependencies())
+    return plans.code_hotspots(d.users(), plans.code_units(d.source()), d.dependencies())
 
 
 def _partition_topology(d: Derived) -> DataFrame:
@@ -162,7 +162,7 @@ def _stat_pivot(d: Derived) -> DataFrame:
 def _counter_delta(d: Derived) -> DataFrame:
     facts = d.sysstat().select("instance_number", "stat_name", "snap_id", "value")
     return ops.counter_delta(
-        facts, {"value": "delta"}, ["instance_number", "stat_name"], ["snap_id"], ops.snapshot_chunk(size=64)
+        facts, {"value": "delta"}, ["instance_number", "stat_name"], ["snap_id"], [ops.snapshot_chunk(size=64)]
     )
 
 
@@ -171,11 +171,11 @@ def _cents() -> Column:
 
 
 def _counter_delta_long_partition(d: Derived) -> DataFrame:
-    """Two partitions hold all events."""
+    """Two partitions hold all events; two levels of chunks."""
     instance = ((F.col("user_id") % 2).cast("int") + 1).alias("instance_number")
     events = d.base("events").select("event_id", instance, _cents().alias("cents"))
-    chunk = ops.snapshot_chunk("event_id", 4096)
-    return ops.counter_delta(events, {"cents": "delta"}, ["instance_number"], ["event_id"], chunk)
+    chunks = [ops.snapshot_chunk("event_id", size) for size in (512, 512 * 64)]
+    return ops.counter_delta(events, {"cents": "delta"}, ["instance_number"], ["event_id"], chunks)
 
 
 def _hourly_rate(d: Derived) -> DataFrame:
@@ -217,14 +217,14 @@ def _exclude_keys(d: Derived) -> DataFrame:
 
 def _restrict_to_keys(d: Derived) -> DataFrame:
     lines = d.base("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
-    in_debt = d.base("supplier").where(F.col("s_acctbal") < 0).select("s_suppkey")
+    in_debt = d.base("supplier").where(F.col("s_acctbal") < 5000).select("s_suppkey")
     return ops.restrict_to_keys(lines, ["l_suppkey"], in_debt)
 
 
 def _unit_rollup(d: Derived) -> DataFrame:
-    lines = d.source().withColumnRenamed("type", "object_type")
+    units = ops.count_units(d.source().withColumnRenamed("type", "object_type"), ["owner", "object_type", "name"], "loc")
     names = ["object_count", "total_loc", "avg_loc", "max_loc"]
-    return ops.unit_rollup(lines, ["owner", "object_type", "name"], ["owner", "object_type"], names)
+    return ops.unit_rollup(units, "loc", ["owner", "object_type"], names)
 
 
 def _fan_in(d: Derived) -> DataFrame:
@@ -235,7 +235,7 @@ def _fan_in(d: Derived) -> DataFrame:
 
 def _weighted_score(d: Derived) -> DataFrame:
     """Every scored unit, where the report keeps the top ones."""
-    return plans.code_hotspots(d.users(), d.source(), d.dependencies(), n=None)
+    return plans.code_hotspots(d.users(), plans.code_units(d.source()), d.dependencies(), n=None)
 
 
 def _normalise_key(d: Derived) -> DataFrame:

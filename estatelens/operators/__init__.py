@@ -2,7 +2,7 @@
 
 from estatelens.operators.documents import json_document, nested
 from estatelens.operators.history import counter_delta, hourly_rate, rolling_window, snapshot_chunk, stat_pivot
-from estatelens.operators.inventory import band_counts, fan_in, sampled_inventory, unit_rollup
+from estatelens.operators.inventory import band_counts, count_units, fan_in, sampled_inventory, unit_rollup
 from estatelens.operators.keys import (
     attach_one,
     enabled_flag,
@@ -18,6 +18,7 @@ from estatelens.operators.rubric import rubric_join
 __all__ = [
     "attach_one",
     "band_counts",
+    "count_units",
     "counter_delta",
     "enabled_flag",
     "enrich",

@@ -53,48 +53,50 @@ def snapshot_chunk(snap_id: str = "snap_id", size: int = SNAPSHOTS_PER_CHUNK) ->
     return F.call_function("div", F.col(snap_id), F.lit(size))
 
 
+def _with_previous(
+    df: DataFrame, name: str, partition_by: Sequence[str], order: Sequence[Column], chunks: Sequence[Column]
+) -> DataFrame:
+    """Add ``name``: the counters of the previous row of the partition."""
+    if not chunks:
+        partition = Window.partitionBy(*partition_by).orderBy(*order)
+        return df.withColumn(name, F.lag(_COUNTERS).over(partition))
+    chunk, *coarser = chunks
+    in_chunk = Window.partitionBy(*partition_by, _CHUNK).orderBy(*order)
+    linked = df.withColumn(_CHUNK, chunk).withColumns(
+        {name: F.lag(_COUNTERS).over(in_chunk), _IS_LAST: F.lead(F.lit(True)).over(in_chunk).isNull()}
+    )
+    is_edge = F.col(name).isNull() | F.col(_IS_LAST)
+    further = f"{name}_further"
+    edges = _with_previous(linked.where(is_edge).drop(_CHUNK, _IS_LAST), further, partition_by, order, coarser)
+    joined_up = edges.withColumn(name, F.coalesce(name, further)).drop(further)
+    return linked.where(~is_edge).drop(_CHUNK, _IS_LAST).unionByName(joined_up)
+
+
 def counter_delta(
     df: DataFrame,
     counters: Mapping[str, str],
     partition_by: Sequence[str],
     order_by: Sequence[str],
-    chunk: Column | None = None,
+    chunks: Sequence[Column] = (),
 ) -> DataFrame:
     """Add the growth of each cumulative counter since the previous row of its partition.
 
     ``counters`` maps counter columns to delta columns. The first row and unknown counters give
     NULL, a reset gives 0.
 
-    ``chunk``, a non-decreasing function of ``order_by``, splits a partition over many tasks, so
-    one long history is no single task's work. Inside a chunk the previous row is at hand. Only
-    the first row of a chunk looks further back: the first and last rows of all chunks, two per
-    chunk, go through a second, small window over the whole partition. Both branches read one
-    shuffle of the input.
+    ``chunks``, non-decreasing functions of ``order_by`` from fine to coarse, split a partition
+    over many tasks, so one long history is no single task's work. Inside a chunk the previous
+    row is at hand. Only the first row of a chunk looks further back: the first and last rows of
+    all chunks, two per chunk, are linked by the next coarser chunks and at last by a window over
+    the whole partition. Both branches of a level read one shuffle.
     """
-    cells = F.struct(*counters)
-    order = ascending(*order_by)
-    partition = Window.partitionBy(*partition_by).orderBy(*order)
-    if chunk is None:
-        with_previous = df.withColumn(_PREVIOUS, F.lag(cells).over(partition))
-    else:
-        in_chunk = Window.partitionBy(*partition_by, _CHUNK).orderBy(*order)
-        linked = df.withColumns({_CHUNK: chunk, _COUNTERS: cells}).withColumns(
-            {
-                _PREVIOUS: F.lag(_COUNTERS).over(in_chunk),
-                _IS_LAST: F.lead(F.lit(True)).over(in_chunk).isNull(),
-            }
-        )
-        is_edge = F.col(_PREVIOUS).isNull() | F.col(_IS_LAST)
-        inner = linked.where(~is_edge)
-        edges = linked.where(is_edge).withColumn(
-            _PREVIOUS, F.coalesce(F.col(_PREVIOUS), F.lag(_COUNTERS).over(partition))
-        )
-        with_previous = inner.unionByName(edges).drop(_CHUNK, _COUNTERS, _IS_LAST)
+    with_counters = df.withColumn(_COUNTERS, F.struct(*counters))
+    linked = _with_previous(with_counters, _PREVIOUS, partition_by, ascending(*order_by), chunks)
     deltas = {
         delta: non_negative_delta(F.col(counter), F.col(f"{_PREVIOUS}.{counter}"))
         for counter, delta in counters.items()
     }
-    return with_previous.withColumns(deltas).drop(_PREVIOUS)
+    return linked.withColumns(deltas).drop(_COUNTERS, _PREVIOUS)
 
 
 def hourly_rate(

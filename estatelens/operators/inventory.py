@@ -42,15 +42,16 @@ def sampled_inventory(
     )
 
 
-def unit_rollup(df: DataFrame, unit: Sequence[str], group: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Count rows per unit, then units, total, rounded mean and largest count per group.
+def count_units(df: DataFrame, unit: Sequence[str], size: str) -> DataFrame:
+    """Number of rows of each unit."""
+    return df.groupBy(*unit).agg(F.count("*").alias(size))
 
-    ``names`` are the four output columns.
-    """
+
+def unit_rollup(units: DataFrame, size: str, group: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Units, total, rounded mean and largest ``size`` per group, under the four ``names``."""
     n_units, total, mean, largest = names
-    units = df.groupBy(*unit).agg(F.count("*").alias("_n"))
     rolled = units.groupBy(*group).agg(
-        F.count("*").alias(n_units), F.sum("_n").alias(total), F.max("_n").alias(largest)
+        F.count("*").alias(n_units), F.sum(size).alias(total), F.max(size).alias(largest)
     )
     return rolled.select(*group, n_units, total, rounded_mean(F.col(total), F.col(n_units)).alias(mean), largest)
 

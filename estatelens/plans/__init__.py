@@ -2,7 +2,7 @@
 
 from estatelens.plans.blockers import DETECTORS, Detector, blocker_inventory
 from estatelens.plans.bundle import rowsets, write_bundle
-from estatelens.plans.code import app_owners, code_hotspots, code_inventory
+from estatelens.plans.code import app_owners, code_hotspots, code_inventory, code_units
 from estatelens.plans.features import feature_score
 from estatelens.plans.schema import audit_policies, partition_topology
 from estatelens.plans.summary import fingerprint, manifest, manifest_document, scorecard, summary_document
@@ -16,6 +16,7 @@ __all__ = [
     "blocker_inventory",
     "code_hotspots",
     "code_inventory",
+    "code_units",
     "cpu_memory_by_snapshot",
     "feature_score",
     "fingerprint",

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from estatelens.plans import summary
 from estatelens.plans.blockers import blocker_inventory
-from estatelens.plans.code import code_hotspots, code_inventory
+from estatelens.plans.code import code_hotspots, code_inventory, code_units
 from estatelens.plans.features import feature_score
 from estatelens.plans.schema import audit_policies, partition_topology
+from estatelens.plans.seeds import IO_BYTES, IO_REQUESTS
 from estatelens.plans.workload import cpu_memory_by_snapshot, iops_by_hour, throughput_by_hour, top_waits
+from estatelens.session import shared_folder
 from estatelens.sources.files import checksum_manifest
 from estatelens.sources.rowset import read_rowset, write_rowset
 
@@ -29,21 +32,27 @@ def rowsets(
     as_of: datetime | str,
     rubric: DataFrame | None = None,
     source_keys: Sequence[str] = (),
+    stage: Callable[[str, DataFrame], DataFrame] = lambda name, table: table,
 ) -> dict[str, DataFrame]:
-    """The ten reports by their place in the folder."""
+    """The ten reports by their place in the folder.
+
+    ``stage`` may store a table two reports read, so its input is scanned once.
+    """
     c, keys = catalog, source_keys
     snapshots, users = c["dba_hist_snapshot"], c["dba_users"]
+    io = stage("io", c["dba_hist_sysstat"].where(F.col("stat_name").isin(*IO_REQUESTS, *IO_BYTES)))
+    units = stage("units", code_units(c["dba_source"], keys))
     return {
         FEATURES: feature_score(c["dba_feature_usage_statistics"], rubric, keys),
-        "workload_baseline/awr_iops.csv": iops_by_hour(snapshots, c["dba_hist_sysstat"], as_of, keys),
-        "workload_baseline/awr_throughput.csv": throughput_by_hour(snapshots, c["dba_hist_sysstat"], as_of, keys),
+        "workload_baseline/awr_iops.csv": iops_by_hour(snapshots, io, as_of, keys),
+        "workload_baseline/awr_throughput.csv": throughput_by_hour(snapshots, io, as_of, keys),
         "workload_baseline/awr_top_waits.csv": top_waits(snapshots, c["dba_hist_system_event"], as_of, keys),
         "workload_baseline/awr_cpu_pga.csv": cpu_memory_by_snapshot(
             snapshots, c["dba_hist_osstat"], c["dba_hist_pgastat"], as_of, keys
         ),
         BLOCKERS: blocker_inventory(c, source_keys=keys),
-        "schema_complexity/plsql_inventory.csv": code_inventory(users, c["dba_source"], keys),
-        "schema_complexity/plsql_hotspots.csv": code_hotspots(users, c["dba_source"], c["dba_dependencies"], keys),
+        "schema_complexity/plsql_inventory.csv": code_inventory(users, units, keys),
+        "schema_complexity/plsql_hotspots.csv": code_hotspots(users, units, c["dba_dependencies"], keys),
         "schema_complexity/partition_topology.csv": partition_topology(
             users, c["dba_part_tables"], c["dba_tab_subpartitions"], c["dba_tables"], keys
         ),
@@ -70,9 +79,16 @@ def write_bundle(
 ) -> str:
     """Write manifest, reports, summary and checksums below ``<folder>/<run_id>``; return that path.
 
-    The summary counts the reports as written, so they are not computed again. A failing step
-    leaves what was written before it.
+    The summary counts the reports as written, so they are not computed again. Tables that
+    several reports read are stored once in the cluster's shared folder. A failing step leaves
+    what was written before it.
     """
+
+    def stage(name: str, table: DataFrame) -> DataFrame:
+        path = f"{shared_folder(spark)}/{run_id}/{name}"
+        table.write.parquet(path)
+        return spark.read.parquet(path)
+
     out = f"{folder.rstrip('/')}/{run_id}"
     environment = summary.fingerprint(
         catalog["v_database"],
@@ -83,7 +99,7 @@ def write_bundle(
     )
     run = summary.manifest(environment, run_id, captured_at_utc, host)
     summary.manifest_document(run, source_keys).select("document").write.text(f"{out}/{MANIFEST}")
-    reports = rowsets(catalog, as_of, rubric, source_keys)
+    reports = rowsets(catalog, as_of, rubric, source_keys, stage)
     for place, report in reports.items():
         write_rowset(report, f"{out}/{place}")
     written = {place: read_rowset(spark, f"{out}/{place}", reports[place].schema) for place in (FEATURES, BLOCKERS)}

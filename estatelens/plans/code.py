@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.functions import ascending, lookup_type, weighted_score
-from estatelens.operators import enrich, fan_in, restrict_to_keys, sorted_rows, top_n, unit_rollup
+from estatelens.operators import count_units, enrich, fan_in, restrict_to_keys, sorted_rows, top_n, unit_rollup
 from estatelens.plans.seeds import (
     DEPENDENT_WEIGHT,
     HOTSPOT_TYPES,
@@ -27,23 +27,30 @@ def app_owners(users: DataFrame, dropped: Sequence[str] = (), source_keys: Seque
     return owners.select(*source_keys, F.col("username").alias("owner"))
 
 
-def code_inventory(users: DataFrame, source: DataFrame, source_keys: Sequence[str] = ()) -> DataFrame:
-    """Units, lines, mean and largest unit by schema and type, from one row per code line."""
-    owners = app_owners(users, INVENTORY_DROPPED_OWNERS, source_keys)
+def code_units(source: DataFrame, source_keys: Sequence[str] = ()) -> DataFrame:
+    """Lines of every stored unit, from one row per code line; input of both reports below.
+
+    Counting comes before the owners are checked, so a schema holding most of the code is
+    combined on the map side. Where the owners are few enough to broadcast, Catalyst moves that
+    check below the count by itself.
+    """
     lines = source.where(F.col("type").isin(*INVENTORY_TYPES))
-    kept = restrict_to_keys(lines, [*source_keys, "owner"], owners)
-    rolled = unit_rollup(
-        kept.withColumnRenamed("type", "object_type"),
-        unit=[*source_keys, "owner", "object_type", "name"],
-        group=[*source_keys, "owner", "object_type"],
-        names=["object_count", "total_loc", "avg_loc", "max_loc"],
-    )
-    return sorted_rows(rolled, *source_keys, "owner", "object_type")
+    return count_units(lines, [*source_keys, "owner", "type", "name"], "lines_of_code")
+
+
+def code_inventory(users: DataFrame, units: DataFrame, source_keys: Sequence[str] = ()) -> DataFrame:
+    """Units, lines, mean and largest unit by schema and type."""
+    owners = app_owners(users, INVENTORY_DROPPED_OWNERS, source_keys)
+    kept = restrict_to_keys(units, [*source_keys, "owner"], owners)
+    group = [*source_keys, "owner", "object_type"]
+    names = ["object_count", "total_loc", "avg_loc", "max_loc"]
+    rolled = unit_rollup(kept.withColumnRenamed("type", "object_type"), "lines_of_code", group, names)
+    return sorted_rows(rolled, *group)
 
 
 def code_hotspots(
     users: DataFrame,
-    source: DataFrame,
+    units: DataFrame,
     dependencies: DataFrame,
     source_keys: Sequence[str] = (),
     n: int | None = TOP_HOTSPOTS,
@@ -51,26 +58,22 @@ def code_hotspots(
     """The ``n`` units with the highest lines plus weighted dependents, per source; all for None.
 
     Dependents of product-owned code cannot be joined below, and most dependencies are of that
-    kind, so the owner filter runs before the distinct count.
+    kind, so their targets are restricted too.
     """
     owners = app_owners(users, source_keys=source_keys)
-    lines = restrict_to_keys(source.where(F.col("type").isin(*HOTSPOT_TYPES)), [*source_keys, "owner"], owners)
-    units = (
-        lines.groupBy(*source_keys, "owner", "type", "name")
-        .agg(F.count("*").alias("lines_of_code"))
-        .withColumn("referenced_type", lookup_type(F.col("type"), SPEC_OF_BODY))
+    bodies = units.where(F.col("type").isin(*HOTSPOT_TYPES))
+    looked_up = restrict_to_keys(bodies, [*source_keys, "owner"], owners).withColumn(
+        "referenced_type", lookup_type(F.col("type"), SPEC_OF_BODY)
     )
     referable = [SPEC_OF_BODY.get(t, t) for t in HOTSPOT_TYPES]
-    edges = restrict_to_keys(
-        dependencies.where(F.col("referenced_type").isin(*referable)), [*source_keys, "referenced_owner"], owners
-    )
     target = [*source_keys, "referenced_owner", "referenced_type", "referenced_name"]
-    dependents = (
-        fan_in(edges, target, source=["owner", "name"])
-        .withColumnRenamed("referenced_owner", "owner")
-        .withColumnRenamed("referenced_name", "name")
+    dependents = fan_in(
+        dependencies.where(F.col("referenced_type").isin(*referable)), target, source=["owner", "name"]
+    )
+    referred = restrict_to_keys(dependents, [*source_keys, "referenced_owner"], owners).withColumnsRenamed(
+        {"referenced_owner": "owner", "referenced_name": "name"}
     )
-    joined = enrich(units, dependents, [*source_keys, "owner", "name", "referenced_type"], counts=["dependents"])
+    joined = enrich(looked_up, referred, [*source_keys, "owner", "name", "referenced_type"], counts=["dependents"])
     scored = joined.select(
         *source_keys,
         "owner",

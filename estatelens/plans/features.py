@@ -32,4 +32,4 @@ def feature_score(
     )
     rubric = default_rubric(features.sparkSession) if rubric is None else rubric
     scored = rubric_join(named, "feature_name", rubric, "feature_pattern", UNMATCHED)
-    return order_by_band(scored, "target_score", SCORE_ORDER, then=["feature_name"], by=source_keys)
+    return order_by_band(scored, "target_score", SCORE_ORDER, then=["feature_name", "target_notes", "aux_count"], by=source_keys)

@@ -50,7 +50,7 @@ def partition_topology(
         "num_rows",
         "stats_last_analyzed",
     )
-    return report.orderBy(*ascending(*source_keys, "owner"), *descending("partition_count"))
+    return report.orderBy(*ascending(*source_keys, "owner"), *descending("partition_count"), *ascending("table_name"))
 
 
 _POLICY_SCHEMA = {
@@ -95,4 +95,6 @@ def audit_policies(
         _POLICY_SCHEMA,
         keep=source_keys,
     )
-    return sorted_rows(report, *source_keys, "source_type", "object_owner", "object_name")
+    # the last two split the many policies without an object
+    order = ("source_type", "object_owner", "object_name", "policy_name", "statement_types")
+    return sorted_rows(report, *source_keys, *order)

@@ -2,7 +2,8 @@
 
 Counters are differenced per instance over snapshots in ascending order. Two database ids on one
 instance interleave, as the source views have it; add ``dbid`` to ``source_keys`` to keep them
-apart. Snapshot times are wall-clock TIMESTAMP_NTZ; normalise them to UTC beforehand for hour
+apart. A partition holds the snapshots of 90 days, so one level of chunks leaves the last window a
+few rows. Snapshot times are wall-clock TIMESTAMP_NTZ; normalise them to UTC beforehand for hour
 labels in UTC.
 """
 
@@ -64,7 +65,7 @@ def _delta_totals(
         {column: f"{column}_delta" for column in stats.values()},
         partition_by=_unique(*source_keys, "instance_number"),
         order_by=["snap_id", "dbid"],
-        chunk=snapshot_chunk(size=chunk_size),
+        chunks=[snapshot_chunk(size=chunk_size)],
     )
 
 
@@ -124,7 +125,7 @@ def top_waits(
         {"time_waited_micro_fg": "waited_micro", "total_waits_fg": "waits"},
         partition_by=_unique(*source_keys, "instance_number", "event_name"),
         order_by=["snap_id", "dbid", "wait_class"],
-        chunk=snapshot_chunk(size=chunk_size),
+        chunks=[snapshot_chunk(size=chunk_size)],
     )
     totals = deltas.groupBy(*source_keys, "event_name", "wait_class").agg(
         F.sum("waited_micro").alias("waited_micro"), F.sum("waits").alias("total_waits")
@@ -177,9 +178,9 @@ def cpu_memory_by_snapshot(
         {"busy_cs": "busy", "idle_cs": "idle"},
         partition_by=_unique(*source_keys, "instance_number"),
         order_by=["snap_id", "dbid"],
-        chunk=snapshot_chunk(size=chunk_size),
+        chunks=[snapshot_chunk(size=chunk_size)],
     )
-    return deltas.orderBy(*ascending(*source_keys, "end_interval_time", "instance_number")).select(
+    return deltas.orderBy(*ascending(*source_keys, "end_interval_time", "instance_number", "snap_id", "dbid")).select(
         *_unique(*source_keys, "instance_number"),
         hour_label(hour_bucket(F.col("end_interval_time"))).alias("hour_utc"),
         safe_ratio(F.col("busy") * 100, F.col("busy") + F.col("idle"), 1, 1).alias("cpu_pct"),

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from estatelens.sources.literals import literal_table
+
 # The manifest and its signature never list themselves.
 NOT_LISTED = ("checksums.sha256", "mab.sig")
 
@@ -49,7 +51,8 @@ def checksum_manifest(
 
     ``folder`` is an absolute path or a URL. Files up to ``whole_file_bytes`` are read as one
     value and hashed in the JVM; larger ones are streamed in blocks, so no file has to fit in
-    memory. A digest runs over one file in order: the file is the unit of parallelism.
+    memory. A digest runs over one file in order: the file is the unit of parallelism. Spark plans
+    no read for an empty file; those are the listed files no read returned.
     """
     root = urlsplit(folder).path.rstrip("/")
     if not root.startswith("/"):
@@ -57,7 +60,13 @@ def checksum_manifest(
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     small = files.where(F.col("length") <= whole_file_bytes).select("path", F.sha2("content", 256).alias("sha256"))
     large = files.where(F.col("length") > whole_file_bytes).select("path")
-    hashed = small.unionByName(large.mapInPandas(_streaming_digest(_BLOCK_BYTES), "path string, sha256 string"))
+    names = literal_table(spark, ["file_path"], [(name,) for name in files.inputFiles()])
+    unread = names.join(files.select(F.input_file_name().alias("file_path")), "file_path", "left_anti")
+    decoded = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
+    empty = unread.select(decoded.alias("path"), F.sha2(F.lit(""), 256).alias("sha256"))
+    hashed = small.unionByName(empty).unionByName(
+        large.mapInPandas(_streaming_digest(_BLOCK_BYTES), "path string, sha256 string")
+    )
     local = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
     relative = F.concat(F.lit("."), F.substr(local, F.lit(len(root) + 1)))
     listed = hashed.select("sha256", relative.alias("path"))

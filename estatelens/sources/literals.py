@@ -9,6 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def literal_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:
-    """Rows written in code as a local relation, whose size the optimizer knows."""
-    arrays = [pa.array([row[i] for row in rows]) for i in range(len(columns))]
+    """Rows written in code as a local relation, whose size the optimizer knows; no rows are text."""
+    arrays = [pa.array([row[i] for row in rows], None if rows else pa.string()) for i in range(len(columns))]
     return spark.createDataFrame(pa.table(dict(zip(columns, arrays))))

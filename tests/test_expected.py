@@ -1,0 +1,43 @@
+"""Every registered query against DuckDB on the small test data."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as contract
+from checks import expected as sql
+from checks.compare import duckdb_bag, duckdb_connection, spark_bag
+
+SF = "/root/testdata/sf0.001"
+TYPES = {
+    "BIGINT": {"bigint"},
+    "INTEGER": {"int"},
+    "VARCHAR": {"string"},
+    "DOUBLE": {"double"},
+    "DATE": {"date"},
+    "TIMESTAMP": {"timestamp_ntz", "timestamp"},
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return duckdb_connection(SF)
+
+
+def test_every_query_has_an_answer():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query(spark, duck, name):
+    result = contract.queries()[name](spark, SF)
+    wanted, kinds = duckdb_bag(duck, contract.oracle_sql()[name].replace(sql.SF_FOLDER, SF))
+    assert wanted, "the answer is empty"
+    assert spark_bag(result) == wanted
+    assert set(result.columns) == set(kinds)
+    for field in result.schema:
+        assert field.dataType.simpleString() in TYPES[kinds[field.name]], field
+
+
+def test_entry(spark):
+    assert contract.entry(spark).columns == ["instance_number", "hour_utc", "read_iops_avg", "write_iops_avg"]

@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+from datetime import datetime, timedelta, timezone
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from estatelens import functions as fn
+from tests.conftest import tuples
+
+
+def rounded(num: int, den: int, scale: int, digits: int) -> float:
+    exact = Fraction(num * 10**digits, den * scale)
+    steps = int(abs(exact) + Fraction(1, 2))
+    return (steps if exact >= 0 else -steps) / 10**digits
+
+
+def test_ratio_matches_exact_fractions(spark):
+    big = st.integers(-(2**63) + 1, 2**63 - 1)
+    small = st.integers(-2000, 2000)
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.tuples(big | small, big | small), min_size=20, max_size=60))
+    def check(pairs):
+        df = spark.createDataFrame(pairs, "n bigint, d bigint")
+        result = df.select("n", "d", fn.safe_ratio(F.col("n"), F.col("d"), 2**40, 2)).collect()
+        for n, d, value in result:
+            assert value == (None if d == 0 else rounded(n, d, 2**40, 2)), (n, d)
+
+    check()
+
+
+@pytest.mark.parametrize(
+    ("num", "den", "scale", "digits", "wanted"),
+    [
+        (1, 8, 1, 2, 0.13),
+        (115, 200, 1, 2, 0.58),
+        (-1, 8, 1, 2, -0.13),
+        (5, 0, 1, 1, None),
+        (5, None, 1, 1, None),
+        (None, 5, 1, 1, None),
+        (0, 7, 1, 1, 0.0),
+        (2**63 - 1, 3, 1, 0, 3074457345618258602.0),
+        (2**63 - 1, 1800, 1048576, 2, 4886718345.67),
+    ],
+)
+def test_ratio_cases(make, num, den, scale, digits, wanted):
+    df = make("n bigint, d bigint", [(num, den)])
+    assert tuples(df.select(fn.safe_ratio(F.col("n"), F.col("d"), scale, digits))) == [(wanted,)]
+
+
+def test_ratio_without_denominator(make):
+    df = make("n bigint", [(1_250_000,), (None,)])
+    assert tuples(df.select(fn.safe_ratio(F.col("n"), scale=1_000_000, digits=1))) == [(1.3,), (None,)]
+
+
+def test_rounded_mean_is_half_up(make):
+    df = make("t bigint, n bigint", [(5, 2), (4, 3), (7, 2), (0, 0)])
+    means = [m for (m,) in tuples(df.select(fn.rounded_mean(F.col("t"), F.col("n"))))]
+    assert means == [3, 1, 4, None]
+    assert [int(Decimal(t / n).quantize(0, ROUND_HALF_UP)) for t, n in ((5, 2), (4, 3), (7, 2))] == means[:3]
+
+
+def test_delta_keeps_unknown_and_clamps_resets(make):
+    df = make("a bigint, b bigint", [(9, 4), (1, 9), (None, 4), (9, None)])
+    assert [d for (d,) in tuples(df.select(fn.non_negative_delta(F.col("a"), F.col("b"))))] == [5, 0, None, None]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_wall_clock_ignores_the_session_zone(spark, make, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    begin = datetime(2024, 3, 10, 2, 30, 15, 900000)  # does not exist in New York
+    df = make("b timestamp_ntz, e timestamp_ntz", [(begin, datetime(2024, 3, 10, 3, 0, 14, 100000))])
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        bucket = fn.hour_bucket(F.col("b"))
+        row = df.select(fn.seconds_between(F.col("b"), F.col("e")), bucket, fn.hour_label(bucket)).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert tuple(row) == (1799, datetime(2024, 3, 10, 2), "2024-03-10T02:00:00")
+
+
+def test_seconds_drop_each_sides_fraction(make):
+    rows = [(datetime(2024, 1, 1, 0, 0, 0, 900000), datetime(2024, 1, 1, 0, 0, 1, 100000))]
+    df = make("b timestamp_ntz, e timestamp_ntz", rows)
+    assert tuples(df.select(fn.seconds_between(F.col("b"), F.col("e")))) == [(1,)]
+
+
+def test_timestamp_literal_takes_aware_moments_in_utc(spark):
+    aware = datetime(2024, 1, 1, 1, tzinfo=timezone(timedelta(hours=1)))
+    (row,) = spark.range(1).select(fn.timestamp_literal(aware)).collect()
+    assert row[0] == datetime(2024, 1, 1)
+
+
+def test_concat_counts_null_as_empty(make):
+    df = make("a string, b string", [(None, "y"), ("x", None)])
+    assert [t for (t,) in tuples(df.select(fn.concat_text(F.col("a"), ".", F.col("b"))))] == [".y", "x."]
+
+
+@pytest.mark.parametrize(
+    ("text", "pattern", "wanted"),
+    [
+        ("Oracle Java VM", "java", True),
+        ("a_c", "A_C", True),
+        ("abc", "a_c", True),
+        ("a--c", "a%c", True),
+        ("ac", "a_c", False),
+        ("back\\slash", "k\\s", True),
+        ("backslash", "k\\s", False),
+        (None, "a", None),
+        ("a", None, None),
+    ],
+)
+def test_contains(make, text, pattern, wanted):
+    df = make("t string, p string", [(text, pattern)])
+    assert tuples(df.select(fn.contains_text(F.col("t"), F.col("p")))) == [(wanted,)]
+
+
+def test_lookup_type(make):
+    df = make("t string", [("PACKAGE BODY",), ("TRIGGER",), (None,)])
+    looked_up = df.select(fn.lookup_type(F.col("t"), {"PACKAGE BODY": "PACKAGE", "TYPE BODY": "TYPE"}))
+    assert [t for (t,) in tuples(looked_up)] == ["PACKAGE", "TRIGGER", None]
+    assert [t for (t,) in tuples(df.select(fn.lookup_type(F.col("t"), {})))] == ["PACKAGE BODY", "TRIGGER", None]
+
+
+def test_sort_keys_treat_null_as_largest(make):
+    df = make("x int", [(2,), (None,), (1,)])
+    assert [x for (x,) in tuples(df.orderBy(*fn.ascending("x")))] == [1, 2, None]
+    assert [x for (x,) in tuples(df.orderBy(*fn.descending("x")))] == [None, 2, 1]
+
+
+def test_weighted_score(make):
+    df = make("a bigint, b bigint", [(10, 2), (10, None)])
+    assert [s for (s,) in tuples(df.select(fn.weighted_score(F.col("a"), F.col("b"), 50)))] == [110, 10]

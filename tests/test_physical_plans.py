@@ -1,0 +1,124 @@
+"""The plans the engine relies on at scale."""
+
+from __future__ import annotations
+
+import re
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.queries import registered
+from estatelens import operators as ops
+from estatelens import plans
+from estatelens.functions import ascending
+from estatelens.sources import SCHEMAS, read_catalog
+from tests.conftest import plan_text
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def extract(spark, make, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("extract"))
+    begin = datetime(2024, 1, 1)
+    rows = {"dba_hist_snapshot": [(i, 1, 1, begin + timedelta(hours=i), begin + timedelta(hours=i + 1)) for i in range(9)]}
+    for name, ddl in SCHEMAS.items():
+        make(ddl, rows.get(name, [])).coalesce(1).write.parquet(f"{folder}/{name}")
+    return read_catalog(spark, folder)
+
+
+def scans(plan: str) -> list[str]:
+    return [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def test_window_and_statistics_are_pushed_to_the_scans(extract):
+    report = plans.iops_by_hour(extract["dba_hist_snapshot"], extract["dba_hist_sysstat"], "2024-04-05 00:00:00")
+    plan = plan_text(report)
+    by_column = lambda name: [s for s in scans(plan) if name in s]
+    assert all("GreaterThanOrEqual(begin_interval_time,2024-01-06T00:00)" in s for s in by_column("end_interval_time"))
+    assert all("In(stat_name, [physical read total IO requests" in s for s in by_column("stat_name"))
+    assert by_column("stat_name") and by_column("end_interval_time")
+
+
+def test_scans_read_only_needed_columns(extract):
+    report = plans.code_inventory(extract["dba_users"], plans.code_units(extract["dba_source"]))
+    schemas = {re.search(r"ReadSchema: struct<(.*?)>", s).group(1) for s in scans(plan_text(report))}
+    assert schemas == {"username:string,oracle_maintained:string", "owner:string,type:string,name:string"}
+    blockers = plan_text(plans.blocker_inventory(extract))
+    assert sum("dba_tab_columns" in s for s in scans(blockers)) == 2  # once to count, once to sample
+
+
+def test_long_histories_are_split_into_chunks_from_one_shuffle(spark):
+    df = spark.range(5000).selectExpr("id % 2 AS k", "id AS p", "id * 3 AS v")
+    plan = plan_text(ops.counter_delta(df, {"v": "d"}, ["k"], ["p"], [ops.snapshot_chunk("p", 100)]), executed=True)
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert "ReusedExchange" in final
+    assert re.search(r"hashpartitioning\(k#\d+L?, _chunk", final)
+
+
+@pytest.mark.parametrize("name", ["sampled_inventory", "latest_per_key", "top_n_per_group"])
+def test_groups_are_cut_before_the_shuffle(spark, name):
+    plan = plan_text(registered()[name](spark, SF))
+    assert re.search(r"WindowGroupLimit .*Partial", plan)
+
+
+@pytest.mark.parametrize("name", ["top_waits", "code_hotspots", "top_n", "sampled_inventory_whole_table"])
+def test_whole_table_tops_are_top_k(spark, name):
+    assert "TakeOrderedAndProject" in plan_text(registered()[name](spark, SF))
+
+
+def test_no_report_runs_python_or_pairs_tables(spark):
+    for name, query in registered().items():
+        if name in ("csv_rowset", "file_checksums"):
+            continue
+        plan = plan_text(query(spark, SF))
+        assert "CartesianProduct" not in plan, name
+        assert not re.search(r"Python|Pandas|Arrow", plan), name
+        nested = plan.count("BroadcastNestedLoopJoin")
+        rubric = name in ("rubric_join", "feature_score", "fleet_feature_score", "scorecard", "fleet_scorecard", "summary_document")
+        assert nested == 0 or rubric, name
+
+
+def test_no_window_moves_a_table_to_one_task(spark):
+    for name, query in registered().items():
+        if name == "csv_rowset":
+            continue
+        for window in re.findall(r"Window \[.*", plan_text(query(spark, SF))):
+            # partition columns follow the expressions
+            assert "], [" in window, (name, window)
+
+
+def test_large_rubric_is_not_broadcast(spark, make):
+    df = make("t string", [("abc",)])
+    rubric = spark.range(200).selectExpr("concat('p', id) AS p", "'s' AS s")
+    default = {"s": "none"}
+    small = plan_text(ops.rubric_join(df, "t", rubric, "p", default))
+    large = plan_text(ops.rubric_join(df, "t", rubric, "p", default, broadcast_rows=100))
+    assert "BroadcastNestedLoopJoin" in small
+    assert "NestedLoop" not in large
+
+
+def test_key_lists_too_large_to_broadcast_are_shuffled(spark):
+    rows = spark.range(100).selectExpr("CAST(id AS STRING) AS o")
+    keys = spark.range(50).selectExpr("CAST(id AS STRING) AS k")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        excluded = plan_text(ops.exclude_keys(rows, "o", keys))
+        restricted = plan_text(ops.restrict_to_keys(rows, ["o"], keys))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for plan in (excluded, restricted):
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_popular_targets_are_spread_before_counting(spark):
+    edges = spark.range(1000).selectExpr("'t' AS t", "CAST(id % 7 AS STRING) AS o", "CAST(id AS STRING) AS n")
+    plan = plan_text(ops.fan_in(edges, ["t"], ["o", "n"]))
+    assert re.search(r"hashpartitioning\(t#\d+, concat", plan)
+
+
+def test_ordering_by_position_is_a_range_sort(spark):
+    df = spark.range(100).select(F.col("id"), (F.col("id") % 3).alias("b")).orderBy(*ascending("b", "id"))
+    assert "rangepartitioning" in plan_text(df)

@@ -1,0 +1,360 @@
+"""Feature, blocker, code, schema and summary reports on hand-made catalogs."""
+
+from __future__ import annotations
+
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from estatelens import plans
+from estatelens.plans.blockers import DETECTORS
+from estatelens.plans.seeds import EXCLUDED_OWNERS, RUBRIC
+from estatelens.sources import SCHEMAS
+from tests.conftest import tuples
+
+
+@pytest.fixture
+def view(make):
+    return lambda name, rows: make(SCHEMAS[name], rows)
+
+
+# -- features ---------------------------------------------------------------------------------------
+
+
+def feature(name, sampled=date(2024, 1, 1), used="TRUE", detected=1, dbid=1, aux=0):
+    return (dbid, name, used, detected, 5, date(2023, 1, 1), date(2023, 12, 1), sampled, aux)
+
+
+def test_feature_score(view):
+    rows = [
+        feature("Partitioning (user)"),
+        feature("Real Application Clusters (RAC)"),
+        feature("Oracle Text in XML DB"),
+        feature("SecureFiles"),
+        feature("Heat Map", used="FALSE", detected=0),
+        feature("Data Guard", used="FALSE", detected=3),
+        feature("Sharding", used=None, detected=None),
+    ]
+    report = plans.feature_score(view("dba_feature_usage_statistics", rows))
+    assert [(r.feature_name, r.target_score) for r in report.collect()] == [
+        ("Real Application Clusters (RAC)", "RED"),
+        ("Data Guard", "AMBER"),
+        ("Oracle Text in XML DB", "AMBER"),
+        ("Oracle Text in XML DB", "AMBER"),
+        ("SecureFiles", "AMBER"),
+        ("Partitioning (user)", "GREEN"),
+    ]
+    assert report.where("feature_name = 'SecureFiles'").first().target_notes == "Not in the rubric; review by hand"
+    assert report.columns == [
+        "feature_name",
+        "currently_used",
+        "detected_usages",
+        "first_usage_date",
+        "last_usage_date",
+        "aux_count",
+        "target_score",
+        "target_notes",
+    ]
+
+
+def test_latest_used_sample_counts_per_database(view):
+    rows = [
+        feature("Java", date(2024, 1, 1), aux=1),
+        feature("Java", date(2024, 2, 1), aux=2),
+        feature("Java", date(2024, 3, 1), used="FALSE", detected=0, aux=3),
+        feature("Java", None, aux=4),
+        feature("Java", None, dbid=2, aux=5),
+    ]
+    report = plans.feature_score(view("dba_feature_usage_statistics", rows))
+    assert sorted((r.feature_name, r.aux_count) for r in report.collect()) == [("Java", 2), ("Java", 5)]
+
+
+def test_rubric_counts():
+    scores = [score for _, score, _ in RUBRIC]
+    assert (len(RUBRIC), scores.count("GREEN"), scores.count("RED"), scores.count("AMBER")) == (26, 4, 11, 11)
+    assert len(set(EXCLUDED_OWNERS)) == 28
+
+
+def test_fleet_features_stay_apart(make):
+    ddl = "source_id string, " + SCHEMAS["dba_feature_usage_statistics"]
+    rows = [("a", *feature("Java", date(2024, 1, 1), aux=1)), ("b", *feature("Java", date(2024, 5, 1), aux=2))]
+    report = plans.feature_score(make(ddl, rows), source_keys=["source_id"])
+    assert [(r.source_id, r.aux_count) for r in report.collect()] == [("a", 1), ("b", 2)]
+
+
+# -- blockers ---------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def catalog(view):
+    def build(**rows):
+        return {d.view: view(d.view, rows.get(d.view, [])) for d in DETECTORS}
+
+    return build
+
+
+def test_every_detector(catalog):
+    found = catalog(
+        dba_objects=[("APP", "B", "JAVA CLASS"), ("APP", "A", "JAVA SOURCE"), ("APP", "T", "TABLE"), ("SYS", "S", "JAVA CLASS")],
+        dba_tab_columns=[
+            ("APP", "T", "G", "SDO_GEOMETRY"),
+            ("APP", "T", "X", "XMLTYPE"),
+            ("APP", "T", "N", "NUMBER"),
+            ("MDSYS", "T", "G", "SDO_GEOMETRY"),
+        ],
+        dba_types=[("APP", "T1", "NO"), ("APP", "T2", "YES")],
+        dba_db_links=[("APP", "L")],
+        dba_mviews=[("APP", "M")],
+        dba_external_tables=[("APP", "E")],
+        dba_queues=[("APP", "Q")],
+        dba_dependencies=[
+            ("APP", "P", "SYS", "PACKAGE", "UTL_TCP"),
+            ("APP", "P", "SYS", "PACKAGE", "UTL_TCP"),
+            ("APP", "P", "PUBLIC", "SYNONYM", "UTL_FILE"),
+            ("APP", "A", "SYS", "PACKAGE", "DBMS_PIPE"),
+            ("APP", "A", "SYS", "PACKAGE", "DBMS_OUTPUT"),
+        ],
+    )
+    assert tuples(plans.blocker_inventory(found)) == [
+        ("Java in Database", 2, "APP.A | APP.B", "HIGH"),
+        ("Spatial / SDO_GEOMETRY columns", 1, "APP.T.G", "HIGH"),
+        ("Advanced Queuing queues", 1, "APP.Q", "MEDIUM"),
+        ("Code referencing UTL_FILE / UTL_HTTP / UTL_SMTP / DBMS_PIPE", 3, "APP.A:DBMS_PIPE | APP.P:UTL_TCP | APP.P:UTL_TCP", "MEDIUM"),
+        ("Database links (outgoing)", 1, "APP.L", "MEDIUM"),
+        ("External tables", 1, "APP.E", "MEDIUM"),
+        ("Materialized views (refresh chains)", 1, "APP.M", "MEDIUM"),
+        ("User-defined object/collection types in app schemas", 1, "APP.T1", "MEDIUM"),
+        ("XMLType columns", 1, "APP.T.X", "MEDIUM"),
+    ]
+
+
+def test_detector_without_hits_is_absent_and_unknown_owners_are_dropped(catalog):
+    report = plans.blocker_inventory(catalog(dba_queues=[(None, "Q1"), ("SYS", "Q2")], dba_db_links=[("APP", "L")]))
+    assert tuples(report) == [("Database links (outgoing)", 1, "APP.L", "MEDIUM")]
+
+
+def test_ten_of_eleven_samples_in_name_order(catalog):
+    rows = [("B", "A")] + [("A", f"Q{i:02d}") for i in range(10)]
+    ((_, count, samples, _),) = tuples(plans.blocker_inventory(catalog(dba_queues=rows)))
+    assert count == 11
+    assert samples.split(" | ") == [f"A.Q{i:02d}" for i in range(10)]
+
+
+def test_samples_sort_by_column_not_by_label(catalog):
+    ((_, _, samples, _),) = tuples(plans.blocker_inventory(catalog(dba_queues=[("A B", "X"), ("A", "Z"), ("A", None)])))
+    assert samples == "A.Z | A. | A B.X"
+
+
+# -- code -------------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def users(view):
+    return view("dba_users", [("APP", "N"), ("HR", "N"), ("AUDSYS", "N"), ("SYS", "Y"), (None, "N")])
+
+
+def lines(owner, kind, name, n):
+    return [(owner, kind, name)] * n
+
+
+def test_code_inventory(view, users):
+    rows = (
+        lines("APP", "PACKAGE", "P", 2)
+        + lines("APP", "PACKAGE BODY", "P", 10)
+        + lines("APP", "PACKAGE BODY", "Q", 5)
+        + lines("APP", "LIBRARY", "L", 9)
+        + lines("AUDSYS", "FUNCTION", "F", 3)
+        + lines("SYS", "FUNCTION", "F", 3)
+        + lines(None, "FUNCTION", "F", 3)
+        + lines("HR", "TRIGGER", "T", 1)
+    )
+    report = plans.code_inventory(users, plans.code_units(view("dba_source", rows)))
+    assert report.columns == ["owner", "object_type", "object_count", "total_loc", "avg_loc", "max_loc"]
+    assert tuples(report) == [
+        ("APP", "PACKAGE", 1, 2, 2, 2),
+        ("APP", "PACKAGE BODY", 2, 15, 8, 10),
+        ("HR", "TRIGGER", 1, 1, 1, 1),
+    ]
+
+
+def test_code_hotspots(view, users):
+    rows = (
+        lines("APP", "PACKAGE", "P", 500)
+        + lines("APP", "PACKAGE BODY", "P", 10)
+        + lines("APP", "TYPE BODY", "T", 20)
+        + lines("APP", "FUNCTION", "F", 60)
+        + lines("AUDSYS", "FUNCTION", "F", 60)
+        + lines("SYS", "FUNCTION", "F", 999)
+    )
+    edges = [
+        ("X", "A", "APP", "PACKAGE", "P"),
+        ("X", "A", "APP", "PACKAGE", "P"),
+        (None, "A", "APP", "PACKAGE", "P"),
+        ("X", "B", "APP", "PACKAGE BODY", "P"),
+        ("X", "B", "APP", "TYPE", "T"),
+        ("X", "B", "SYS", "FUNCTION", "F"),
+    ]
+    report = plans.code_hotspots(users, plans.code_units(view("dba_source", rows)), view("dba_dependencies", edges))
+    assert report.columns == ["owner", "type", "name", "lines_of_code", "dependents", "hotspot_score"]
+    assert tuples(report) == [
+        ("APP", "PACKAGE BODY", "P", 10, 2, 110),
+        ("APP", "TYPE BODY", "T", 20, 1, 70),
+        ("APP", "FUNCTION", "F", 60, 0, 60),
+        ("AUDSYS", "FUNCTION", "F", 60, 0, 60),
+    ]
+
+
+def test_hotspots_keep_fifty(view, users):
+    rows = [r for i in range(60) for r in lines("APP", "FUNCTION", f"F{i:02d}", i + 1)]
+    report = tuples(plans.code_hotspots(users, plans.code_units(view("dba_source", rows)), view("dba_dependencies", [])))
+    assert [r[2] for r in report] == [f"F{i:02d}" for i in range(59, 9, -1)]
+
+
+def test_fleet_code_reports_stay_apart(make):
+    users = make("source_id string, " + SCHEMAS["dba_users"], [("a", "APP", "N"), ("b", "APP", "Y"), ("b", "HR", "N")])
+    code = [(s, "APP", "FUNCTION", "F") for s in ("a", "a", "b")] + [("b", "HR", "FUNCTION", "F")]
+    source = make("source_id string, " + SCHEMAS["dba_source"], code)
+    edges = make(
+        "source_id string, " + SCHEMAS["dba_dependencies"],
+        [("a", "X", "Y", "APP", "FUNCTION", "F"), ("b", "X", "Y", "APP", "FUNCTION", "F")],
+    )
+    keys = ["source_id"]
+    units = plans.code_units(source, keys)
+    assert tuples(plans.code_inventory(users, units, keys)) == [
+        ("a", "APP", "FUNCTION", 1, 2, 2, 2),
+        ("b", "HR", "FUNCTION", 1, 1, 1, 1),
+    ]
+    assert tuples(plans.code_hotspots(users, units, edges, keys)) == [
+        ("a", "APP", "FUNCTION", "F", 2, 1, 52),
+        ("b", "HR", "FUNCTION", "F", 1, 0, 1),
+    ]
+
+
+# -- schema -----------------------------------------------------------------------------------------
+
+
+def test_partition_topology(view, users):
+    parts = view(
+        "dba_part_tables",
+        [
+            ("APP", "T1", "RANGE", "HASH", 4, 2, "1 DAY", None),
+            ("APP", "T2", "LIST", "NONE", None, 0, None, None),
+            ("APP", "T3", "REFERENCE", "NONE", 9, 0, None, "FK1"),
+            ("SYS", "T1", "RANGE", "NONE", 99, 0, None, None),
+        ],
+    )
+    subs = view("dba_tab_subpartitions", [("APP", "T1")] * 8 + [("HR", "T3")])
+    tables = view("dba_tables", [("APP", "T1", None, None), ("APP", "T3", 7, date(2024, 1, 2))])
+    report = plans.partition_topology(users, parts, subs, tables)
+    assert tuples(report) == [
+        ("APP", "T2", "LIST", "NONE", None, 0, 0, None, None, None, None),
+        ("APP", "T3", "REFERENCE", "NONE", 9, 0, 0, None, "FK1", 7, date(2024, 1, 2)),
+        ("APP", "T1", "RANGE", "HASH", 4, 8, 2, "1 DAY", None, None, None),
+    ]
+
+
+def test_audit_policies(view, users):
+    fine = view(
+        "dba_audit_policies",
+        [("APP", "T", "P1", "C", "YES", "SELECT", "DB"), ("SYS", "T", "P2", "C", "YES", "SELECT", "DB")],
+    )
+    unified = view(
+        "audit_unified_policies",
+        [
+            ("SYS", "T", "KEEP", "INSERT"),
+            (None, None, "GLOBAL", "LOGON"),
+            (None, None, "ORA_SECURECONFIG", "X"),
+            (None, None, "ORAXFOO", "X"),
+            (None, None, "ORACLE", "X"),
+            (None, None, "ORA", "X"),
+            (None, None, None, "X"),
+        ],
+    )
+    enabled = view("audit_unified_enabled_policies", [("KEEP", "BY USER"), ("KEEP", "EXCEPT USER"), ("ORA", None)])
+    report = plans.audit_policies(users, fine, unified, enabled)
+    assert report.columns == [
+        "source_type",
+        "object_owner",
+        "object_name",
+        "policy_name",
+        "policy_column",
+        "enable",
+        "statement_types",
+        "audit_trail",
+    ]
+    rows = tuples(report)
+    assert rows[0] == ("FGA", "APP", "T", "P1", "C", "YES", "SELECT", "DB")
+    assert sorted(rows[1:3]) == [
+        ("UNIFIED", "<global>", "<global>", "GLOBAL", None, "NO", "LOGON", None),
+        ("UNIFIED", "<global>", "<global>", "ORA", None, "NO", "X", None),
+    ]
+    assert rows[3:] == [("UNIFIED", "SYS", "T", "KEEP", None, "YES", "INSERT", None)] * 2
+
+
+# -- summary ----------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def environment(view):
+    def build(nodes=2, database=(("ORCL", "YES", "Linux x86 64-bit"),), charset="AL32UTF8"):
+        return plans.fingerprint(
+            view("v_database", list(database)),
+            view("v_instance", [("19.20.0.0.0",)]),
+            view("gv_instance", [(i + 1,) for i in range(nodes)]),
+            view("nls_database_parameters", [("NLS_CHARACTERSET", charset), ("NLS_LANGUAGE", "AMERICAN")]),
+        )
+
+    return build
+
+
+def test_manifest_document(environment):
+    run = plans.manifest(environment(), "r1", "2024-04-01T00:00:00Z", "host1")
+    (row,) = tuples(plans.manifest_document(run))
+    assert json.loads(row[0]) == {
+        "run_id": "r1",
+        "captured_at_utc": "2024-04-01T00:00:00Z",
+        "source": {
+            "db_name": "ORCL",
+            "version": "19.20.0.0.0",
+            "cdb": "YES",
+            "rac_nodes": 2,
+            "characterset": "AL32UTF8",
+            "platform": "Linux x86 64-bit",
+        },
+        "tooling": {"script_bundle_version": "1.0.0"},
+        "operator": {"host": "host1"},
+    }
+
+
+def test_fingerprint_takes_one_row_and_fills_unknown_texts(environment):
+    two = environment(database=[("B", "NO", None), ("A", "YES", None)], charset=None)
+    assert tuples(two) == [("A", "19.20.0.0.0", "YES", 2, "", "")]
+    assert tuples(environment(database=[])) == []
+
+
+def test_scorecard_counts_rows(make, environment):
+    run = plans.manifest(environment(), "r1", "t", "h")
+    features = make("target_score string", [("RED",), (" RED ",), ("AMBER",), ("amber",), (None,)])
+    blockers = make("band string", [("HIGH",), ("MEDIUM",)])
+    card = plans.scorecard(features, blockers, run)
+    assert card.select("red_features", "amber_features", "green_features", "high_blockers").first() == (2, 1, 0, 1)
+    empty = plans.scorecard(features.limit(0), blockers.limit(0), run)
+    assert empty.select("red_features", "high_blockers").first() == (0, 0)
+    document = json.loads(plans.summary_document(card).first().document)
+    assert document["_artifact"] == "mab"
+    assert document["scorecard"] == {"red_features": 2, "amber_features": 1, "green_features": 0, "high_blockers": 1}
+    assert document["open_questions"] == []
+    with pytest.raises(ValueError, match="band"):
+        plans.scorecard(features, blockers.withColumnRenamed("band", "x"), run)
+
+
+def test_fleet_scorecard(make):
+    run = make("source_id string", [("a",), ("b",)])
+    texts = ["db_name", "version", "cdb", "characterset", "platform", "run_id"]
+    run = run.withColumns({c: F.lit("x") for c in texts} | {"rac_nodes": F.lit(1)})
+    features = make("source_id string, target_score string", [("a", "RED"), ("a", "RED")])
+    blockers = make("source_id string, band string", [("b", "HIGH")])
+    card = plans.scorecard(features, blockers, run, ["source_id"])
+    assert sorted(tuples(card.select("source_id", "red_features", "high_blockers"))) == [("a", 2, 0), ("b", 0, 1)]
