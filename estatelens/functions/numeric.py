@@ -27,7 +27,7 @@ def safe_ratio(num: Column, den: Column | None = None, scale: int = 1, digits: i
     range take the slower decimal route.
     """
     power = 10**digits
-    den = F.lit(1).cast("bigint") if den is None else F.nullif(den, F.lit(0))
+    den = F.lit(1).cast("bigint") if den is None else F.when(den != 0, den)
     most_num, most_den = _LONG_HEADROOM // (2 * power), _LONG_HEADROOM // scale
     fits_long = num.between(-most_num, most_num) & den.between(-most_den, most_den)
     steps = F.when(fits_long, _rounded_quotient(num, den, power, scale)).otherwise(
@@ -45,7 +45,7 @@ def _rounded_quotient(num: Column, den: Column, power: int, scale: int) -> Colum
 
 def rounded_mean(total: Column, n: Column) -> Column:
     """Integer mean rounded half away from zero, for non-negative totals."""
-    return F.call_function("div", total * 2 + n, F.nullif(n, F.lit(0)) * 2)
+    return F.when(n != 0, F.call_function("div", total * 2 + n, n * 2))
 
 
 def weighted_score(base: Column, extra: Column, weight: int = 50) -> Column:

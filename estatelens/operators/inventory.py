@@ -50,10 +50,10 @@ def count_units(df: DataFrame, unit: Sequence[str], size: str) -> DataFrame:
 def unit_rollup(units: DataFrame, size: str, group: Sequence[str], names: Sequence[str]) -> DataFrame:
     """Units, total, rounded mean and largest ``size`` per group, under the four ``names``."""
     n_units, total, mean, largest = names
-    rolled = units.groupBy(*group).agg(
-        F.count("*").alias(n_units), F.sum(size).alias(total), F.max(size).alias(largest)
+    n, lines = F.count("*"), F.sum(size)
+    return units.groupBy(*group).agg(
+        n.alias(n_units), lines.alias(total), rounded_mean(lines, n).alias(mean), F.max(size).alias(largest)
     )
-    return rolled.select(*group, n_units, total, rounded_mean(F.col(total), F.col(n_units)).alias(mean), largest)
 
 
 def fan_in(edges: DataFrame, target: Sequence[str], source: Sequence[str], name: str = "dependents") -> DataFrame:

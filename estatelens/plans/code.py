@@ -41,11 +41,10 @@ def code_units(source: DataFrame, source_keys: Sequence[str] = ()) -> DataFrame:
 def code_inventory(users: DataFrame, units: DataFrame, source_keys: Sequence[str] = ()) -> DataFrame:
     """Units, lines, mean and largest unit by schema and type."""
     owners = app_owners(users, INVENTORY_DROPPED_OWNERS, source_keys)
-    kept = restrict_to_keys(units, [*source_keys, "owner"], owners)
     group = [*source_keys, "owner", "object_type"]
     names = ["object_count", "total_loc", "avg_loc", "max_loc"]
-    rolled = unit_rollup(kept.withColumnRenamed("type", "object_type"), "lines_of_code", group, names)
-    return sorted_rows(rolled, *group)
+    rolled = unit_rollup(units.withColumnRenamed("type", "object_type"), "lines_of_code", group, names)
+    return sorted_rows(restrict_to_keys(rolled, [*source_keys, "owner"], owners), *group)
 
 
 def code_hotspots(

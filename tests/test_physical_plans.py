@@ -113,6 +113,35 @@ def test_key_lists_too_large_to_broadcast_are_shuffled(spark):
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_owner_check_moves_below_the_count_only_when_broadcast(spark, extract):
+    def plan():
+        return plan_text(plans.code_inventory(extract["dba_users"], plans.code_units(extract["dba_source"])))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        small = plan()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        large = plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert small.rindex("HashAggregate") < small.index("LeftSemi")
+    # joined after both counts: at most one row per owner and type is shuffled by owner
+    assert large.index("LeftSemi") < large.index("HashAggregate")
+
+
+def test_statistics_and_headers_are_joined_without_another_shuffle(spark, extract):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        report = plans.iops_by_hour(extract["dba_hist_snapshot"], extract["dba_hist_sysstat"], "2024-04-05 00:00:00")
+        plan = plan_text(report)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # two branches, each: headers, statistics, chunks; then edges, hours, order
+    assert plan.count("Exchange hashpartitioning(snap_id") == 4
+    assert plan.count("Exchange ") == 4 + 2 + 3
+
+
 def test_popular_targets_are_spread_before_counting(spark):
     edges = spark.range(1000).selectExpr("'t' AS t", "CAST(id % 7 AS STRING) AS o", "CAST(id AS STRING) AS n")
     plan = plan_text(ops.fan_in(edges, ["t"], ["o", "n"]))
