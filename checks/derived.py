@@ -172,7 +172,9 @@ class Derived:
 
     def users(self) -> DataFrame:
         return self.base("nation").selectExpr(
-            "n_name AS username", "IF(n_regionkey = 0, 'Y', 'N') AS oracle_maintained"
+            *self._source("n_nationkey"),
+            "n_name AS username",
+            "IF(n_regionkey = 0, 'Y', 'N') AS oracle_maintained",
         )
 
     def _nations(self, key: str) -> DataFrame:
@@ -190,6 +192,7 @@ class Derived:
             .join(self._suppliers(), "l_suppkey")
             .join(self._nations("s_nationkey"), "s_nationkey")
             .selectExpr(
+                *self._source("s_nationkey"),
                 "n_name AS owner",
                 "CASE l_returnflag WHEN 'A' THEN 'PACKAGE' WHEN 'R' THEN 'PACKAGE BODY' ELSE 'FUNCTION' END AS type",
                 "CAST(l_suppkey AS STRING) AS name",
@@ -207,6 +210,7 @@ class Derived:
             .join(self._suppliers(), "l_suppkey")
             .join(self._nations("s_nationkey"), "s_nationkey")
             .selectExpr(
+                *self._source("s_nationkey"),
                 "c_mktsegment AS owner",
                 "c_name AS name",
                 "n_name AS referenced_owner",
@@ -217,6 +221,7 @@ class Derived:
 
     def part_tables(self) -> DataFrame:
         return self._with_nation("customer", "c_nationkey").selectExpr(
+            *self._source("c_nationkey"),
             "n_name AS owner",
             "c_name AS table_name",
             "IF(c_custkey % 3 = 0, 'RANGE', 'LIST') AS partitioning_type",
@@ -233,7 +238,7 @@ class Derived:
             self.base("orders")
             .join(customers, "o_custkey")
             .join(self._nations("c_nationkey"), "c_nationkey")
-            .selectExpr("n_name AS table_owner", "table_name")
+            .selectExpr(*self._source("c_nationkey"), "n_name AS table_owner", "table_name")
         )
 
     def tables(self) -> DataFrame:
@@ -241,6 +246,7 @@ class Derived:
             self._with_nation("customer", "c_nationkey")
             .where("c_custkey % 5 <> 0")
             .selectExpr(
+                *self._source("c_nationkey"),
                 "n_name AS owner",
                 "c_name AS table_name",
                 "CASE WHEN c_acctbal >= 0 THEN CAST(round(c_acctbal) AS BIGINT) END AS num_rows",
@@ -250,6 +256,7 @@ class Derived:
 
     def fine_grained(self) -> DataFrame:
         return self._with_nation("supplier", "s_nationkey").selectExpr(
+            *self._source("s_nationkey"),
             "n_name AS object_schema",
             "s_name AS object_name",
             "concat('POL_', CAST(s_suppkey AS STRING)) AS policy_name",
@@ -261,6 +268,7 @@ class Derived:
 
     def unified(self) -> DataFrame:
         return self.base("part").selectExpr(
+            *self._source("p_size"),
             "CASE WHEN p_partkey % 4 <> 0 THEN p_brand END AS object_schema",
             "CASE WHEN p_partkey % 4 <> 0 THEN p_name END AS object_name",
             """concat(CASE WHEN p_size < 10 THEN 'ORA_' WHEN p_size < 12 THEN 'ORAX' ELSE 'APP_' END,
@@ -273,6 +281,7 @@ class Derived:
             self.base("part")
             .where("p_partkey < 60")
             .selectExpr(
+                *self._source("p_size"),
                 "concat(IF(p_size < 12, 'ORAX', 'APP_'), CAST(p_size AS STRING)) AS policy_name",
                 "p_brand AS enabled_option",
             )

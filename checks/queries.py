@@ -40,8 +40,6 @@ DETECTORS = (
     plans.Detector(
         "Absent objects", "dba_objects", "HIGH", ("owner", "object_name"), (("object_type", ("NO SUCH TYPE",)),)
     ),
-)
-MORE_DETECTORS = (
     plans.Detector("Partitioned tables", "dba_part_tables", "LOW", ("owner", "table_name")),
     plans.Detector(
         "Code referencing suppliers",
@@ -78,27 +76,32 @@ def _cpu_memory(d: Derived) -> DataFrame:
 
 
 def _blockers(d: Derived) -> DataFrame:
-    catalog, detectors = {"dba_objects": d.objects()}, DETECTORS
-    if not d.fleet:
-        catalog |= {"dba_part_tables": d.part_tables(), "dba_dependencies": d.dependencies()}
-        detectors += MORE_DETECTORS
-    return plans.blocker_inventory(catalog, detectors, d.excluded(), d.keys)
+    catalog = {
+        "dba_objects": d.objects(),
+        "dba_part_tables": d.part_tables(),
+        "dba_dependencies": d.dependencies(),
+    }
+    return plans.blocker_inventory(catalog, DETECTORS, d.excluded(), d.keys)
+
+
+def _code_units(d: Derived) -> DataFrame:
+    return plans.code_units(d.source(), d.keys)
 
 
 def _code_inventory(d: Derived) -> DataFrame:
-    return plans.code_inventory(d.users(), plans.code_units(d.source()))
+    return plans.code_inventory(d.users(), _code_units(d), d.keys)
 
 
 def _code_hotspots(d: Derived) -> DataFrame:
-    return plans.code_hotspots(d.users(), plans.code_units(d.source()), d.dependencies())
+    return plans.code_hotspots(d.users(), _code_units(d), d.dependencies(), d.keys)
 
 
 def _partition_topology(d: Derived) -> DataFrame:
-    return plans.partition_topology(d.users(), d.part_tables(), d.subpartitions(), d.tables())
+    return plans.partition_topology(d.users(), d.part_tables(), d.subpartitions(), d.tables(), d.keys)
 
 
 def _audit_policies(d: Derived) -> DataFrame:
-    return plans.audit_policies(d.users(), d.fine_grained(), d.unified(), d.enabled())
+    return plans.audit_policies(d.users(), d.fine_grained(), d.unified(), d.enabled(), d.keys)
 
 
 def _fingerprint(d: Derived) -> DataFrame:
@@ -235,7 +238,7 @@ def _fan_in(d: Derived) -> DataFrame:
 
 def _weighted_score(d: Derived) -> DataFrame:
     """Every scored unit, where the report keeps the top ones."""
-    return plans.code_hotspots(d.users(), plans.code_units(d.source()), d.dependencies(), n=None)
+    return plans.code_hotspots(d.users(), _code_units(d), d.dependencies(), n=None)
 
 
 def _normalise_key(d: Derived) -> DataFrame:
@@ -302,16 +305,8 @@ _JOBS = {
     "file_checksums": _file_checksums,
 }
 
-_FLEET = {
-    "feature_score": _feature_score,
-    "iops_by_hour": _iops,
-    "throughput_by_hour": _throughput,
-    "top_waits": _top_waits,
-    "cpu_memory_by_snapshot": _cpu_memory,
-    "blocker_inventory": _blockers,
-    "fingerprint": _fingerprint,
-    "scorecard": _scorecard,
-}
+_SINGLE_SOURCE_ONLY = ("manifest_document", "summary_document", "file_checksums")
+_FLEET = {name: build for name, build in _JOBS.items() if name not in _SINGLE_SOURCE_ONLY}
 
 _OPERATORS = {
     "latest_per_key": _latest_per_key,

@@ -70,5 +70,5 @@ def band_counts(df: DataFrame, column: str, values: dict[str, str], by: Sequence
     """Number of rows whose trimmed ``column`` equals each value, as one column per value."""
     if column not in df.columns:
         raise ValueError(f"no column {column!r} among {df.columns}")
-    trimmed = F.trim(F.col(column))
+    trimmed = F.trim(F.col(column), F.lit(" \t\r\n\v\f"))
     return df.groupBy(*by).agg(*[F.count_if(trimmed == value).alias(name) for value, name in values.items()])

@@ -190,7 +190,7 @@ def test_fan_in_counts_distinct_dotted_sources(make):
 
 
 def test_band_counts(make):
-    df = make("g int, b string", [(1, "RED"), (1, " RED "), (1, "red"), (2, None), (2, "GREEN")])
+    df = make("g int, b string", [(1, "RED"), (1, " \tRED\n"), (1, "red"), (2, None), (2, "GREEN")])
     wanted = {"RED": "r", "GREEN": "g_"}
     assert tuples(ops.band_counts(df, "b", wanted)) == [(2, 1)]
     assert sorted(tuples(ops.band_counts(df, "b", wanted, by=["g"]))) == [(1, 2, 0), (2, 0, 1)]

@@ -9,6 +9,7 @@ from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from estatelens.plans import write_bundle
 from estatelens.plans.bundle import rowsets
@@ -156,6 +157,17 @@ def test_bundle(spark, catalog, tmp_path):
     assert listed == written
 
 
+def test_each_source_of_a_fleet_gets_its_own_reports(catalog):
+    def of(source, table):
+        return table.select(F.lit(source).alias("source_id"), *table.columns)
+
+    fleet = {name: of("a", table).unionByName(of("b", table)) for name, table in catalog.items()}
+    single = rowsets(catalog, "2024-04-01 00:00:00")
+    for place, report in rowsets(fleet, "2024-04-01 00:00:00", source_keys=["source_id"]).items():
+        wanted = tuples(single[place])
+        assert tuples(report) == [(s, *row) for s in "ab" for row in wanted], place
+
+
 def test_a_run_never_overwrites_another(spark, catalog, tmp_path):
     (tmp_path / "runs" / "run-7" / "manifest.json").mkdir(parents=True)
     with pytest.raises(Exception, match="(?i)exists"):
