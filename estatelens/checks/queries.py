@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.derived import Derived
-from checks.expected import AS_OF, CAPTURED_AT, HOST, RUN_ID
+from estatelens.checks.derived import Derived
+from estatelens.checks.expected import AS_OF, CAPTURED_AT, HOST, RUN_ID
 from estatelens import operators as ops
 from estatelens import plans
 from estatelens.functions import (

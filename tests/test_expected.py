@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from checks import expected as sql
-from checks.compare import duckdb_bag, duckdb_connection, spark_bag
+from estatelens.checks import expected as sql
+from estatelens.checks.compare import duckdb_bag, duckdb_connection, spark_bag
 
 SF = "/root/testdata/sf0.001"
 TYPES = {

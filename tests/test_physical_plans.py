@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import registered
+from estatelens.checks.queries import registered
 from estatelens import operators as ops
 from estatelens import plans
 from estatelens.functions import ascending

@@ -89,8 +89,8 @@ def test_shared_folder_is_the_clusters(spark, monkeypatch):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-@pytest.fixture
-def catalog(spark, make, tmp_path):
+@pytest.fixture(scope="module")
+def catalog(spark, make, tmp_path_factory):
     """A small catalog as parquet extracts, every view present."""
     begin = datetime(2024, 3, 1)
     half = timedelta(minutes=30)
@@ -125,7 +125,7 @@ def catalog(spark, make, tmp_path):
         "gv_instance": [(1,), (2,)],
         "nls_database_parameters": [("NLS_CHARACTERSET", "AL32UTF8")],
     }
-    folder = tmp_path / "extract"
+    folder = tmp_path_factory.mktemp("extract")
     for name, ddl in SCHEMAS.items():
         make(ddl, rows.get(name, [])).coalesce(1).write.parquet(str(folder / name))
     return read_catalog(spark, str(folder))
