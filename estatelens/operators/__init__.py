@@ -1,4 +1,4 @@
-"""DataFrame operators the plans are composed of; all lazy, none collects."""
+"""DataFrame operators the plans are composed of. None collects; ``rubric_join`` counts its rubric."""
 
 from estatelens.operators.documents import json_document, nested
 from estatelens.operators.history import counter_delta, hourly_rate, rolling_window, snapshot_chunk, stat_pivot

@@ -59,11 +59,12 @@ def unit_rollup(units: DataFrame, size: str, group: Sequence[str], names: Sequen
 def fan_in(edges: DataFrame, target: Sequence[str], source: Sequence[str], name: str = "dependents") -> DataFrame:
     """Exact number of distinct sources, compared as dotted text, that point at each target.
 
-    Spark removes duplicates by (target, source) first, so the sources of a popular target are
-    spread over tasks.
+    Duplicates go first, by (target, source), so the sources of a popular target are spread over
+    tasks; counting what is left combines on the map side.
     """
     parts = [p for c in source for p in (".", F.col(c))][1:]
-    return edges.groupBy(*target).agg(F.count_distinct(concat_text(*parts)).alias(name))
+    pairs = edges.select(*target, concat_text(*parts).alias("_source")).distinct()
+    return pairs.groupBy(*target).agg(F.count("*").alias(name))
 
 
 def band_counts(df: DataFrame, column: str, values: dict[str, str], by: Sequence[str] = ()) -> DataFrame:

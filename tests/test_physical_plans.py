@@ -125,6 +125,14 @@ def test_owner_check_moves_below_the_count_only_when_broadcast(spark, extract):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert small.rindex("HashAggregate") < small.index("LeftSemi")
+    hotspots = plan_text(
+        plans.code_hotspots(
+            extract["dba_users"], plans.code_units(extract["dba_source"]), extract["dba_dependencies"]
+        )
+    )
+    # each check sits on the scan it restricts: no aggregate below it
+    checks = [part.split("FileScan")[0] for part in hotspots.split("LeftSemi")[1:]]
+    assert len(checks) == 2 and not any("HashAggregate" in part for part in checks)
     # joined after both counts: at most one row per owner and type is shuffled by owner
     assert large.index("LeftSemi") < large.index("HashAggregate")
 
@@ -145,7 +153,7 @@ def test_statistics_and_headers_are_joined_without_another_shuffle(spark, extrac
 def test_popular_targets_are_spread_before_counting(spark):
     edges = spark.range(1000).selectExpr("'t' AS t", "CAST(id % 7 AS STRING) AS o", "CAST(id AS STRING) AS n")
     plan = plan_text(ops.fan_in(edges, ["t"], ["o", "n"]))
-    assert re.search(r"hashpartitioning\(t#\d+, concat", plan)
+    assert re.search(r"hashpartitioning\(t#\d+, _source", plan)
 
 
 def test_ordering_by_position_is_a_range_sort(spark):
