@@ -70,22 +70,22 @@ _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 OP6_CONTAMINATION = f"""
 WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL),
 windows AS (
-    SELECT DISTINCT item_id, least(10, len(words)) AS length, words[at : at + least(10, len(words)) - 1] AS window_words
-    FROM (SELECT *, unnest(generate_series(1, len(words) - least(10, len(words)) + 1)) AS at FROM items WHERE len(words) > 0)
+    SELECT DISTINCT item_id, least(10, len(words)) AS length, list_slice(words, pos, pos + least(10, len(words)) - 1) AS window_words
+    FROM (SELECT *, unnest(generate_series(1, len(words) - least(10, len(words)) + 1)) AS pos FROM items WHERE len(words) > 0)
 ),
 lengths AS (SELECT DISTINCT length FROM windows),
 docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
 places AS (
-    SELECT r, words, length, unnest(generate_series(1, len(words) - length + 1)) AS at
+    SELECT r, words, length, unnest(generate_series(1, len(words) - length + 1)) AS pos
     FROM docs CROSS JOIN lengths WHERE len(words) >= length
 ),
 hits AS (
-    SELECT p.r, p.at, p.length, w.item_id
-    FROM (SELECT r, at, length, words[at : at + length - 1] AS window_words FROM places) p
+    SELECT p.r, p.pos, p.length, w.item_id
+    FROM (SELECT r, pos, length, list_slice(words, pos, pos + length - 1) AS window_words FROM places) p
     JOIN windows w USING (length, window_words)
 ),
 hit_words AS (SELECT r, count(*) AS n FROM (
-    SELECT DISTINCT r, unnest(generate_series(at, at + length - 1)) AS word FROM hits) GROUP BY r),
+    SELECT DISTINCT r, unnest(generate_series(pos, pos + length - 1)) AS word FROM hits) GROUP BY r),
 hit_items AS (
     SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
     FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r
