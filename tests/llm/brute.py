@@ -1,0 +1,178 @@
+"""The contracts of the operators, one row at a time in plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import xxhash
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def alnum_words(text):
+    return ALNUM.findall((text or "").translate(LOWER))
+
+
+def spaced_words(text):
+    return SPACED.findall(text or "")
+
+
+def held_out(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def licenses(text):
+    """``n_words, n_base, first_word, last_word, base_labels``"""
+    words, places, labels = alnum_words(text), [], set()
+    for phrase, label in (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")):
+        wanted = phrase.split()
+        for i in range(len(words) - len(wanted) + 1):
+            if words[i : i + len(wanted)] == wanted:
+                places.append(i)
+                labels.add(label)
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def _luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def personal(text):
+    text, spans = text or "", []
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    checks = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 14 <= len(digits(m)) <= 19 and _luhn(digits(m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(digits(m)) <= 15),
+    )
+    for rank, (kind, pattern, passes) in enumerate(checks):
+        spans += [(m.start(), rank, kind, m.end()) for m in re.finditer(pattern, text) if passes(m)]
+    return listed(spans)
+
+
+def secrets(text):
+    text, spans = text or "", []
+    checks = (
+        (
+            "assign",
+            r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+            lambda m: len(m[2]) >= 12,
+        ),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18),
+        ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 16),
+    )
+    for rank, (kind, pattern, passes) in enumerate(checks):
+        spans += [(m.start(), rank, kind, m.end()) for m in re.finditer(pattern, text) if passes(m)]
+    return listed(spans)
+
+
+def listed(spans):
+    """``(counts by kind, digest)``"""
+    spans = sorted(spans)
+    said = ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
+    return Counter(kind for _, _, kind, _ in spans), hashlib.sha256(said.encode()).hexdigest()
+
+
+def fingerprint(text, k=3):
+    words = spaced_words((text or "").translate(LOWER))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(fps, most=3):
+    """The label of each fingerprint: the smallest one that links lead to."""
+    parent = {fp: fp for fp in fps}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    known = sorted(parent)
+    for i, a in enumerate(known):
+        for b in known[i + 1 :]:
+            if (a ^ b).bit_count() <= most:
+                ra, rb = sorted((root(a), root(b)))
+                parent[rb] = ra
+    return {fp: root(fp) for fp in known}
+
+
+def near_duplicates(rows):
+    """``{doc_id: (hex, component_id)}`` of ``(doc_id, text)``"""
+    fps = [(i, fingerprint(t)) for i, t in rows]
+    labels = components({fp for _, fp in fps})
+    least = defaultdict(list)
+    for i, fp in fps:
+        least[labels[fp]].append(i)
+    return [(i, f"{fp:016x}", min((x for x in least[labels[fp]] if x is not None), default=None)) for i, fp in fps]
+
+
+def contamination(docs, benchmark, size=10):
+    windows = defaultdict(set)
+    for item, text in benchmark:
+        words = alnum_words(text)
+        if item is not None and words:
+            n = min(size, len(words))
+            for i in range(len(words) - n + 1):
+                windows[tuple(words[i : i + n])].add(str(item))
+    lengths = {len(w) for w in windows}
+    out = []
+    for doc_id, text in docs:
+        words, hit, items = alnum_words(text), set(), set()
+        for n in lengths:
+            for i in range(len(words) - n + 1):
+                found = windows.get(tuple(words[i : i + n]))
+                if found:
+                    items |= found
+                    hit.update(range(i, i + n))
+        digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+        out.append((doc_id, len(words), len(hit), len(items), digest, bool(hit)))
+    return out
+
+
+def quality(text):
+    """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``"""
+    words = spaced_words(text)
+    lines = [x for x in (text or "").split("\n") if SPACED.search(x)]
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    seen, covered = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if seen[w] > 1:
+            covered.update(range(i, i + 5))
+    n = len(words)
+    return (
+        n,
+        sum(map(len, words)),
+        sum(c in "#*$%&|<>" for c in text or ""),
+        len(lines) - len(set(lines)),
+        len(covered),
+        n < 10 or 100 * len(covered) > 20 * n,
+    )
+
+
+def targets(sizes, weights=(3, 1, 2)):
+    """Targets by sharing again and again; ``sizes`` by source, None last."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % 3] for i, s in enumerate(names)}
+    stopped, total = set(), 1.5 * sum(sizes.values())
+    while True:
+        left = total - sum(2 * sizes[s] for s in stopped)
+        still = [s for s in names if s not in stopped]
+        level = left / sum(weight[s] for s in still) if still else 0
+        over = {s for s in still if level * weight[s] > 2 * sizes[s]}
+        if not over:
+            return {s: 2 * sizes[s] if s in stopped else level * weight[s] for s in names}
+        stopped |= over
