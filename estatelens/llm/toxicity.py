@@ -21,7 +21,11 @@ from estatelens.llm.words import ALNUM_BYTES, Words, held_out, mix, pieces, text
 
 #: Bytes of a gram: one predicted, the others its context.
 ORDER = 5
-DISCOUNT = 0.75
+
+#: What is taken off each count of a class; a gram it has shown no more often is left to the shared counts.
+DISCOUNT = 2.0
+#: What is taken off each continuation count.
+SHARED_DISCOUNT = 0.75
 
 #: Score of a document from which it is called toxic.
 THRESHOLD = 0.3
@@ -122,7 +126,7 @@ def _shared_backoff(grams: DataFrame, order: int = ORDER - 1) -> DataFrame:
             lower, lower_value = here.join(below, "shorter"), F.col("below")
         shared = lower.select(
             "tail",
-            ((F.col("ends") - DISCOUNT + DISCOUNT * F.col("kinds") * lower_value) / F.col("total")).alias("shared"),
+            ((F.col("ends") - SHARED_DISCOUNT + SHARED_DISCOUNT * F.col("kinds") * lower_value) / F.col("total")).alias("shared"),
         )
     return shared
 
@@ -132,12 +136,12 @@ def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     context = F.shiftright("gram", 8)
     contexts = grams.groupBy(context.alias("context")).agg(
         *[F.sum(f"n_{c}").alias(f"all_{c}") for c in ("toxic", "plain")],
-        *[F.sum((F.col(f"n_{c}") > 0).cast("bigint")).alias(f"kinds_{c}") for c in ("toxic", "plain")],
+        *[F.sum(F.least(F.col(f"n_{c}"), F.lit(DISCOUNT))).alias(f"freed_{c}") for c in ("toxic", "plain")],
     )
 
     def backed_off(c: str) -> Column:
         """The weight of the shared counts."""
-        return F.when(F.col(f"all_{c}") > 0, DISCOUNT * F.col(f"kinds_{c}") / F.col(f"all_{c}")).otherwise(1.0)
+        return F.when(F.col(f"all_{c}") > 0, F.col(f"freed_{c}") / F.col(f"all_{c}")).otherwise(1.0)
 
     def probability(c: str) -> Column:
         own = F.greatest(F.col(f"n_{c}") - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(f"all_{c}"), F.lit(1))
