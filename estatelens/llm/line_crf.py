@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.llm.logistic import Logistic, fit_logistic
+from estatelens.llm.sampling import hash_sample
 from estatelens.llm.words import SPACED_BYTES, Words, held_out, pieces, text_bytes
 
 THRESHOLD = 0.7
@@ -195,7 +196,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, sample: int):
         .where(~held_out(F.col("doc_id")))
     )
     # The ids are drawn first, so only their texts are moved.
-    drawn = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    drawn = hash_sample(marks, sample, "doc_id")
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     short = F.size(F.split("text", "\n")) <= SAMPLE_LINES
     rows = texts.where(F.col("text").isNull() | short).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).collect()

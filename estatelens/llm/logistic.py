@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from estatelens.llm.sampling import hash_sample
+
 #: Rows of a sample; the sample is taken by a hash of the id, alike at every size.
 SAMPLE_ROWS = 20_000
 
@@ -52,5 +54,5 @@ def fit_logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-3,
 
 def sample_and_fit(rows: DataFrame, features: Sequence[str], label: str, sample_rows: int = SAMPLE_ROWS) -> Logistic:
     """Fit on at most ``sample_rows`` rows of ``doc_id``, features and label."""
-    taken = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).select(*features, label).toPandas()
+    taken = hash_sample(rows, sample_rows, "doc_id", *features).select(*features, label).toPandas()
     return fit_logistic(taken[list(features)].to_numpy(np.float64), taken[label].to_numpy(np.float64))
