@@ -10,7 +10,7 @@ import os
 import statistics
 import time
 
-from estatelens.checks.queries import registered
+from tests.checks.queries import registered
 from estatelens.session import local_session
 
 

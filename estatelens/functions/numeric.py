@@ -19,8 +19,8 @@ def non_negative_delta(current: Column, previous: Column) -> Column:
     return F.when(delta.isNotNull(), F.greatest(delta, F.lit(0)))
 
 
-def safe_ratio(num: Column, den: Column | None = None, scale: int = 1, digits: int = 0) -> Column:
-    """``num / den / scale`` rounded half away from zero to ``digits`` decimals, as a double.
+def safe_ratio(num: Column, den: Column | None = None, scale: int = 1, digits: int = 0, times: int = 1) -> Column:
+    """``times * num / den / scale`` rounded half away from zero to ``digits`` decimals, as a double.
 
     NULL when ``den`` is 0 or NULL. ``num`` and ``den`` are integers, so the rounding is done
     on integers; doubles would fall on either side of a tie. Values near the end of the 64-bit
@@ -28,10 +28,10 @@ def safe_ratio(num: Column, den: Column | None = None, scale: int = 1, digits: i
     """
     power = 10**digits
     den = F.lit(1).cast("bigint") if den is None else F.when(den != 0, den)
-    most_num, most_den = _LONG_HEADROOM // (2 * power), _LONG_HEADROOM // scale
+    most_num, most_den = _LONG_HEADROOM // (2 * power * times), _LONG_HEADROOM // scale
     fits_long = num.between(-most_num, most_num) & den.between(-most_den, most_den)
-    steps = F.when(fits_long, _rounded_quotient(num, den, power, scale)).otherwise(
-        _rounded_quotient(num.cast(WIDE), den.cast(WIDE), power, scale)
+    steps = F.when(fits_long, _rounded_quotient(num, den, power * times, scale)).otherwise(
+        _rounded_quotient(num.cast(WIDE), den.cast(WIDE), power * times, scale)
     )
     return steps / float(power)
 

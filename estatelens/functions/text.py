@@ -16,10 +16,12 @@ def concat_text(*parts: Column | str) -> Column:
 def contains_text(text: Column, pattern: Column) -> Column:
     """Case-insensitive ``text LIKE '%pattern%'``.
 
-    ``%`` and ``_`` in the pattern stay wildcards; a backslash is an ordinary character.
+    ``%`` and ``_`` in the pattern stay wildcards; a backslash is an ordinary character. A pattern without
+    wildcards is searched for as it is, without an expression compiled for it.
     """
     escaped = F.replace(F.upper(pattern), F.lit("\\"), F.lit("\\\\"))
-    return F.call_function("like", F.upper(text), F.concat(F.lit("%"), escaped, F.lit("%")))
+    like = F.call_function("like", F.upper(text), F.concat(F.lit("%"), escaped, F.lit("%")))
+    return F.when(pattern.contains("%") | pattern.contains("_"), like).otherwise(F.upper(text).contains(F.upper(pattern)))
 
 
 def lookup_type(column: Column, mapping: Mapping[str, str]) -> Column:

@@ -8,55 +8,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.functions.text import contains_text
+from estatelens.operators.keys import attach_one
 
-BROADCAST_ROWS = 10_000
 _GRAM = 3
 
 
-def rubric_join(
-    df: DataFrame,
-    text: str,
-    rubric: DataFrame,
-    pattern: str,
-    default: Mapping[str, str],
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def rubric_join(df: DataFrame, text: str, rubric: DataFrame, pattern: str, default: Mapping[str, str]) -> DataFrame:
     """Add the rubric columns of every pattern found in ``text``, ignoring case.
 
-    A row with several matches is repeated; a row without one, and a NULL score, takes
-    ``default``. The rubric is broadcast when it has at most ``broadcast_rows`` rows, which is
-    counted first (reading no more than that); a larger one is matched by shuffled equi joins.
+    A row with several matches is repeated; a row without one, and a NULL score, takes ``default``.
+
+    A text that matches a pattern contains its longest piece without wildcards, hence the first
+    three characters of that piece. Each pattern is looked up under that one gram by an equi join, so a
+    pair meets once; the full test follows. Patterns of nothing but wildcards ask for a length alone:
+    they are one array beside the texts. Distinct texts are matched, then joined back.
     """
-    scored = rubric.select(F.col(pattern).alias("_pattern"), *default)
-    if scored.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        joined = df.join(F.broadcast(scored), contains_text(F.col(text), F.col("_pattern")), "left")
-    else:
-        joined = _join_by_grams(df, text, scored)
-    filled = {c: F.coalesce(F.col(c), F.lit(value)) for c, value in default.items()}
+    longest = F.reduce(
+        F.split(F.upper(F.col(pattern)), "[%_]"),
+        F.lit(""),
+        lambda a, b: F.when(F.length(b) > F.length(a), b).otherwise(a),
+    )
+    scored = rubric.where(F.col(pattern).isNotNull()).select(
+        F.col(pattern).alias("_pattern"), F.struct(*default).alias("_score"), longest.alias("_piece")
+    )
+    keyed = scored.where("_piece <> ''").withColumn("_gram", F.substring("_piece", 1, _GRAM))
+    texts = df.select(F.col(text).alias("_text")).where(F.col("_text").isNotNull()).distinct()
+    probes = texts.withColumn("_gram", F.explode(_grams(F.upper(F.col("_text")))))
+    hits = probes.join(keyed, "_gram").where(contains_text(F.col("_text"), F.col("_pattern"))).select("_text", "_score")
+    least = F.length(F.regexp_replace("_pattern", "%", ""))
+    lengths = scored.where("_piece = ''").agg(F.collect_list(F.struct(least.alias("least"), "_score")).alias("_open"))
+    fitting = F.filter("_open", lambda p: p["least"] <= F.length("_text"))
+    open_hits = attach_one(texts, lengths).select("_text", F.explode(fitting).alias("_p")).select("_text", "_p._score")
+    joined = df.join(hits.unionByName(open_hits), F.col(text) == F.col("_text"), "left")
+    filled = {c: F.coalesce(F.col(f"_score.{c}"), F.lit(value)) for c, value in default.items()}
     return joined.withColumns(filled).select(*df.columns, *default)
 
 
 def _grams(text: Column) -> Column:
-    """Distinct substrings of 0 to 3 characters."""
+    """Distinct substrings of 1 to 3 characters."""
     starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
 
     def of_length(n: int) -> Column:
         return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
 
-    return F.array_distinct(F.concat(*[of_length(n) for n in range(_GRAM + 1)]))
-
-
-def _join_by_grams(df: DataFrame, text: str, scored: DataFrame) -> DataFrame:
-    """The same matches without a broadcast.
-
-    A text that matches a pattern contains its longest wildcard-free piece, hence the first
-    three characters of that piece. Each pattern is looked up under that one gram, so a pair
-    meets once; the full test follows. Distinct texts are matched, then joined back.
-    """
-    pieces = F.split(F.upper(F.col("_pattern")), "[%_]")
-    longest = F.reduce(pieces, F.lit(""), lambda a, b: F.when(F.length(b) > F.length(a), b).otherwise(a))
-    keyed = scored.withColumn("_gram", F.substring(longest, 1, _GRAM))
-    texts = df.select(F.col(text).alias("_text")).where(F.col("_text").isNotNull()).distinct()
-    probes = texts.withColumn("_gram", F.explode(_grams(F.upper(F.col("_text")))))
-    hits = probes.join(keyed, "_gram").where(contains_text(F.col("_text"), F.col("_pattern")))
-    return df.join(hits.drop("_gram", "_pattern"), F.col(text) == F.col("_text"), "left").drop("_text")
+    return F.array_distinct(F.concat(*[of_length(n) for n in range(1, _GRAM + 1)]))

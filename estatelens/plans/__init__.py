@@ -1,6 +1,6 @@
 """The assessment reports; each takes and returns DataFrames."""
 
-from estatelens.plans.blockers import DETECTORS, Detector, blocker_inventory
+from estatelens.plans.blockers import DETECTORS, Detector, blocker_counts, blocker_inventory
 from estatelens.plans.bundle import rowsets, write_bundle
 from estatelens.plans.code import app_owners, code_hotspots, code_inventory, code_units
 from estatelens.plans.features import feature_score
@@ -13,6 +13,7 @@ __all__ = [
     "Detector",
     "app_owners",
     "audit_policies",
+    "blocker_counts",
     "blocker_inventory",
     "code_hotspots",
     "code_inventory",

@@ -107,14 +107,13 @@ def _hits(rows: DataFrame, detectors: Sequence[Detector], width: int, source_key
     return exploded.select(*source_keys, "hit.*")
 
 
-def blocker_inventory(
+def _all_hits(
     catalog: Mapping[str, DataFrame],
-    detectors: Sequence[Detector] = DETECTORS,
-    excluded_owners: DataFrame | Sequence[str] = EXCLUDED_OWNERS,
-    source_keys: Sequence[str] = (),
-    k: int = SAMPLES_PER_BLOCKER,
-) -> DataFrame:
-    """Count of each blocker outside the excluded schemas, with its first ``k`` objects by name."""
+    detectors: Sequence[Detector],
+    excluded_owners: DataFrame | Sequence[str],
+    source_keys: Sequence[str],
+) -> tuple[DataFrame, int]:
+    """The objects of all blockers, and how many columns they are sorted by."""
     width = max(len(d.sample) for d in detectors)
     views: dict[str, list[Detector]] = {}
     for d in detectors:
@@ -123,8 +122,32 @@ def blocker_inventory(
         _hits(exclude_keys(catalog[view], "owner", excluded_owners), group, width, source_keys)
         for view, group in views.items()
     ]
+    return reduce(DataFrame.unionByName, hits), width
+
+
+def blocker_counts(
+    catalog: Mapping[str, DataFrame],
+    detectors: Sequence[Detector] = DETECTORS,
+    excluded_owners: DataFrame | Sequence[str] = EXCLUDED_OWNERS,
+    source_keys: Sequence[str] = (),
+) -> DataFrame:
+    """``blocker_name, object_count, band`` of each blocker found, without samples."""
+    hits, _ = _all_hits(catalog, detectors, excluded_owners, source_keys)
+    counted = hits.groupBy(*source_keys, "blocker_name", "band").agg(F.count("*").alias("object_count"))
+    return counted.select(*source_keys, "blocker_name", "object_count", "band")
+
+
+def blocker_inventory(
+    catalog: Mapping[str, DataFrame],
+    detectors: Sequence[Detector] = DETECTORS,
+    excluded_owners: DataFrame | Sequence[str] = EXCLUDED_OWNERS,
+    source_keys: Sequence[str] = (),
+    k: int = SAMPLES_PER_BLOCKER,
+) -> DataFrame:
+    """Count of each blocker outside the excluded schemas, with its first ``k`` objects by name."""
+    hits, width = _all_hits(catalog, detectors, excluded_owners, source_keys)
     inventory = sampled_inventory(
-        reduce(DataFrame.unionByName, hits),
+        hits,
         F.col("label"),
         order_by=[f"sort_{i}" for i in range(width)],
         keys=[*source_keys, "blocker_name", "band"],

@@ -8,13 +8,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from estatelens.operators import rolling_window
 from estatelens.plans import summary
 from estatelens.plans.blockers import blocker_inventory
 from estatelens.plans.code import code_hotspots, code_inventory, code_units
 from estatelens.plans.features import feature_score
 from estatelens.plans.schema import audit_policies, partition_topology
-from estatelens.plans.seeds import IO_BYTES, IO_REQUESTS
-from estatelens.plans.workload import cpu_memory_by_snapshot, iops_by_hour, throughput_by_hour, top_waits
+from estatelens.plans.seeds import IO_BYTES, IO_REQUESTS, WINDOW_DAYS
+from estatelens.plans.workload import cpu_memory_by_snapshot, iops_by_hour, since, throughput_by_hour, top_waits
 from estatelens.session import shared_folder
 from estatelens.sources.files import checksum_manifest
 from estatelens.sources.rowset import read_rowset, write_rowset
@@ -40,7 +41,9 @@ def rowsets(
     """
     c, keys = catalog, source_keys
     snapshots, users = c["dba_hist_snapshot"], c["dba_users"]
-    io = stage("io", c["dba_hist_sysstat"].where(F.col("stat_name").isin(*IO_REQUESTS, *IO_BYTES)))
+    window = rolling_window(snapshots, "begin_interval_time", as_of, WINDOW_DAYS)
+    facts = since(c["dba_hist_sysstat"], window)
+    io = stage("io", facts.where(F.col("stat_name").isin(*IO_REQUESTS, *IO_BYTES)))
     units = stage("units", code_units(c["dba_source"], keys))
     return {
         FEATURES: feature_score(c["dba_feature_usage_statistics"], rubric, keys),
@@ -80,12 +83,13 @@ def write_bundle(
     """Write manifest, reports, summary and checksums below ``<folder>/<run_id>``; return that path.
 
     The summary counts the reports as written, so they are not computed again. Tables that
-    several reports read are stored once in the cluster's shared folder. A failing step leaves
-    what was written before it.
+    several reports read are stored once in the cluster's shared folder, and removed at the end. A failing
+    step leaves what was written before it.
     """
+    staging = f"{shared_folder(spark)}/staged-{run_id}"
 
     def stage(name: str, table: DataFrame) -> DataFrame:
-        path = f"{shared_folder(spark)}/{run_id}/{name}"
+        path = f"{staging}/{name}"
         table.write.parquet(path)
         return spark.read.parquet(path)
 
@@ -107,4 +111,10 @@ def write_bundle(
     summary.summary_document(scores, source_keys).select("document").write.text(f"{out}/{SUMMARY}")
     sums = checksum_manifest(spark, out)
     sums.selectExpr("concat(sha256, '  ', path) AS line").write.text(f"{out}/{CHECKSUMS}")
+    _remove(spark, staging)
     return out
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,39 +6,47 @@ from pyspark.sql import DataFrame, SparkSession
 
 from estatelens.sources.literals import literal_table
 
-# Feature patterns and their portability scores. The notes are ours.
-RUBRIC = [
-    ("Partitioning", "GREEN", "Available on the managed target; extension needed on open-source targets"),
-    ("Advanced Compression", "AMBER", "Compression exists but works differently; compare storage sizes"),
-    ("Transparent Data Encryption", "GREEN", "Encryption at rest is available on every target"),
-    ("Real Application Clusters (RAC)", "RED", "No shared-disk cluster on the targets; choose another availability design"),
-    ("Data Guard", "AMBER", "Replace by the target's own replication and failover"),
-    ("Spatial and Graph", "RED", "Move spatial data to an extension and graphs to a separate store"),
-    ("OLAP", "RED", "Move cubes to an analytics service"),
-    ("Java", "RED", "Stored Java does not run on the targets; move it out of the database"),
-    ("Advanced Queuing", "AMBER", "Move queues to a message broker"),
-    ("GoldenGate", "GREEN", "Can carry the replication during the move"),
-    ("Materialized View", "AMBER", "Refresh options differ; review every refresh chain"),
-    ("Virtual Private Database", "AMBER", "Rewrite policies as row-level security"),
-    ("Fine-Grained Auditing", "AMBER", "Translate policies to the target's audit facility"),
-    ("Label Security", "RED", "No counterpart; design labels into row-level security"),
-    ("Database Vault", "RED", "No counterpart; use roles and auditing as compensating controls"),
-    ("Multitenant", "AMBER", "Plan a target per pluggable database"),
-    ("Sharding", "RED", "Sharding has to be redesigned for the target"),
-    ("Heat Map", "GREEN", "Optional; storage tiers cover the need"),
-    ("Automatic Data Optimization", "AMBER", "Rebuild as storage lifecycle rules"),
-    ("In-Memory", "AMBER", "Review the workload; column indexes may serve"),
-    ("XML DB", "AMBER", "XML types exist but query support differs"),
-    ("Text", "AMBER", "Rebuild indexes on the target's full-text search"),
-    ("Streams", "RED", "No longer supported; replace before the move"),
-    ("Change Data Capture", "RED", "No longer supported; replace by log-based capture"),
-    ("Editions", "RED", "No edition-based releases; change the deployment method"),
-    ("Workspace Manager", "RED", "No counterpart; rebuild on temporal tables"),
+# Feature patterns and their portability scores. What to do about a feature, and the effort
+# from 1 (least) to 5, are ours.
+_FEATURES = [
+    ("Partitioning", "GREEN", "keep", 2),
+    ("Advanced Compression", "AMBER", "measure", 2),
+    ("Transparent Data Encryption", "GREEN", "keep", 1),
+    ("Real Application Clusters (RAC)", "RED", "redesign", 5),
+    ("Data Guard", "AMBER", "replace", 3),
+    ("Spatial and Graph", "RED", "convert", 4),
+    ("OLAP", "RED", "replace", 5),
+    ("Java", "RED", "rewrite", 5),
+    ("Advanced Queuing", "AMBER", "replace", 3),
+    ("GoldenGate", "GREEN", "keep", 1),
+    ("Materialized View", "AMBER", "convert", 3),
+    ("Virtual Private Database", "AMBER", "rewrite", 3),
+    ("Fine-Grained Auditing", "AMBER", "convert", 2),
+    ("Label Security", "RED", "redesign", 4),
+    ("Database Vault", "RED", "redesign", 4),
+    ("Multitenant", "AMBER", "split", 2),
+    ("Sharding", "RED", "redesign", 5),
+    ("Heat Map", "GREEN", "drop", 1),
+    ("Automatic Data Optimization", "AMBER", "replace", 2),
+    ("In-Memory", "AMBER", "measure", 2),
+    ("XML DB", "AMBER", "convert", 3),
+    ("Text", "AMBER", "convert", 3),
+    ("Streams", "RED", "replace", 4),
+    ("Change Data Capture", "RED", "replace", 4),
+    ("Editions", "RED", "redesign", 3),
+    ("Workspace Manager", "RED", "rewrite", 4),
 ]
+
+
+def _note(action: str, effort: int) -> str:
+    return f"{action} (effort {effort} of 5)"
+
+
+RUBRIC = [(pattern, score, _note(action, effort)) for pattern, score, action, effort in _FEATURES]
 RUBRIC_COLUMNS = ("feature_pattern", "target_score", "target_notes")
 
 # Score of a feature no pattern matches, and the order of scores.
-UNMATCHED = {"target_score": "AMBER", "target_notes": "Not in the rubric; review by hand"}
+UNMATCHED = {"target_score": "AMBER", "target_notes": "assess (effort unknown)"}
 SCORE_ORDER = ("RED", "AMBER", "GREEN")
 
 # Bands of blockers, highest first, and the sort rank of any other band.

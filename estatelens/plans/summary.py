@@ -33,7 +33,8 @@ def fingerprint(
 ) -> DataFrame:
     """Name, version, container flag, node count, character set and platform of each source.
 
-    Of several database or instance rows the smallest counts. Unknown texts are empty.
+    Of several database or instance rows the smallest counts. Unknown texts are empty, and a source
+    without node rows has 0 nodes.
     """
     first = F.min(F.struct("name", "cdb", "platform_name")).alias("d")
     base = database.groupBy(*source_keys).agg(first).where(F.col("d").isNotNull())
@@ -54,7 +55,7 @@ def fingerprint(
         "platform": F.col("d.platform_name"),
     }
     filled = {name: F.coalesce(column, F.lit("")).alias(name) for name, column in texts.items()}
-    filled["rac_nodes"] = F.coalesce(F.col("rac_nodes"), F.lit(1)).alias("rac_nodes")
+    filled["rac_nodes"] = F.coalesce(F.col("rac_nodes"), F.lit(0)).alias("rac_nodes")
     return base.select(*source_keys, *[filled[name] for name in _SOURCE])
 
 
@@ -89,6 +90,7 @@ def scorecard(
 ) -> DataFrame:
     """Numbers of features by score and of high-band blockers, beside the manifest.
 
+    ``blockers`` needs a row and a ``band`` per blocker: ``blocker_counts``, or the inventory as written.
     A source without features or blockers counts 0.
     """
     scores = {"RED": "red_features", "AMBER": "amber_features", "GREEN": "green_features"}

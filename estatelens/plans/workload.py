@@ -12,13 +12,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from estatelens.functions import ascending, hour_bucket, hour_label, safe_ratio, seconds_between
 from estatelens.operators import (
     counter_delta,
-    enrich,
     hourly_rate,
     rolling_window,
     snapshot_chunk,
@@ -44,6 +43,15 @@ def _unique(*names: str) -> list[str]:
     return list(dict.fromkeys(names))
 
 
+def since(facts: DataFrame, window: DataFrame) -> DataFrame:
+    """The facts from the window's lowest snapshot id on.
+
+    Facts have no time. The bound is a scalar subquery, so it is known when files are read and skips
+    row groups; the join with the window decides.
+    """
+    return facts.where(F.col("snap_id") >= window.agg(F.min("snap_id")).scalar())
+
+
 def _delta_totals(
     snapshots: DataFrame,
     sysstat: DataFrame,
@@ -59,7 +67,7 @@ def _delta_totals(
         "end_interval_time",
         seconds_between(F.col("begin_interval_time"), F.col("end_interval_time")).alias("secs"),
     )
-    joined = window.join(stat_pivot(sysstat, keys, stats), keys)
+    joined = window.join(stat_pivot(since(sysstat, window), keys, stats), keys)
     return counter_delta(
         joined,
         {column: f"{column}_delta" for column in stats.values()},
@@ -119,7 +127,7 @@ def top_waits(
     """The ``n`` non-idle wait events with the most waited time in the window, per source."""
     keys = _unique(*source_keys, *_SNAPSHOT)
     window = rolling_window(snapshots, "begin_interval_time", as_of, WINDOW_DAYS).select(*keys)
-    waits = system_event.where(F.col("wait_class") != IDLE_WAIT_CLASS).join(window, keys)
+    waits = since(system_event, window).where(F.col("wait_class") != IDLE_WAIT_CLASS).join(window, keys)
     deltas = counter_delta(
         waits,
         {"time_waited_micro_fg": "waited_micro", "total_waits_fg": "waits"},
@@ -158,8 +166,8 @@ def cpu_memory_by_snapshot(
     keys = _unique(*source_keys, *_SNAPSHOT)
     joint = _unique(*source_keys, "snap_id", "instance_number")
     window = rolling_window(snapshots, "begin_interval_time", as_of, WINDOW_DAYS)
-    ticks = osstat.where(F.col("stat_name").isin(*CPU_TICKS))
-    gauge = pgastat.where(F.col("name").isin(*MEMORY_GAUGE)).withColumnRenamed("name", "stat_name")
+    ticks = since(osstat, window).where(F.col("stat_name").isin(*CPU_TICKS))
+    gauge = since(pgastat, window).where(F.col("name").isin(*MEMORY_GAUGE)).withColumnRenamed("name", "stat_name")
     stats = CPU_TICKS | MEMORY_GAUGE
     wide = stat_pivot(
         ticks.select(*keys, "stat_name", "value").unionByName(gauge.select(*keys, "stat_name", "value")),
@@ -167,14 +175,13 @@ def cpu_memory_by_snapshot(
         stats,
         how={"pga_bytes": "max"},
     )
-    measured = (
-        window.select(*keys)
-        .join(wide, keys)
-        .groupBy(*joint)
-        .agg(F.sum("busy_cs").alias("busy_cs"), F.sum("idle_cs").alias("idle_cs"), F.max("pga_bytes").alias("pga_bytes"))
+    # Sums over the database ids of a snapshot are taken beside each header.
+    ids = Window.partitionBy(*joint)
+    measured = window.select(*keys, "end_interval_time").join(wide, keys, "left").withColumns(
+        {"busy_cs": F.sum("busy_cs").over(ids), "idle_cs": F.sum("idle_cs").over(ids), "pga_bytes": F.max("pga_bytes").over(ids)}
     )
     deltas = counter_delta(
-        enrich(window.select(*keys, "end_interval_time"), measured, joint),
+        measured,
         {"busy_cs": "busy", "idle_cs": "idle"},
         partition_by=_unique(*source_keys, "instance_number"),
         order_by=["snap_id", "dbid"],
@@ -183,6 +190,6 @@ def cpu_memory_by_snapshot(
     return deltas.orderBy(*ascending(*source_keys, "end_interval_time", "instance_number", "snap_id", "dbid")).select(
         *_unique(*source_keys, "instance_number"),
         hour_label(hour_bucket(F.col("end_interval_time"))).alias("hour_utc"),
-        safe_ratio(F.col("busy") * 100, F.col("busy") + F.col("idle"), 1, 1).alias("cpu_pct"),
+        safe_ratio(F.col("busy"), F.col("busy") + F.col("idle"), 1, 1, times=100).alias("cpu_pct"),
         safe_ratio(F.col("pga_bytes"), scale=MIB, digits=1).alias("pga_mb"),
     )

@@ -30,11 +30,13 @@ def local_session(cores: int | str = "*", name: str = "estatelens", **conf: str)
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can read, as the cluster names it; a local one only where unset."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder")
-    folder = tempfile.mkdtemp(prefix="estatelens-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local["):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder")
+        folder = tempfile.mkdtemp(prefix="estatelens-")
+        spark.conf.set(CHECKPOINT_DIR, folder)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")

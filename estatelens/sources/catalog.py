@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from estatelens.sources.schemas import SCHEMAS, columns
 
@@ -34,20 +35,42 @@ def read_catalog(
     """One DataFrame per view from ``<location>/<view>`` in a file format Spark reads.
 
     For a fleet, keep the extracts partitioned by the source keys
-    (``<view>/source_id=<id>/...``): they come back as columns and prune by directory. CSV and
-    JSON are read with the view's schema, never inferred.
+    (``<view>/source_id=<id>/...``): they come back as columns and prune by directory. Columns are
+    found by name in any case and order, and cast to the view's types; others are ignored. CSV files of
+    a view must share one header; a file with another one is an error. In JSON, one object a line, a key
+    that is not there is NULL.
     """
+    readers = {"csv": _read_csv, "json": _read_json}
     tables = {}
     for view in views:
-        reader = spark.read.format(fmt).options(**options)
-        if fmt in ("csv", "json"):
-            reader = reader.schema(SCHEMAS[view])
-        if fmt == "csv":
-            reader = reader.options(header="true", escape='"', enforceSchema="true")
-        tables[view] = conform(reader.load(f"{location.rstrip('/')}/{view}"), view, source_keys)
+        path = f"{location.rstrip('/')}/{view}"
+        if fmt in readers:
+            tables[view] = conform(readers[fmt](spark, path, view, source_keys, options), view, source_keys)
+        else:
+            tables[view] = conform(spark.read.format(fmt).options(**options).load(path), view, source_keys)
     return tables
 
 
+def _read_csv(
+    spark: SparkSession, path: str, view: str, source_keys: Sequence[str], options: Mapping[str, str]
+) -> DataFrame:
+    """All columns as text under the files' own header."""
+    reader = spark.read.options(header="true", escape='"', enforceSchema="false").options(**options)
+    named = StructType([StructField(c, StringType()) for c in reader.csv(path).columns if c not in source_keys])
+    return reader.schema(named).csv(path)
+
+
+def _read_json(
+    spark: SparkSession, path: str, view: str, source_keys: Sequence[str], options: Mapping[str, str]
+) -> DataFrame:
+    """The view's keys as text, in any case."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    found = lines.withColumn("_keys", F.from_json("value", "map<string,string>", dict(options)))
+    lowered = F.transform_keys("_keys", lambda key, value: F.lower(key))
+    found = found.withColumn("_lowered", lowered)
+    return found.select(*source_keys, *[F.col("_lowered")[name].alias(name) for name in columns(view)])
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,

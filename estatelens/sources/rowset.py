@@ -6,10 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+ROWS_PER_FILE = 1_000_000
+
+
 def write_rowset(df: DataFrame, path: str) -> None:
-    """Write ``df`` as a folder of CSV files; part order is row order for a sorted result."""
+    """Write ``df`` as a folder of CSV files; part order is row order for a sorted result.
+
+    Blanks at the edges of a text are kept. A file is read back by one task, so its rows are bounded.
+    """
     upper = df.toDF(*[c.upper() for c in df.columns])
-    upper.write.csv(path, header=True, quoteAll=True, escape='"', emptyValue="")
+    upper.write.option("maxRecordsPerFile", ROWS_PER_FILE).csv(
+        path,
+        header=True,
+        quoteAll=True,
+        escape='"',
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def read_rowset(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

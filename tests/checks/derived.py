@@ -8,7 +8,9 @@ from __future__ import annotations
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from estatelens.plans.seeds import RUBRIC as DEFAULT_RUBRIC
 from estatelens.sources import literal_table
 
 SOURCE = "source_id"
@@ -20,6 +22,9 @@ RUBRIC = [
     ("Plate", "RED", "r2"),
 ]
 
+# The default rubric's patterns, and two features it does not know.
+FEATURE_NAMES = [*[pattern for pattern, _, _ in DEFAULT_RUBRIC], "Resource Manager", "Flashback"]
+
 # Columns of the test data's tables; given, no job has to read them from the files.
 BASE = {
     "region": "r_regionkey int, r_name string",
@@ -74,7 +79,7 @@ class Derived:
         seconds_into_hour = "make_dt_interval(0, 0, minute(ts), extract(SECOND FROM ts))"
         return self.base("events").selectExpr(
             *self._source("user_id"),
-            "CAST(user_id % 2 AS INT) + 1 AS instance_number",
+            "CAST(user_id DIV 5 AS INT) + 1 AS instance_number",
             "CAST(1 AS BIGINT) AS dbid",
             "CAST(day(ts) * 48 + hour(ts) * 2 + IF(minute(ts) >= 30, 1, 0) AS BIGINT) AS snap_id",
             f"ts - {seconds_into_hour} + make_dt_interval(0, 0, IF(minute(ts) >= 30, 30, 0)) AS begin_interval_time",
@@ -279,14 +284,63 @@ class Derived:
     def enabled(self) -> DataFrame:
         return (
             self.base("part")
-            .where("p_partkey < 60")
             .selectExpr(
                 *self._source("p_size"),
                 "concat(IF(p_size < 12, 'ORAX', 'APP_'), CAST(p_size AS STRING)) AS policy_name",
                 "p_brand AS enabled_option",
             )
+            .distinct()
+        )
+
+    # -- production values ------------------------------------------------------------------------
+
+    def default_features(self) -> DataFrame:
+        """Features under the names of the default rubric, and two it does not know."""
+        names = ", ".join(f"'{n}'" for n in FEATURE_NAMES)
+        return self.features().withColumn(
+            "name", F.expr(f"concat(get(array({names}), CAST(aux_count % {len(FEATURE_NAMES)} AS INT)), ' ', name)")
         )
 
+    def default_catalog(self) -> dict[str, DataFrame]:
+        """The views of the production detectors, from all rows, with some product-owned schemas."""
+        views = {
+            "dba_objects": ("part", "p_size", {
+                "owner": "CASE p_size WHEN 7 THEN 'SYS' WHEN 8 THEN 'MDSYS' ELSE p_brand END",
+                "object_name": "concat(p_name, '#', CAST(p_partkey AS STRING))",
+                "object_type": "CASE p_partkey % 5 WHEN 0 THEN 'JAVA SOURCE' WHEN 1 THEN 'JAVA CLASS' "
+                "WHEN 2 THEN 'JAVA RESOURCE' WHEN 3 THEN 'TABLE' ELSE 'VIEW' END",
+            }),
+            "dba_tab_columns": ("customer", "c_nationkey", {
+                "owner": "IF(c_custkey % 7 = 0, 'XDB', c_mktsegment)",
+                "table_name": "c_name",
+                "column_name": "concat('C', CAST(c_nationkey AS STRING))",
+                "data_type": "CASE c_custkey % 4 WHEN 0 THEN 'SDO_GEOMETRY' WHEN 1 THEN 'XMLTYPE' ELSE 'NUMBER' END",
+            }),
+            "dba_types": ("supplier", "s_nationkey", {
+                "owner": "concat('APP_', CAST(s_nationkey AS STRING))",
+                "type_name": "s_name",
+                "predefined": "IF(s_suppkey % 2 = 0, 'NO', 'YES')",
+            }),
+            "dba_db_links": ("orders", "o_custkey", {
+                "owner": "o_orderpriority", "db_link": "concat('L', CAST(o_orderkey AS STRING))"
+            }),
+            "dba_mviews": ("customer", "c_nationkey", {"owner": "c_mktsegment", "mview_name": "c_name"}),
+            "dba_external_tables": ("supplier", "s_nationkey", {"owner": "'APP'", "table_name": "s_name"}),
+            "dba_queues": ("nation", "n_nationkey", {"owner": "n_name", "name": "concat('Q_', n_name)"}),
+            "dba_dependencies": ("lineitem", "l_suppkey", {
+                "owner": "IF(l_returnflag = 'N', 'OUTLN', l_returnflag)",
+                "name": "concat(CAST(l_orderkey AS STRING), '-', CAST(l_partkey AS STRING), '-', "
+                "CAST(l_suppkey AS STRING), '-', CAST(l_linenumber AS STRING))",
+                "referenced_owner": "IF(l_suppkey % 2 = 0, 'SYS', 'APP')",
+                "referenced_name": "CASE l_partkey % 6 WHEN 0 THEN 'UTL_FILE' WHEN 1 THEN 'UTL_HTTP' "
+                "WHEN 2 THEN 'UTL_SMTP' WHEN 3 THEN 'UTL_TCP' WHEN 4 THEN 'DBMS_PIPE' ELSE 'DBMS_LOCK' END",
+            }),
+        }
+        return {
+            view: self.base(table).selectExpr(*self._source(number), *[f"{e} AS {c}" for c, e in columns.items()])
+            for view, (table, number, columns) in views.items()
+        }
+
     # -- environment ----------------------------------------------------------------------------
 
     def database(self) -> DataFrame:
@@ -302,7 +356,9 @@ class Derived:
         return self.base("events").selectExpr(*self._source("user_id"), version)
 
     def cluster_instances(self) -> DataFrame:
-        return self.snapshots().selectExpr(*self.keys, "instance_number AS inst_id").distinct()
+        """One source of a fleet has no node rows."""
+        nodes = self.snapshots().selectExpr(*self.keys, "instance_number AS inst_id").distinct()
+        return nodes.where(f"{SOURCE} <> 'S4'") if self.fleet else nodes
 
     def parameters(self) -> DataFrame:
         return self.base("customer").selectExpr(

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelens.checks.derived import Derived
-from estatelens.checks.expected import AS_OF, CAPTURED_AT, HOST, RUN_ID
+from tests.checks.derived import Derived
+from tests.checks.expected import AS_OF, CAPTURED_AT, HOST, RUN_ID
 from estatelens import operators as ops
 from estatelens import plans
 from estatelens.functions import (
@@ -22,7 +22,7 @@ from estatelens.functions import (
 )
 from estatelens.plans.seeds import IO_REQUESTS, SPEC_OF_BODY
 from estatelens.session import shared_folder
-from estatelens.sources import checksum_manifest, read_rowset, write_rowset
+from estatelens.sources import checksum_manifest, literal_table, read_catalog, read_rowset, write_rowset
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,10 +46,7 @@ DETECTORS = (
         "dba_dependencies",
         "MEDIUM",
         ("owner", "name", "referenced_name"),
-        (
-            ("referenced_name", ("1", "2", "3", "4", "6", "7", "8", "9")),
-            ("referenced_owner", tuple(f"NATION_{i}" for i in range(13))),
-        ),
+        (("referenced_owner", tuple(f"NATION_{i}" for i in range(13))),),
         (".", ":"),
     ),
 )
@@ -75,13 +72,16 @@ def _cpu_memory(d: Derived) -> DataFrame:
     return plans.cpu_memory_by_snapshot(d.snapshots(), d.osstat(), d.pgastat(), AS_OF, d.keys)
 
 
-def _blockers(d: Derived) -> DataFrame:
-    catalog = {
+def _blocker_catalog(d: Derived) -> dict[str, DataFrame]:
+    return {
         "dba_objects": d.objects(),
         "dba_part_tables": d.part_tables(),
         "dba_dependencies": d.dependencies(),
     }
-    return plans.blocker_inventory(catalog, DETECTORS, d.excluded(), d.keys)
+
+
+def _blockers(d: Derived) -> DataFrame:
+    return plans.blocker_inventory(_blocker_catalog(d), DETECTORS, d.excluded(), d.keys)
 
 
 def _code_units(d: Derived) -> DataFrame:
@@ -113,15 +113,24 @@ def _manifest(d: Derived) -> DataFrame:
 
 
 def _manifest_document(d: Derived) -> DataFrame:
-    return plans.manifest_document(_manifest(d))
+    return plans.manifest_document(_manifest(d), d.keys)
 
 
 def _scorecard(d: Derived) -> DataFrame:
-    return plans.scorecard(_feature_score(d), _blockers(d), _manifest(d), d.keys)
+    counts = plans.blocker_counts(_blocker_catalog(d), DETECTORS, d.excluded(), d.keys)
+    return plans.scorecard(_feature_score(d), counts, _manifest(d), d.keys)
 
 
 def _summary_document(d: Derived) -> DataFrame:
-    return plans.summary_document(_scorecard(d))
+    return plans.summary_document(_scorecard(d), d.keys)
+
+
+def _feature_score_default(d: Derived) -> DataFrame:
+    return plans.feature_score(d.default_features(), source_keys=d.keys)
+
+
+def _blockers_default(d: Derived) -> DataFrame:
+    return plans.blocker_inventory(d.default_catalog(), source_keys=d.keys)
 
 
 def _file_checksums(d: Derived) -> DataFrame:
@@ -136,14 +145,18 @@ def _latest_per_key(d: Derived) -> DataFrame:
     return latest.select("dbid", "name", "last_sample_date", "aux_count", "detected_usages")
 
 
-def _rubric(d: Derived, **options: int) -> DataFrame:
+def _rubric(d: Derived) -> DataFrame:
     default = {"target_score": "AMBER", "target_notes": "none"}
     parts = d.base("part").select("p_partkey", "p_name")
-    return ops.rubric_join(parts, "p_name", d.rubric(), "feature_pattern", default, **options)
+    return ops.rubric_join(parts, "p_name", d.rubric(), "feature_pattern", default)
 
 
-def _rubric_shuffled(d: Derived) -> DataFrame:
-    return _rubric(d, broadcast_rows=0)
+def _rubric_wildcards(d: Derived) -> DataFrame:
+    """Patterns with wildcards, some of nothing else."""
+    rows = [("r_ng", "a"), ("s%l w", "b"), ("%", "c"), ("_" * 11, "d"), ("t", "e"), ("", "f"), (None, "g")]
+    rubric = literal_table(d.spark, ["feature_pattern", "target_score"], rows)
+    parts = d.base("part").select("p_partkey", "p_name")
+    return ops.rubric_join(parts, "p_name", rubric, "feature_pattern", {"target_score": "AMBER"})
 
 
 def _order_by_band(d: Derived) -> DataFrame:
@@ -279,14 +292,83 @@ def _band_counts(d: Derived) -> DataFrame:
     return ops.band_counts(d.base("part"), "p_type", {"PROMO": "promo", "ECONOMY": "economy"}, by=["p_brand"])
 
 
+def _scratch(d: Derived, name: str) -> str:
+    return f"{shared_folder(d.spark)}/{name}/{uuid.uuid4()}"
+
+
 def _csv_rowset(d: Derived) -> DataFrame:
-    """A report written as CSV to the shared folder and read back."""
-    report = _partition_topology(d)
-    path = f"{shared_folder(d.spark)}/rowsets/{uuid.uuid4()}"
+    """A report written as CSV to the shared folder and read back; names with blanks at their edges."""
+    report = _partition_topology(d).withColumn("table_name", F.concat(F.lit("  "), "table_name", F.lit(" ")))
+    path = _scratch(d, "rowsets")
     write_rowset(report, path)
     return read_rowset(d.spark, path, report.schema)
 
 
+def _foreign_users(d: Derived) -> DataFrame:
+    """The user view as another tool might write it: other order, upper case, a column more."""
+    names = F.concat(F.lit(" "), "username", F.lit('" ,x'))
+    return d.users().select(
+        F.lit(1).alias("USER_ID"), F.col("oracle_maintained").alias("ORACLE_MAINTAINED"), names.alias("USERNAME")
+    )
+
+
+def _catalog_csv(d: Derived) -> DataFrame:
+    folder = _scratch(d, "catalog_csv")
+    _foreign_users(d).write.csv(
+        f"{folder}/dba_users",
+        header=True,
+        quoteAll=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    return read_catalog(d.spark, folder, ["dba_users"], "csv")["dba_users"]
+
+
+def _catalog_json(d: Derived) -> DataFrame:
+    folder = _scratch(d, "catalog_json")
+    _foreign_users(d).write.json(f"{folder}/dba_users")
+    return read_catalog(d.spark, folder, ["dba_users"], "json")["dba_users"]
+
+
+def _bundle_readback(d: Derived) -> DataFrame:
+    """A whole bundle, written, and some of its reports read back as text rows."""
+    catalog = d.default_catalog() | {
+        "dba_feature_usage_statistics": d.features(),
+        "dba_hist_snapshot": d.snapshots(),
+        "dba_hist_sysstat": d.sysstat(),
+        "dba_hist_system_event": d.system_event(),
+        "dba_hist_osstat": d.osstat(),
+        "dba_hist_pgastat": d.pgastat(),
+        "dba_users": d.users(),
+        "dba_source": d.source(),
+        "dba_dependencies": d.dependencies(),
+        "dba_part_tables": d.part_tables(),
+        "dba_tab_subpartitions": d.subpartitions(),
+        "dba_tables": d.tables(),
+        "dba_audit_policies": d.fine_grained(),
+        "audit_unified_policies": d.unified(),
+        "audit_unified_enabled_policies": d.enabled(),
+        "v_database": d.database(),
+        "v_instance": d.instance(),
+        "gv_instance": d.cluster_instances(),
+        "nls_database_parameters": d.parameters(),
+    }
+    out = plans.write_bundle(d.spark, catalog, _scratch(d, "bundles"), uuid.uuid4().hex, CAPTURED_AT, HOST, AS_OF)
+    reports = {
+        "schema_complexity/plsql_inventory.csv": _code_inventory(d),
+        "schema_complexity/plsql_hotspots.csv": _code_hotspots(d),
+        "schema_complexity/partition_topology.csv": _partition_topology(d),
+        "schema_complexity/fga_policies.csv": _audit_policies(d),
+    }
+    read = None
+    for place, report in reports.items():
+        rows = read_rowset(d.spark, f"{out}/{place}", report.schema)
+        rows = rows.select(F.lit(place).alias("report"), F.concat_ws("|", *rows.columns).alias("row_text"))
+        read = rows if read is None else read.unionByName(rows)
+    return read
+
+
 _JOBS = {
     "feature_score": _feature_score,
     "iops_by_hour": _iops,
@@ -303,15 +385,19 @@ _JOBS = {
     "scorecard": _scorecard,
     "summary_document": _summary_document,
     "file_checksums": _file_checksums,
+    "bundle_readback": _bundle_readback,
+    "feature_score_default": _feature_score_default,
+    "blocker_inventory_default": _blockers_default,
 }
 
-_SINGLE_SOURCE_ONLY = ("manifest_document", "summary_document", "file_checksums")
+_SINGLE_SOURCE_ONLY = ("file_checksums", "bundle_readback")
 _FLEET = {name: build for name, build in _JOBS.items() if name not in _SINGLE_SOURCE_ONLY}
 
 _OPERATORS = {
     "latest_per_key": _latest_per_key,
     "rubric_join": _rubric,
-    "rubric_join_shuffled": _rubric_shuffled,
+    "rubric_join_shuffled": _rubric,
+    "rubric_join_wildcards": _rubric_wildcards,
     "order_by_band": _order_by_band,
     "rolling_window": _rolling_window,
     "stat_pivot": _stat_pivot,
@@ -334,6 +420,8 @@ _OPERATORS = {
     "enabled_flag": _enabled_flag,
     "band_counts": _band_counts,
     "csv_rowset": _csv_rowset,
+    "catalog_csv": _catalog_csv,
+    "catalog_json": _catalog_json,
 }
 
 

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         "tests",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

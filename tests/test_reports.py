@@ -46,7 +46,7 @@ def test_feature_score(view):
         ("SecureFiles", "AMBER"),
         ("Partitioning (user)", "GREEN"),
     ]
-    assert report.where("feature_name = 'SecureFiles'").first().target_notes == "Not in the rubric; review by hand"
+    assert report.where("feature_name = 'SecureFiles'").first().target_notes == "assess (effort unknown)"
     assert report.columns == [
         "feature_name",
         "currently_used",

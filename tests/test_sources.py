@@ -32,14 +32,14 @@ REPORTS = {
 
 
 def test_rowset_round_trip(spark, make, tmp_path):
-    rows = [(1, 'a "quoted", text', date(2024, 1, 2), 0.5), (2, "line\nbreak", None, None), (3, None, None, 12345678.1)]
+    rows = [(1, '  a "quoted", text ', date(2024, 1, 2), 0.5), (2, "line\nbreak", None, None), (3, None, None, 12345678.1)]
     df = make("id bigint, text string, day date, rate double", rows)
     path = str(tmp_path / "out.csv")
     write_rowset(df.coalesce(1), path)
     (part,) = Path(path).glob("part-*.csv")
     assert part.read_text().splitlines()[0] == '"ID","TEXT","DAY","RATE"'
     with part.open(newline="") as f:
-        assert next(csv.DictReader(f))["TEXT"] == 'a "quoted", text'
+        assert next(csv.DictReader(f))["TEXT"] == '  a "quoted", text '
     assert sorted(tuples(read_rowset(spark, path, df.schema))) == rows
 
 
@@ -51,7 +51,7 @@ def test_rowset_with_other_columns_is_refused(spark, make, tmp_path):
 
 
 def test_checksums_equal_sha256(spark, tmp_path):
-    files = {"a.txt": b"one", "sub/b.bin": bytes(range(256)) * 50, "sub/deep/c c.txt": b"", "sub/d+%20é.txt": b"d", "e+%é": b"", "checksums.sha256": b"x", "sub/mab.sig": b"y"}
+    files = {"a.txt": b"one", "_u.txt": b"u", ".h.txt": b"h", "_d/x.txt": b"", "large": b"0123456789" * 2_000_000, "sub/b.bin": bytes(range(256)) * 50, "sub/deep/c c.txt": b"", "sub/d+%20é.txt": b"d", "e+%é": b"", "checksums.sha256": b"x", "sub/mab.sig": b"y"}
     for name, content in files.items():
         path = tmp_path / name
         path.parent.mkdir(parents=True, exist_ok=True)
@@ -59,8 +59,8 @@ def test_checksums_equal_sha256(spark, tmp_path):
     wanted = [(hashlib.sha256(c).hexdigest(), f"./{n}") for n, c in sorted(files.items()) if not n.endswith(("sha256", "sig"))]
     assert tuples(checksum_manifest(spark, str(tmp_path))) == wanted
     assert tuples(checksum_manifest(spark, f"file://{tmp_path}/")) == wanted
-    # files above the limit are streamed
-    assert tuples(checksum_manifest(spark, str(tmp_path), whole_file_bytes=1)) == wanted
+    with pytest.raises(ValueError, match="dbfs"):
+        checksum_manifest(spark, "dbfs:/x")
     with pytest.raises(ValueError, match="absolute"):
         checksum_manifest(spark, "relative/path")
 
@@ -85,6 +85,14 @@ def test_read_catalog(spark, make, tmp_path, fmt):
     assert sorted(tuples(read)) == sorted(tuples(snapshots))
 
 
+def test_csv_files_with_other_headers_are_refused(spark, make, tmp_path):
+    path = f"{tmp_path}/dba_users"
+    make("ORACLE_MAINTAINED string, USERNAME string", [("N", "APP")]).coalesce(1).write.csv(path, header=True)
+    make("USERNAME string, ORACLE_MAINTAINED string", [("HR", "Y")]).coalesce(1).write.mode("append").csv(path, header=True)
+    with pytest.raises(Exception, match="(?i)header|column"):
+        tuples(read_catalog(spark, str(tmp_path), ["dba_users"], "csv")["dba_users"])
+
+
 def test_shared_folder_is_the_clusters(spark, monkeypatch):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
@@ -151,8 +159,8 @@ def test_bundle(spark, catalog, tmp_path):
     listed = dict(reversed(line.split("  ")) for line in text("checksums.sha256").splitlines())
     written = {
         f"./{p.relative_to(folder)}": hashlib.sha256(p.read_bytes()).hexdigest()
-        for p in folder.rglob("part-*")
-        if "checksums.sha256" not in p.parts
+        for p in folder.rglob("*")
+        if p.is_file() and "checksums.sha256" not in p.parts
     }
     assert listed == written
 
