@@ -239,12 +239,13 @@ def score_toxicity(
     )
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     texts = docs.select("doc_id", "text")
-    counted = texts.where(remainder < 2).join(marks, "doc_id")
+    # Labels grow with the texts, so they are never broadcast, whatever their size.
+    counted = texts.where(remainder < 2).join(marks.hint("merge"), "doc_id")
     grams = gram_counts(counted).checkpoint()
     seen, unseen = log_ratios(grams)
     tables = _slot_table(seen, "gram", slot_bits), _slot_table(unseen, "context", slot_bits)
     features = score_features(texts, *tables, slot_bits).checkpoint()
-    calibrate = features.where(remainder == 3).join(marks, "doc_id")
+    calibrate = features.where(remainder == 3).join(marks.hint("merge"), "doc_id")
     model = sample_and_fit(calibrate, _FEATURES, "toxic", sample_rows)
     score = model.column([F.col(x) for x in _FEATURES])
     return features.select(
