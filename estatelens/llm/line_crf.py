@@ -112,6 +112,22 @@ class Lines:
         self.features = np.hstack([own, before, after, np.ones((len(own), 1))])
 
 
+#: Bytes of texts whose lines are described at once.
+_PIECE_BYTES = 1 << 19
+
+
+def _text_pieces(texts: list[bytes]) -> Iterator[list[bytes]]:
+    piece, size = [], 0
+    for text in texts:
+        if piece and size + len(text) > _PIECE_BYTES:
+            yield piece
+            piece, size = [], 0
+        piece.append(text)
+        size += len(text)
+    if piece:
+        yield piece
+
+
 @dataclass(frozen=True)
 class Chain:
     """Line weights (one per feature, for good against bad) and scores of neighbouring labels."""
@@ -158,18 +174,21 @@ def marginals(chain: Chain, features: np.ndarray, count: np.ndarray, first: np.n
 
 def fit_chain(texts: list[bytes], labels: np.ndarray, rounds: int = ROUNDS, ridge: float = RIDGE) -> Chain:
     """Gradient ascent (with step sizes adapted per weight) on the likelihood; a line has its document's label."""
-    lines = Lines(texts)
-    wanted = np.repeat(labels.astype(np.float64), lines.count)
+    described = [Lines(piece) for piece in _text_pieces(texts)]
+    features = np.concatenate([x.features for x in described])
+    count = np.concatenate([x.count for x in described])
+    first = np.concatenate([[0], np.cumsum(count)])[:-1]
+    wanted = np.repeat(labels.astype(np.float64), count)
     total = len(wanted)
     chain = Chain(np.zeros(_WIDTH), np.zeros((2, 2)))
-    inner = (lines.count - 1).astype(np.float64)
+    inner = (count - 1).astype(np.float64)
     seen = np.diag([float(inner[labels == 0].sum()), float(inner[labels == 1].sum())])
     theta = np.zeros(_WIDTH + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
         chain = Chain(theta[:_WIDTH], theta[_WIDTH:].reshape(2, 2))
-        good, expected, _ = marginals(chain, lines.features, lines.count, lines.first[:-1])
-        gradient = np.concatenate([lines.features.T @ (wanted - good), (seen - expected).ravel()]) / total
+        good, expected, _ = marginals(chain, features, count, first)
+        gradient = np.concatenate([features.T @ (wanted - good), (seen - expected).ravel()]) / total
         gradient -= ridge * theta
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         theta = theta + 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -205,7 +224,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, sample: int):
     raw = [(r["text"] or "").encode() for r in rows]
     quality = np.array([r["quality"] for r in rows])
     chain = fit_chain(raw, quality)
-    share, _ = document_quality(chain, raw)
+    share = np.concatenate([document_quality(chain, piece)[0] for piece in _text_pieces(raw)])
     return chain, fit_logistic(_odds(share)[:, None], quality.astype(np.float64))
 
 
@@ -237,7 +256,7 @@ def score_quality(
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, model = shared.value
         for batch in batches:
-            for piece in pieces(batch, size=1 << 19):
+            for piece in pieces(batch, size=_PIECE_BYTES):
                 score, share, lines = _scores(chain, model, text_bytes(piece.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), pa.array(score), pa.array(share), pa.array(lines)],
@@ -265,7 +284,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, model = shared.value
         for batch in batches:
-            for piece in pieces(batch, size=1 << 19):
+            for piece in pieces(batch, size=_PIECE_BYTES):
                 score, _, _ = _scores(chain, model, text_bytes(piece.column("text")))
                 yield piece.filter(pa.array(score >= threshold))
 
