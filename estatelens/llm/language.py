@@ -27,6 +27,9 @@ SAMPLE_TEXTS = 2_400
 LANDMARKS = 600
 RIDGE = 1e-4
 
+#: Rows of the table of languages that are broadcast; there are some seven thousand languages.
+BROADCAST_LANGUAGES = 10_000
+
 #: Rows of one presence matrix.
 _BATCH = 128
 
@@ -99,6 +102,8 @@ def _sample(docs: DataFrame, sample_texts: int) -> tuple[np.ndarray, list[str]]:
     total = counts.agg(F.count("*")).first()[0]
     each = max(1, sample_texts // max(1, total))
     # A row is drawn if its hash falls into its language's share of all hashes.
+    # One row per language; a column with more values than there are languages is joined by shuffle.
+    counts = F.broadcast(counts) if total <= BROADCAST_LANGUAGES else counts
     drawn = known.join(counts, "lang").where(F.col("draw") / F.lit(2.0**64) + 0.5 < F.lit(each) / F.col("n"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
