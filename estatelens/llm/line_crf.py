@@ -21,9 +21,11 @@ from estatelens.llm.words import SPACED_BYTES, Words, held_out, pieces, text_byt
 
 THRESHOLD = 0.7
 
-#: Labelled documents to fit on, and the lines such a document may have at most (longer ones are not drawn).
+#: Labelled documents to fit on, and the lines and characters such a document may have at most (longer ones
+#: are not drawn). Together they bound what the driver holds; scores read every text whole.
 SAMPLE_DOCUMENTS = 4_000
-SAMPLE_LINES = 2_000
+SAMPLE_LINES = 200
+SAMPLE_CHARACTERS = 60_000
 ROUNDS = 60
 RIDGE = 1e-4
 
@@ -217,7 +219,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, sample: int):
     # The ids are drawn first, so only their texts are moved.
     drawn = hash_sample(marks, sample, "doc_id")
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
-    short = F.size(F.split("text", "\n")) <= SAMPLE_LINES
+    short = (F.size(F.split("text", "\n")) <= SAMPLE_LINES) & (F.char_length("text") <= SAMPLE_CHARACTERS)
     rows = texts.where(F.col("text").isNull() | short).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).collect()
     if not rows:
         return Chain(np.zeros(_WIDTH), np.zeros((2, 2))), fit_logistic(np.zeros((0, 1)), np.zeros(0))
@@ -246,7 +248,7 @@ def score_quality(
     """``doc_id, held_out, score, predicted, good_share, n_lines`` for each row of ``docs``.
 
     Fits on ``sample`` labelled documents, drawn by a hash of the id, of which one with more than
-    ``SAMPLE_LINES`` lines is passed over; held-out rows are never drawn. Ids with several labels count as
+    ``SAMPLE_LINES`` lines or ``SAMPLE_CHARACTERS`` characters is passed over; held-out rows are never drawn. Ids with several labels count as
     the lowest. A null or empty text is one empty line. ``good_share`` is the marginals' mean weighted by
     bytes; ``score`` calibrates it. Without labels of both classes the score is the share of good ones,
     or a half. Equal rows score alike; other columns are not read.
