@@ -2,6 +2,16 @@
 
 from __future__ import annotations
 
+from estatelens.llm.distribution_rules import (
+    CLASS_DISTANCE,
+    CLASS_WORDS,
+    COMMON,
+    COMMON_DISTANCE,
+    COMMON_WORDS,
+    OTHER,
+)
+from estatelens.llm.secret_scan import FURTHER_RULES
+
 _SOURCES = """
     SELECT doc_id, source, coalesce(text, '') AS text, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS draw,
            md5(coalesce(text, '')) AS text_draw,
@@ -97,5 +107,151 @@ FROM docs d LEFT JOIN hit_words w USING (r) LEFT JOIN hit_items i USING (r)
 """
 
 
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+#: Language, place and word of each common word, as a list of values.
+_COMMON_ROWS = ", ".join(
+    f"({_quoted(language)}, {i}, {_quoted(word)})" for language, words in COMMON.items() for i, word in enumerate(words)
+)
+_LANGUAGES = ", ".join(map(_quoted, COMMON))
+
+#: Histograms as rows (text, kind, bin, count), references as their sums by language, distances as sums over bins.
+OP7_QUALITY_RULES = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+           CASE WHEN lang IN ({_LANGUAGES}) THEN lang ELSE {_quoted(OTHER)} END AS language,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+common_words(language, bin, word) AS (VALUES {_COMMON_ROWS}),
+doc_words AS (
+    SELECT r, language, unnest(words) AS word, unnest(generate_series(1, len(words))) AS pos FROM docs WHERE len(words) > 0
+),
+windows AS (
+    SELECT r, pos, words[pos : pos + 4] AS shown
+    FROM (SELECT r, words, unnest(generate_series(1, len(words) - 4)) AS pos FROM docs WHERE len(words) >= 5)
+),
+repeated AS (SELECT r, pos FROM (SELECT *, count(*) OVER (PARTITION BY r, shown) AS times FROM windows) WHERE times > 1),
+repeat_words AS (
+    SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(generate_series(pos, pos + 4)) AS word FROM repeated) GROUP BY r
+),
+filled_lines AS (
+    SELECT r, line FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+),
+dup_lines AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM filled_lines GROUP BY r),
+measured AS (
+    SELECT d.r, d.doc_id, d.language, length(d.text) AS size, len(d.words) AS n_words,
+           length(array_to_string(d.words, '')) AS word_chars, coalesce(l.n, 0) AS n_dup_lines,
+           coalesce(w.n, 0) AS n_repeat_words, len(regexp_extract_all(d.text, '[#*$%&|<>]')) AS n_symbols,
+           len(regexp_extract_all(d.text, '[A-Z]')) AS n_upper, len(regexp_extract_all(d.text, '[0-9]')) AS n_digit,
+           len(regexp_extract_all(d.text, '[!?]')) AS n_mark, len(regexp_extract_all(d.text, '[.,;:''"()-]')) AS n_stop
+    FROM docs d LEFT JOIN dup_lines l USING (r) LEFT JOIN repeat_words w USING (r)
+),
+seen AS (
+    SELECT d.r, c.bin, count(*) AS n
+    FROM doc_words d JOIN common_words c ON c.language = d.language AND c.word = lower(d.word) GROUP BY d.r, c.bin
+),
+rest AS (
+    SELECT m.r, m.n_words - coalesce(sum(s.n), 0) AS n FROM measured m LEFT JOIN seen s USING (r) GROUP BY m.r, m.n_words
+),
+histograms AS (
+    SELECT r, language, 'class' AS kind,
+           unnest(['space', 'symbol', 'upper', 'digit', 'mark', 'stop', 'letter']) AS bin,
+           unnest([size - word_chars, n_symbols, n_upper, n_digit, n_mark, n_stop,
+                   word_chars - n_symbols - n_upper - n_digit - n_mark - n_stop]) AS n
+    FROM measured
+    UNION ALL
+    SELECT m.r, m.language, 'common', CAST(c.bin AS VARCHAR), coalesce(s.n, 0)
+    FROM measured m JOIN common_words c USING (language) LEFT JOIN seen s ON s.r = m.r AND s.bin = c.bin
+    UNION ALL
+    SELECT m.r, m.language, 'common', 'rest', q.n FROM measured m JOIN rest q USING (r)
+),
+reference AS (SELECT language, kind, bin, CAST(sum(n) AS DOUBLE) AS n FROM histograms GROUP BY ALL),
+shares AS (
+    SELECT h.r, h.kind,
+           coalesce(h.n / nullif(CAST(sum(h.n) OVER (PARTITION BY h.r, h.kind) AS DOUBLE), 0), 0) AS p,
+           coalesce(f.n / nullif(sum(f.n) OVER (PARTITION BY h.r, h.kind), 0), 0) AS q
+    FROM histograms h JOIN reference f USING (language, kind, bin)
+),
+distances AS (
+    SELECT r, kind, sqrt(greatest(sum(
+        CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+        + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS js
+    FROM shares GROUP BY r, kind
+),
+judged AS (
+    SELECT m.*, a.js AS class_js, b.js AS common_js,
+           m.n_words < 10 OR 100 * m.n_repeat_words > 20 * m.n_words AS base_failed
+    FROM measured m JOIN distances a ON a.r = m.r AND a.kind = 'class' JOIN distances b ON b.r = m.r AND b.kind = 'common'
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       round(class_js, 6) AS class_js, round(common_js, 6) AS common_js,
+       NOT base_failed AND NOT (n_words >= {CLASS_WORDS} AND class_js > {CLASS_DISTANCE})
+           AND NOT (n_words >= {COMMON_WORDS} AND common_js > {COMMON_DISTANCE}) AS kept
+FROM judged
+"""
+
+#: The contract's kinds as ``kind, pattern, group, least``.
+_SECRET_KINDS = [
+    (
+        "assign",
+        r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        2,
+        12,
+    ),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18),
+    ("hex", r"[0-9a-f]+", 0, 16),
+]
+
+
+def _secret_matches(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    shown = _quoted(pattern)
+    return f"""
+    SELECT r, {rank} AS place, '{kind}' AS kind, unnest(regexp_extract_all(text, {shown}, 0)) AS shown,
+           unnest(regexp_extract_all(text, {shown}, {group})) AS checked, {least} AS least,
+           unnest(list_slice(string_split_regex(text, {shown}), 1, -2)) AS gap,
+           unnest(generate_series(1, len(regexp_extract_all(text, {shown}, 0)))) AS i
+    FROM docs"""
+
+
+_SECRET_MATCHES = " UNION ALL ".join(
+    _secret_matches(rank, *rule) for rank, rule in enumerate([*_SECRET_KINDS, *[tuple(r) for r in FURTHER_RULES]])
+)
+
+#: A match starts after what lies between the matches before it and those matches themselves.
+OP8_SECRETS = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({_SECRET_MATCHES}),
+ended AS (
+    SELECT *, sum(length(gap) + length(shown)) OVER (PARTITION BY r, place ORDER BY i ROWS UNBOUNDED PRECEDING) AS stop FROM found
+),
+spans AS (
+    SELECT r, place, kind, stop - length(shown) AS start,
+           kind || ':' || CAST(CAST(stop - length(shown) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(stop AS BIGINT) AS VARCHAR) AS span
+    FROM ended WHERE length(checked) >= least
+),
+per_text AS (
+    SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY start, place) AS spans,
+           string_agg(span, ',' ORDER BY start, place) FILTER (place < 3) AS base
+    FROM spans GROUP BY r
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN per_text USING (r)
+"""
+
+
 def expected() -> dict[str, str]:
-    return {"op6_contamination": OP6_CONTAMINATION, "op9_mixing": OP9_MIXING}
+    return {
+        "op6_contamination": OP6_CONTAMINATION,
+        "op7_quality_rules": OP7_QUALITY_RULES,
+        "op8_secrets": OP8_SECRETS,
+        "op9_mixing": OP9_MIXING,
+    }

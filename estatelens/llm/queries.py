@@ -90,7 +90,8 @@ def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared_folder(spark)
-    return distribution_rules.quality_rules(table(spark, sf_dir, "documents"))
+    judged = distribution_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return judged.withColumns({c: F.round(c, 6) for c in ("class_js", "common_js")})
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
