@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,3 +201,30 @@ def test_spans_merge(spark):
     runs = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(0).alias("rank"), F.lit(b).alias("end"), F.lit(k).alias("kind")) for a, b, k in ((1, 4, "a"), (2, 3, "b"), (3, 6, "c"), (6, 8, "d"))])
     rows = docs.select("text", spans.without_overlap(runs).alias("runs")).select(spans.replaced(F.col("text"), F.col("runs")))
     assert rows.first()[0] == "0[A][D]89"
+
+
+def test_long_span_lists(spark):
+    """More spans than a chunk holds, with runs that go on from one chunk to the next."""
+    text = "ab12 é3 " * 1500
+    rows = spark.createDataFrame([(text,), ("",), (None,)], "text string")
+    digits = spans.placed(F.coalesce("text", F.lit("")), spans.matches(F.coalesce("text", F.lit("")), "[0-9]+"), "[0-9]+")
+    found = {r["text"]: r["spans"] for r in rows.select("text", digits.alias("spans")).collect()}
+    assert [tuple(s) for s in found[text]] == [(m.start(), m.end(), m.group()) for m in re.finditer("[0-9]+", text)]
+    assert found[""] == found[None] == []
+
+    draw = random.Random(5)
+    given = sorted((a, 0, a + draw.choice((1, 2, 3, 900)), draw.choice("xyz")) for a in draw.choices(range(11_000), k=1_200))
+    wanted: list[list] = []
+    for a, _, b, kind in given:
+        if wanted and a < wanted[-1][1]:
+            wanted[-1][1] = max(wanted[-1][1], b)
+        else:
+            wanted.append([a, b, kind])
+    out, at = "", 0
+    for a, b, kind in wanted:
+        out, at = out + text[at:a] + f"[{kind.upper()}]", b
+    listed = spark.createDataFrame([(text, given)], f"text string, spans array<{spans.KIND_SPAN}>")
+    runs = listed.select("text", spans.without_overlap(F.col("spans")).alias("runs"))
+    got = runs.select("runs", spans.replaced(F.col("text"), F.col("runs")).alias("text")).first()
+    assert [list(r) for r in got["runs"]] == wanted
+    assert got["text"] == out + text[at:]
