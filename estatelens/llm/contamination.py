@@ -127,6 +127,22 @@ def _scan(docs: DataFrame, windows: WindowSet) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(emit, schema)
 
 
+def _without_hits(docs: DataFrame, windows: WindowSet) -> DataFrame:
+    """The rows of ``docs`` that hold no window; rows are judged where they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(windows)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                found = Words(text_bytes(piece.column("text")), ALNUM_BYTES, lower=True)
+                hits = [start for start, _, _ in shared.value.hits(found)]
+                clean = np.ones(piece.num_rows, bool)
+                clean[np.searchsorted(found.first, hits, "right") - 1] = False
+                yield piece.filter(pa.array(clean))
+
+    return docs.mapInArrow(emit, docs.schema)
+
+
 def merged_ranges(ranges: Column) -> Column:
     """Sorted ranges without overlap."""
     empty = F.array().cast("array<struct<first:bigint,last:bigint>>")
@@ -186,8 +202,13 @@ def decontaminate(
     """``docs`` without documents that hold a benchmark window; with ``spans``, without the hit words.
 
     With ``spans`` each run of hit words goes, with what stands between them, and clean documents stay as
-    they are. The columns are those of ``docs``; a row without text is clean.
+    they are. The columns are those of ``docs``; a row without text is clean. Where one set holds all windows,
+    documents go where they are read; what several sets find is joined to the rows.
     """
+    if not spans:
+        windows = benchmark_windows(benchmark, size).limit(set_windows + 1).collect()
+        if len(windows) <= set_windows:
+            return _without_hits(docs, WindowSet(windows))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     found = scan_contamination(docs, benchmark, size, set_windows).where("n_hit > 0").select(*_KEY, "hits").distinct()
     found = found.select(F.col("doc_id").alias("id_r"), F.col("text_key").alias("key_r"), F.col("hits").alias("hits_r"))

@@ -92,6 +92,16 @@ def test_contaminated_spans_go(spark):
     assert bag(contamination.decontaminate(docs, bench).collect()) == bag([(2, None, 8), (3, "clean", 9)])
 
 
+def test_contaminated_documents_go_by_one_set_or_several(spark, edge):
+    bench = spark.createDataFrame([("a", "one two three"), ("b", "cc by"), ("c", "cat sat on")], "item_id string, text string")
+    hit = {(x[0], t) for (_, t), x in zip(EDGE_TEXTS, brute.contamination(EDGE_TEXTS, [tuple(r) for r in bench.collect()])) if x[2]}
+    wanted = bag(x for x in EDGE_TEXTS if x not in hit)
+    for size in (1_000_000, 1):
+        kept = contamination.decontaminate(edge, bench, set_windows=size)
+        assert kept.columns == edge.columns
+        assert bag(kept.select("doc_id", "text").collect()) == wanted
+
+
 def test_quality_rules(run, docs):
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     got = run(queries.op7_quality_rules).collect()
