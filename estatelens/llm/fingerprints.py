@@ -59,8 +59,8 @@ def _fingerprint(normal: bytes, starts: list[int], ends: list[int], k: int) -> i
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp``: the SimHash of each whole text's word shingles, as the 64 bits of a bigint."""
+def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keys`` and ``fp``: the SimHash of each whole text's word shingles, as the 64 bits of a bigint."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,11 +71,11 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
                     found = Words([normal], SPACED_BYTES)
                     out.append(_fingerprint(normal, found.starts.tolist(), found.ends.tolist(), k))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), signed(np.array(out, np.uint64))], ["doc_id", "fp"]
+                    [*[piece.column(c) for c in keys], signed(np.array(out, np.uint64))], [*keys, "fp"]
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(emit, f"doc_id {kind}, fp bigint")
+    kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in keys]
+    return docs.select(*keys, "text").mapInArrow(emit, ", ".join([*kinds, "fp bigint"]))
 
 
 def _block_masks(bits: list[int], blocks: int) -> list[int]:
@@ -190,6 +190,17 @@ def fingerprint_links(distinct: DataFrame, pivots: np.ndarray | None = None, lar
     return small.unionByName(_links_of_files(again, pivots))
 
 
+def _components(marked: DataFrame, member: Column) -> tuple[DataFrame, DataFrame]:
+    """``fp, least, label`` of each fingerprint, ``least`` its smallest ``member``; and ``label, least`` of each component."""
+    groups = marked.groupBy("fp").agg(F.min(member).alias("least"))
+    links = fingerprint_links(groups.select("fp")).checkpoint()
+    labels = component_labels(links)
+    by_fp = groups.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("label", "fp").alias("label")
+    )
+    return by_fp, by_fp.groupBy("label").agg(F.min("least").alias("least"))
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, fp, component_id`` of every row: the smallest id that links lead to, its own included.
 
@@ -198,14 +209,8 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     to the shared folder once; copies are one fingerprint from then on.
     """
     marked = fingerprints(docs, k).checkpoint()
-    groups = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    links = fingerprint_links(groups.select("fp")).checkpoint()
-    labels = component_labels(links)
-    by_fp = groups.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label")
-    )
-    least = by_fp.groupBy("label").agg(F.min("least").alias("component_id"))
-    wanted = by_fp.select("fp", "label").join(least, "label").select("fp", "component_id")
+    by_fp, least = _components(marked, F.col("doc_id"))
+    wanted = by_fp.select("fp", "label").join(least, "label").select("fp", F.col("least").alias("component_id"))
     return marked.join(wanted, "fp", "left").select("doc_id", "fp", "component_id")
 
 
@@ -214,16 +219,24 @@ def hex_fingerprint(fp: Column) -> Column:
 
 
 def keep_one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component, the row with the smallest id.
+    """The rows of ``docs`` without near duplicates: of each component one row, that with the smallest id.
 
-    If several rows have that id, the one with the smallest text stays. Rows of a component without any
-    id are told apart by nothing else, so one of them stays as well.
+    Null ids come last. If several rows have that id, the one whose text has the smallest hash stays; of rows
+    with equal ids and texts, the one whose other columns come first. Texts are shuffled once.
     """
-    found = near_duplicates(docs, k)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    columns = docs.columns
-    right = kept.select(F.col("doc_id").alias("kept_id"))
-    rows = docs.join(right, docs["doc_id"].eqNullSafe(right["kept_id"]), "left_semi")
-    order = [F.col(f"`{c}`").asc_nulls_last() for c in ("text", *[c for c in columns if c != "text"])]
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-    return rows.withColumn("row_of_id__", first).where("row_of_id__ = 1").select(*[F.col(f"`{c}`") for c in columns])
+    text_key = F.xxhash64("text").alias("text_key")
+    marked = fingerprints(docs.select("doc_id", "text", text_key), k, ("doc_id", "text_key")).checkpoint()
+    # A component's smallest member is a row's id and text, so rows need not be joined to their components.
+    _, least = _components(marked, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
+    keys = ["dedup_id__", "dedup_no_id__", "dedup_text__"]
+
+    def keyed(rows: DataFrame, text_key: Column) -> DataFrame:
+        # Keys without nulls, so that the join and the ranking below need the same partitioning.
+        key = (F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(), text_key)
+        return rows.withColumns(dict(zip(keys, key)))
+
+    kept = keyed(least.select("least.*"), F.col("text_key")).select(*keys)
+    rows = keyed(docs, text_key).join(kept, keys, "left_semi")
+    others = [F.col(f"`{c}`").asc_nulls_last() for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*(others or [F.lit(0)])))
+    return rows.withColumn("dedup_row__", first).where("dedup_row__ = 1").select(*[F.col(f"`{c}`") for c in docs.columns])

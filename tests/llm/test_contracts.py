@@ -199,6 +199,14 @@ def test_keep_one(edge):
     assert sorted(map(repr, (r["doc_id"] for r in kept))) == sorted(map(repr, wanted))
 
 
+def test_keep_one_without_ids(spark):
+    """Each component keeps a row, also where ids are null or stand for several texts."""
+    far = "quite another text about the weather in the north"
+    rows = [(None, "one two three", 2), (None, "one two three", 1), (None, far, 3), (5, "", 4), (5, None, 4), (5, "x y z", 6), (4, "x y z", 7)]
+    kept = fingerprints.keep_one_of_each(spark.createDataFrame(rows, "doc_id int, text string, n int")).collect()
+    assert bag((r["doc_id"], r["n"]) for r in kept) == bag([(None, 1), (None, 3), (5, 4), (4, 7)])
+
+
 def test_divergence(spark):
     rows = [([1.0, 1.0], [2.0, 2.0], 0.0), ([1.0, 0.0], [0.0, 1.0], 1.0), ([0.0, 0.0], [0.0, 0.0], 0.0)]
     docs = spark.createDataFrame(rows, "a array<double>, b array<double>, d double")
