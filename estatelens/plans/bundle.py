@@ -83,8 +83,8 @@ def write_bundle(
     """Write manifest, reports, summary and checksums below ``<folder>/<run_id>``; return that path.
 
     The summary counts the reports as written, so they are not computed again. Tables that
-    several reports read are stored once in the cluster's shared folder, and removed at the end. A failing
-    step leaves what was written before it.
+    several reports read are stored once in the cluster's shared folder, and removed at the end, also after a
+    failure. A failing step leaves what was written before it.
     """
     staging = f"{shared_folder(spark)}/staged-{run_id}"
 
@@ -103,15 +103,17 @@ def write_bundle(
     )
     run = summary.manifest(environment, run_id, captured_at_utc, host)
     summary.manifest_document(run, source_keys).select("document").write.text(f"{out}/{MANIFEST}")
-    reports = rowsets(catalog, as_of, rubric, source_keys, stage)
-    for place, report in reports.items():
-        write_rowset(report, f"{out}/{place}")
+    try:
+        reports = rowsets(catalog, as_of, rubric, source_keys, stage)
+        for place, report in reports.items():
+            write_rowset(report, f"{out}/{place}")
+    finally:
+        _remove(spark, staging)
     written = {place: read_rowset(spark, f"{out}/{place}", reports[place].schema) for place in (FEATURES, BLOCKERS)}
     scores = summary.scorecard(written[FEATURES], written[BLOCKERS], run, source_keys)
     summary.summary_document(scores, source_keys).select("document").write.text(f"{out}/{SUMMARY}")
     sums = checksum_manifest(spark, out)
     sums.selectExpr("concat(sha256, '  ', path) AS line").write.text(f"{out}/{CHECKSUMS}")
-    _remove(spark, staging)
     return out
 
 

@@ -37,6 +37,7 @@ from estatelens.plans.seeds import (
 )
 
 _SNAPSHOT = ("snap_id", "instance_number", "dbid")
+_HEADER_CHUNK, _HEADERS = "_header_chunk", "_headers"
 
 
 def _unique(*names: str) -> list[str]:
@@ -52,6 +53,28 @@ def since(facts: DataFrame, window: DataFrame) -> DataFrame:
     return facts.where(F.col("snap_id") >= window.agg(F.min("snap_id")).scalar())
 
 
+def _with_header(facts: DataFrame, window: DataFrame, source_keys: Sequence[str], chunk_size: int) -> DataFrame:
+    """The facts whose snapshot is in the window, with their chunk.
+
+    Headers become one row per instance and chunk, with a bit for each snapshot of each database id. So few
+    rows are mostly broadcast; where they are not, facts are shuffled by instance and chunk, and windows over
+    series in chunks need no other shuffle.
+    """
+    place = F.pmod("snap_id", F.lit(chunk_size)).cast("int")
+    chunk = F.call_function("div", F.col("snap_id") - place, F.lit(chunk_size))
+    slot, bit = F.floor(place / 64).cast("int"), place % 64
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    slots = [F.coalesce(F.bit_or(F.when(slot == i, one)), F.lit(0)) for i in range(-(-chunk_size // 64))]
+    keys = _unique(*source_keys, "instance_number", _HEADER_CHUNK)
+    chunked = window.where(F.col("snap_id").isNotNull() & F.col("dbid").isNotNull()).withColumn(_HEADER_CHUNK, chunk)
+    per_id = chunked.groupBy(*_unique(*keys, "dbid")).agg(F.array(*slots).alias(_HEADERS))
+    by_id = F.map_from_entries(F.collect_list(F.struct(F.col("dbid").alias("id"), _HEADERS)))
+    headers = per_id.groupBy(*keys).agg(by_id.alias(_HEADERS))
+    joined = facts.withColumn(_HEADER_CHUNK, chunk).join(headers, keys)
+    seen = F.getbit(F.get(F.try_element_at(_HEADERS, F.col("dbid")), slot), bit)
+    return joined.where(seen == 1).drop(_HEADERS)
+
+
 def _delta_totals(
     snapshots: DataFrame,
     sysstat: DataFrame,
@@ -124,16 +147,19 @@ def top_waits(
     n: int = TOP_WAITS,
     chunk_size: int = SNAPSHOTS_PER_CHUNK,
 ) -> DataFrame:
-    """The ``n`` non-idle wait events with the most waited time in the window, per source."""
-    keys = _unique(*source_keys, *_SNAPSHOT)
-    window = rolling_window(snapshots, "begin_interval_time", as_of, WINDOW_DAYS).select(*keys)
-    waits = since(system_event, window).where(F.col("wait_class") != IDLE_WAIT_CLASS).join(window, keys)
+    """The ``n`` non-idle wait events with the most waited time in the window, per source.
+
+    A snapshot has one header.
+    """
+    window = rolling_window(snapshots, "begin_interval_time", as_of, WINDOW_DAYS)
+    waits = since(system_event, window).where(F.col("wait_class") != IDLE_WAIT_CLASS)
+    waits = _with_header(waits, window, source_keys, chunk_size)
     deltas = counter_delta(
         waits,
         {"time_waited_micro_fg": "waited_micro", "total_waits_fg": "waits"},
         partition_by=_unique(*source_keys, "instance_number", "event_name"),
         order_by=["snap_id", "dbid", "wait_class"],
-        chunks=[snapshot_chunk(size=chunk_size)],
+        chunks=[F.col(_HEADER_CHUNK)],
     )
     totals = deltas.groupBy(*source_keys, "event_name", "wait_class").agg(
         F.sum("waited_micro").alias("waited_micro"), F.sum("waits").alias("total_waits")

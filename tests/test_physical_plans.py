@@ -165,6 +165,19 @@ def test_statistics_and_headers_are_joined_without_another_shuffle(spark, extrac
     assert len(re.findall(r"Exchange (?:hash|range)partitioning", plan)) == 4 + 2 + 3
 
 
+def test_waits_are_shuffled_once_before_they_are_added_up(spark, extract):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = plan_text(plans.top_waits(extract["dba_hist_snapshot"], extract["dba_hist_system_event"], "2024-04-05 00:00:00"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # two branches: rows inside chunks, and the edges, which alone are shuffled by event
+    assert len(re.findall(r"hashpartitioning\(instance_number#\d+L?, _header_chunk#\d+L?, \d+\)", plan)) == 4
+    assert not re.search(r"hashpartitioning\(instance_number#\d+L?, event_name#\d+, _chunk", plan)
+    assert len(re.findall(r"hashpartitioning\(instance_number#\d+L?, event_name", plan)) == 1
+
+
 def test_popular_targets_are_spread_before_counting(spark):
     edges = spark.range(1000).selectExpr("'t' AS t", "CAST(id % 7 AS STRING) AS o", "CAST(id AS STRING) AS n")
     plan = plan_text(ops.fan_in(edges, ["t"], ["o", "n"]))
