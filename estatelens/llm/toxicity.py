@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.llm.logistic import SAMPLE_ROWS, sample_and_fit
-from estatelens.llm.words import ALNUM_BYTES, Words, held_out, mix, pieces, text_bytes
+from estatelens.llm.words import ALNUM_BYTES, PIECE_BYTES, Words, held_out, mix, pieces, text_bytes
 
 #: Bytes of a gram: one predicted, the others its context.
 ORDER = 5
@@ -30,9 +31,12 @@ SHARED_DISCOUNT = 0.75
 #: Score of a document from which it is called toxic.
 THRESHOLD = 0.3
 
-#: Slots of the tables that tasks get. Counts are exact; their log ratios share slots where a corpus has
-#: more grams, as averages by count. This bounds what is broadcast: 4 bytes a slot, two tables.
-SLOT_BITS = 22
+#: Grams of one table that tasks get, besides as many contexts at most. A corpus of more grams is dealt into
+#: several tables, of which a task holds one at a time.
+TABLE_GRAMS = 1 << 21
+
+#: Bytes of text that are looked up at once where there are several tables, as each is read again for them.
+_TABLES_BYTES = 4 << 20
 
 #: Grams combined in one task before they are handed on.
 _HELD_GRAMS = 4_000_000
@@ -132,7 +136,7 @@ def _shared_backoff(grams: DataFrame, order: int = ORDER - 1) -> DataFrame:
 
 
 def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``gram, ratio, weight`` of seen grams; ``context, ratio, weight`` for grams unseen after a seen context."""
+    """``gram, ratio`` of seen grams; ``context, ratio`` for grams unseen after a seen context."""
     context = F.shiftright("gram", 8)
     contexts = grams.groupBy(context.alias("context")).agg(
         *[F.sum(f"n_{c}").alias(f"all_{c}") for c in ("toxic", "plain")],
@@ -151,56 +155,108 @@ def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     seen = grams.withColumn("context", context).join(contexts, "context")
     seen = seen.withColumn("tail", tail).join(_shared_backoff(grams), "tail")
     ratio = F.ln(probability("toxic") / probability("plain"))
-    weight = F.col("n_toxic") + F.col("n_plain")
-    unseen = contexts.select(
-        "context",
-        F.ln(backed_off("toxic") / backed_off("plain")).alias("ratio"),
-        (F.col("all_toxic") + F.col("all_plain")).alias("weight"),
-    )
-    return seen.select("gram", ratio.alias("ratio"), weight.alias("weight")), unseen
-
-
-def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (mix(keys) >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def _slot_table(ratios: DataFrame, key: str, bits: int) -> np.ndarray:
-    """At most ``2**bits`` rows reach the driver: averages by slot, NaN where nothing was seen."""
+    unseen = contexts.select("context", F.ln(backed_off("toxic") / backed_off("plain")).alias("ratio"))
+    return seen.select("gram", ratio.alias("ratio")), unseen
+
+
+class RatioTable:
+    """Log ratios by exact key. ``mix`` maps keys one to one, so equal mixed keys are equal keys."""
+
+    def __init__(self, keys: np.ndarray, ratios: np.ndarray):
+        mixed = mix(keys)
+        order = np.argsort(mixed)
+        self.mixed, self.ratios = mixed[order], ratios[order].astype(np.float32)
+        self.shift = np.uint64(64 - max(1, len(keys).bit_length()))
+        bounds = np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift
+        self.first = np.append(np.searchsorted(self.mixed, bounds), len(keys)).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The ratio of each key, NaN where it has none."""
+        out = np.full(len(keys), np.nan, np.float32)
+        mixed = mix(keys)
+        slots = (mixed >> self.shift).astype(np.int64)
+        at, ends = self.first[slots], self.first[slots + 1]
+        left = np.flatnonzero(at < ends)
+        while len(left):
+            same = self.mixed[at[left]] == mixed[left]
+            out[left[same]] = self.ratios[at[left[same]]]
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < ends[left]]
+        return out
+
+
+def _deal(contexts: np.ndarray, tables: int) -> np.ndarray:
+    """The table of each context, and of all grams after it."""
+    return (mix(contexts ^ np.uint64(0x9E3779B97F4A7C15)) % np.uint64(tables)).astype(np.int32)
+
+
+def ratio_tables(grams: DataFrame, table_grams: int = TABLE_GRAMS) -> list[Broadcast]:
+    """Tables of seen grams and of their contexts, each broadcast, as many as the grams of the corpus need.
+
+    One table at a time reaches the driver.
+    """
+    tables = max(1, -(-grams.count() // table_grams))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = _slots(batch.column(key).to_numpy().view(np.uint64), bits)
-            weight = batch.column("weight").to_numpy().astype(np.float64)
-            total = batch.column("ratio").to_numpy() * weight
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            seen = batch.column("seen").to_numpy(zero_copy_only=False)
+            dealt = _deal(np.where(seen, keys >> np.uint64(8), keys), tables)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slots), pa.array(total), pa.array(weight)], ["slot", "total", "weight"]
+                [pa.array(dealt), *[batch.column(x) for x in ("seen", "key", "ratio")]], ["dealt", "seen", "key", "ratio"]
             )
 
-    rows = (
-        ratios.mapInArrow(emit, "slot bigint, total double, weight double")
-        .groupBy("slot")
-        .agg((F.sum("total") / F.sum("weight")).cast("float").alias("ratio"))
-        .select(F.col("slot").cast("int").alias("slot"), "ratio")
-        .toArrow()
+    seen, unseen = log_ratios(grams)
+    rows = seen.select(F.lit(True).alias("seen"), F.col("gram").alias("key"), F.col("ratio").cast("float").alias("ratio")).unionByName(
+        unseen.select(F.lit(False).alias("seen"), F.col("context").alias("key"), F.col("ratio").cast("float").alias("ratio"))
     )
-    table = np.full(1 << bits, np.nan, np.float32)
-    table[rows.column("slot").to_numpy()] = rows.column("ratio").to_numpy()
-    return table
-
-
-def score_features(docs: DataFrame, seen: np.ndarray, unseen: np.ndarray, bits: int) -> DataFrame:
+    rows = rows.mapInArrow(emit, "dealt int, seen boolean, key bigint, ratio float")
+    if tables > 1:
+        rows = rows.checkpoint()
+    out = []
+    for i in range(tables):
+        part = rows.where(F.col("dealt") == i).select("seen", "key", "ratio").toArrow()
+        kind = part.column("seen").to_numpy()
+        keys, ratios = part.column("key").to_numpy().view(np.uint64), part.column("ratio").to_numpy()
+        pair = RatioTable(keys[kind], ratios[kind]), RatioTable(keys[~kind], ratios[~kind])
+        out.append(grams.sparkSession.sparkContext.broadcast(pair))
+    return out
+
+
+def gram_ratios(grams: np.ndarray, tables: list[Broadcast]) -> np.ndarray:
+    """The log ratio of each gram; that of its context where the gram was not seen, 0 where neither was."""
+
+    def look_up(keys: np.ndarray, pair: tuple[RatioTable, RatioTable]) -> np.ndarray:
+        seen, unseen = pair
+        found = seen.find(keys)
+        missing = np.flatnonzero(np.isnan(found))
+        found[missing] = np.nan_to_num(unseen.find(keys[missing] >> np.uint64(8)))
+        return found
+
+    if len(tables) == 1:
+        return look_up(grams, tables[0].value)
+    keys, places = np.unique(grams, return_inverse=True)
+    dealt = _deal(keys >> np.uint64(8), len(tables))
+    ratios = np.zeros(len(keys), np.float32)
+    for i, table in enumerate(tables):
+        here = np.flatnonzero(dealt == i)
+        if len(here):
+            ratios[here] = look_up(keys[here], table.value)
+            # Read again for the next texts, so that one table is held at a time.
+            if getattr(table, "_path", None):
+                vars(table).pop("_value", None)
+    return ratios[places]
+
+
+def score_features(docs: DataFrame, tables: list[Broadcast]) -> DataFrame:
     """``doc_id`` and the length-normalised log ratios of each whole text; zeros for a text without words."""
-    shared = docs.sparkSession.sparkContext.broadcast((seen, unseen))
-
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen_table, unseen_table = shared.value
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, size=PIECE_BYTES if len(tables) == 1 else _TABLES_BYTES):
                 line = _Line(text_bytes(piece.column("text")))
                 grams, text = line.grams()
-                ratio = seen_table[_slots(grams, bits)]
-                missing = np.flatnonzero(np.isnan(ratio))
-                ratio[missing] = np.nan_to_num(unseen_table[_slots(grams[missing] >> np.uint64(8), bits)])
+                ratio = gram_ratios(grams, tables)
                 n = piece.num_rows
                 words = line.found.counts
                 size = np.maximum(np.bincount(text, minlength=n), 1)
@@ -223,7 +279,7 @@ def score_features(docs: DataFrame, seen: np.ndarray, unseen: np.ndarray, bits:
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
-    slot_bits: int = SLOT_BITS,
+    table_grams: int = TABLE_GRAMS,
     sample_rows: int = SAMPLE_ROWS,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
@@ -232,7 +288,8 @@ def score_toxicity(
     Rows with a remainder (crc32 of the id, modulo 4) of 0 or 1 and a label are counted, those of 3
     calibrate (a sample of ``sample_rows`` of them), those of 2 are never learned from. Ids with several
     labels count as the highest. Null ids have no label. A null or empty text scores like a text without
-    any evidence. Without labels of both classes the score is the share of toxic ones, or a half.
+    any evidence. Every gram keeps its own log ratio; ``table_grams`` only says how many one table holds, and
+    scores are the same for any number of tables. Without labels of both classes the score is the share of toxic ones, or a half.
     """
     marks = (
         labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -242,9 +299,7 @@ def score_toxicity(
     # Labels grow with the texts, so they are never broadcast, whatever their size.
     counted = texts.where(remainder < 2).join(marks.hint("merge"), "doc_id")
     grams = gram_counts(counted).checkpoint()
-    seen, unseen = log_ratios(grams)
-    tables = _slot_table(seen, "gram", slot_bits), _slot_table(unseen, "context", slot_bits)
-    features = score_features(texts, *tables, slot_bits).checkpoint()
+    features = score_features(texts, ratio_tables(grams, table_grams)).checkpoint()
     calibrate = features.where(remainder == 3).join(marks.hint("merge"), "doc_id")
     model = sample_and_fit(calibrate, _FEATURES, "toxic", sample_rows)
     score = model.column([F.col(x) for x in _FEATURES])
