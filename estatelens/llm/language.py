@@ -3,25 +3,23 @@
 The blended-spectrum presence kernel counts the byte n-grams (n from 1 to 4) that two texts share. A sample of
 texts per language are landmarks; Nystroem features against them are regressed one language
 against the rest. The kernel is linear in the presence of n-grams, so the landmarks' weights add up to
-one weight per n-gram and language, and texts are scored by products of presence matrices with these.
+one weight per n-gram and language, and texts are scored by sums of these. N-grams are told apart exactly.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from estatelens.llm.words import held_out, text_bytes
 
 GRAM_BYTES = (1, 2, 3, 4)
 
-#: Presence is held by slot; n-grams are hashed to one.
-SLOT_BITS = 15
-
 #: Labelled texts to fit on and landmarks among them, over all languages.
 SAMPLE_TEXTS = 2_400
 LANDMARKS = 600
@@ -30,9 +28,15 @@ RIDGE = 1e-4
 #: Rows of the table of languages that are broadcast; there are some seven thousand languages.
 BROADCAST_LANGUAGES = 10_000
 
-#: Rows of one presence matrix.
+#: Rows scored at once.
 _BATCH = 128
 
+#: N-grams whose weights are looked up, or made, at once.
+_BLOCK = 1 << 15
+
+#: Partitions of the sample.
+_SAMPLE_PARTS = 32
+
 UNKNOWN = "und"
 
 #: ASCII letters and all bytes of other characters stay, the rest is space.
@@ -46,58 +50,115 @@ def has_letter(text: str | None) -> bool:
     return any(map(str.isalpha, text or ""))
 
 
-def presence(texts: list[bytes], bits: int = SLOT_BITS) -> np.ndarray:
-    """Which slots each text's n-grams fill, as one row of bytes per text."""
-    out = np.zeros((len(texts), 1 << bits), np.uint8)
+def gram_ids(text: bytes) -> np.ndarray:
+    """The distinct n-grams of a text, sorted. Folded bytes are never 0, so the bytes of an n-gram are its id."""
+    raw = np.frombuffer(text, np.uint8)
     step = 1 << 19
-    for row, text in zip(out, texts):
-        raw = np.frombuffer(text, np.uint8)
-        for at in range(0, len(raw), step):
-            part = _FOLD[raw[at : at + step + max(GRAM_BYTES) - 1]]
-            # Runs of spaces are one.
-            part = part[np.concatenate([[True], (part[1:] != 0x20) | (part[:-1] != 0x20)])].astype(np.uint32)
-            gram = np.zeros(len(part), np.uint32)
-            for n in range(1, max(GRAM_BYTES) + 1):
-                size = len(part) - n + 1
-                if size <= 0:
-                    break
-                gram = gram[:size] << np.uint32(8) | part[n - 1 :]
-                if n in GRAM_BYTES:
-                    row[(gram * np.uint32(0x9E3779B1) + np.uint32(n * 0x85EBCA6B & 0xFFFFFFFF)) >> np.uint32(32 - bits)] = 1
-    return out
-
-
-def _kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Shared slots over the geometric mean of both counts."""
-    left = np.maximum(np.sqrt(a.sum(1, dtype=np.float64)), 1)
-    right = np.maximum(np.sqrt(b.sum(1, dtype=np.float64)), 1)
-    return (a.astype(np.float32) @ b.astype(np.float32).T) / left[:, None] / right[None, :]
-
-
-def fit_languages(filled: np.ndarray, langs: list[str], landmarks: int, ridge: float = RIDGE):
-    """``(languages, weight of each slot and language)`` by ridge regression on the landmarks' kernel.
-
-    Rows come in hash order; landmarks are the first ones of every language.
+    found = np.zeros(0, np.uint32)
+    for at in range(0, len(raw), step):
+        part = _FOLD[raw[at : at + step + max(GRAM_BYTES) - 1]]
+        # Runs of spaces are one.
+        part = part[np.concatenate([[True], (part[1:] != 0x20) | (part[:-1] != 0x20)])].astype(np.uint32)
+        gram = np.zeros(len(part), np.uint32)
+        grams = [found]
+        for n in range(1, max(GRAM_BYTES) + 1):
+            size = len(part) - n + 1
+            if size <= 0:
+                break
+            gram = gram[:size] << np.uint32(8) | part[n - 1 :]
+            if n in GRAM_BYTES:
+                grams.append(gram)
+        found = np.unique(np.concatenate(grams))
+    return found
+
+
+def _norm(size: int) -> float:
+    return max(1.0, float(np.sqrt(size)))
+
+
+class Landmarks:
+    """The n-grams of some texts, and which of the texts hold each: ``owners[first[i]:first[i + 1]]``."""
+
+    def __init__(self, ids: list[np.ndarray]):
+        joined = np.concatenate([np.zeros(0, np.uint32), *ids])
+        owners = np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in ids])
+        order = np.argsort(joined, kind="stable")
+        self.owners = owners[order]
+        self.vocabulary, first = np.unique(joined[order], return_index=True)
+        self.first = np.append(first, len(joined))
+        self.norms = np.array([_norm(len(x)) for x in ids])
+
+    def owned(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The texts that hold each of the n-grams, one after another, and how many each n-gram has."""
+        n = self.first[places + 1] - self.first[places]
+        return self.owners[np.repeat(self.first[places] - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
+
+    def kernel(self, ids: np.ndarray) -> np.ndarray:
+        """Shared n-grams over the geometric mean of both counts, for each landmark."""
+        shared = np.zeros(len(self.norms))
+        places = known_places(self.vocabulary, ids)
+        for at in range(0, len(places), _BLOCK):
+            shared += np.bincount(self.owned(places[at : at + _BLOCK])[0], minlength=len(shared))
+        return shared / _norm(len(ids)) / self.norms
+
+    def weights(self, alpha: np.ndarray) -> np.ndarray:
+        """The weight of each n-gram and language, of the landmarks' weights."""
+        scaled = alpha / self.norms[:, None]
+        out = np.zeros((len(self.vocabulary), alpha.shape[1]), np.float32)
+        for at in range(0, len(out), _BLOCK):
+            owners, n = self.owned(np.arange(at, min(at + _BLOCK, len(out))))
+            rows = np.repeat(np.arange(len(n)), n)
+            for k in range(alpha.shape[1]):
+                out[at : at + len(n), k] = np.bincount(rows, scaled[owners, k], minlength=len(n))
+        return out
+
+
+def known_places(vocabulary: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Where the ids that the vocabulary has stand in it."""
+    if not len(vocabulary):
+        return np.zeros(0, np.int64)
+    places = np.minimum(np.searchsorted(vocabulary, ids), len(vocabulary) - 1)
+    return places[vocabulary[places] == ids]
+
+
+def regressions(vocabulary: np.ndarray, weights: np.ndarray, text: bytes) -> np.ndarray:
+    """The regression of each language for a whole text."""
+    ids = gram_ids(text)
+    places = known_places(vocabulary, ids)
+    found = np.zeros(weights.shape[1])
+    for at in range(0, len(places), _BLOCK):
+        found += weights[places[at : at + _BLOCK]].sum(0, dtype=np.float64)
+    return found / _norm(len(ids))
+
+
+def chosen_landmarks(langs: list[str], landmarks: int) -> list[int]:
+    """The first rows of every language, an equal number of each."""
+    places: dict[str, list[int]] = {name: [] for name in sorted(set(langs))}
+    for i, name in enumerate(langs):
+        places[name].append(i)
+    share = max(1, landmarks // max(1, len(places)))
+    return [i for found in places.values() for i in found[:share]]
+
+
+def fit_languages(across: np.ndarray, langs: list[str], chosen: list[int], ridge: float = RIDGE):
+    """``(languages, weight of each landmark and language)`` by ridge regression on the landmarks' kernel.
+
+    ``across`` is the kernel of every row with the landmarks, which are the ``chosen`` rows.
     """
     names = sorted(set(langs))
-    places = {name: [i for i, x in enumerate(langs) if x == name] for name in names}
-    share = max(1, landmarks // max(1, len(names)))
-    chosen = [i for name in names for i in places[name][:share]]
     wanted = np.array([[1.0 if x == name else -1.0 for name in names] for x in langs])
     # Every language weighs the same.
-    weight = np.array([len(langs) / len(names) / len(places[x]) for x in langs])
-    marks = filled[chosen]
-    across, among = _kernel(filled, marks), _kernel(marks, marks)
+    of_name = Counter(langs)
+    weight = np.array([len(langs) / len(names) / of_name[x] for x in langs])
+    among = across[chosen]
     normal = (across * weight[:, None]).T @ across + ridge * len(langs) * among + 1e-6 * np.eye(len(chosen))
-    alpha = np.linalg.solve(normal.astype(np.float64), (across * weight[:, None]).T @ wanted)
-    norms = np.maximum(np.sqrt(marks.sum(1, dtype=np.float64)), 1)
-    return names, (marks.T.astype(np.float32) @ (alpha / norms[:, None]).astype(np.float32))
+    return names, np.linalg.solve(normal, (across * weight[:, None]).T @ wanted)
 
 
-def _sample(docs: DataFrame, sample_texts: int) -> tuple[np.ndarray, list[str]]:
-    """Presence rows of about ``sample_texts`` labelled rows, an equal number of each language, in hash order."""
+def _sample(docs: DataFrame, sample_texts: int) -> DataFrame:
+    """``draw, lang, key, text`` of about ``sample_texts`` labelled rows, an equal number of each language."""
     known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = known.select("doc_id", "lang", "text", F.xxhash64("doc_id", "lang").alias("draw"))
+    known = known.select("lang", "text", F.xxhash64("doc_id", "lang").alias("draw"))
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))
     total = counts.agg(F.count("*")).first()[0]
     each = max(1, sample_texts // max(1, total))
@@ -105,22 +166,45 @@ def _sample(docs: DataFrame, sample_texts: int) -> tuple[np.ndarray, list[str]]:
     # One row per language; a column with more values than there are languages is joined by shuffle.
     counts = F.broadcast(counts) if total <= BROADCAST_LANGUAGES else counts
     drawn = known.join(counts, "lang").where(F.col("draw") / F.lit(2.0**64) + 0.5 < F.lit(each) / F.col("n"))
+    drawn = drawn.select("draw", "lang", F.xxhash64("text").alias("key"), "text")
+    return drawn.orderBy("draw", "lang", "key").limit(2 * sample_texts + total)
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _fit(docs: DataFrame, sample_texts: int, landmarks: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages, the landmarks' n-grams, and the weight of each n-gram and language.
+
+    Only the landmarks' n-grams reach the driver; the kernel of the sample is made in tasks.
+    """
+
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                np.packbits(presence([t])).tobytes() for t in text_bytes(batch.column("text"))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("draw"), batch.column("lang"), pa.array(rows, pa.binary())], ["draw", "lang", "bits"]
-            )
+            rows = [gram_ids(t).tobytes() for t in text_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(rows, pa.large_binary()).cast(pa.binary())], ["row", "ids"])
 
-    packed = drawn.select("draw", "lang", "text").mapInArrow(emit, "draw bigint, lang string, bits binary")
-    rows = packed.orderBy("draw", "lang", "bits").limit(2 * sample_texts + total).collect()
-    if not rows:
-        return np.zeros((0, 1 << SLOT_BITS), np.uint8), []
-    filled = np.stack([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in rows])
-    return filled, [r["lang"] for r in rows]
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [shared.value.kernel(gram_ids(t)).tobytes() for t in text_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(rows, pa.binary())], ["row", "kernel"])
+
+    spark = docs.sparkSession
+    # Rows are numbered in the sample's order; it has a bounded number of rows.
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("draw", "lang", "key")) - 1
+    sample = _sample(docs, sample_texts).withColumn("row", place).repartition(_SAMPLE_PARTS, "row").persist()
+    try:
+        langs = [r["lang"] for r in sample.select("row", "lang").orderBy("row").collect()]
+        if not langs:
+            return [], np.zeros(0, np.uint32), np.zeros((0, 0), np.float32)
+        chosen = chosen_landmarks(langs, landmarks)
+        wanted = F.broadcast(spark.createDataFrame([(i,) for i in chosen], "row int"))
+        found = sample.join(wanted, "row").select("row", "text").mapInArrow(ids, "row int, ids binary").collect()
+        of_row = {r["row"]: np.frombuffer(r["ids"], np.uint32) for r in found}
+        marks = Landmarks([of_row[i] for i in chosen])
+        shared = spark.sparkContext.broadcast(marks)
+        rows = sample.select("row", "text").mapInArrow(kernel, "row int, kernel binary").orderBy("row").collect()
+    finally:
+        sample.unpersist()
+    names, alpha = fit_languages(np.stack([np.frombuffer(r["kernel"]) for r in rows]), langs, chosen)
+    return names, marks.vocabulary, marks.weights(alpha)
 
 
 def identify_language(
@@ -132,12 +216,10 @@ def identify_language(
     ``score`` is the share of the best language in a softmax of the regressions. A text that is null or
     has no letter is ``und`` with score 0, and so is every text where nothing could be learned.
     """
-    filled, langs = _sample(docs, sample_texts)
-    model = fit_languages(filled, langs, landmarks) if langs else ([], np.zeros((1 << SLOT_BITS, 0), np.float32))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(_fit(docs, sample_texts, landmarks))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights = shared.value
+        names, vocabulary, weights = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, _BATCH):
                 rows = batch.slice(start, _BATCH)
@@ -145,9 +227,7 @@ def identify_language(
                 known = [bool(names) and has_letter(t.decode()) for t in texts]
                 pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
                 if any(known):
-                    shown = presence(texts)
-                    norm = np.maximum(np.sqrt(shown.sum(1, dtype=np.float64)), 1)
-                    found = (shown.astype(np.float32) @ weights) / norm[:, None]
+                    found = np.stack([regressions(vocabulary, weights, t) for t in texts])
                     odds = np.exp(4 * (found - found.max(1, keepdims=True)))
                     best = found.argmax(1)
                     pred = [names[b] if k else UNKNOWN for b, k in zip(best.tolist(), known)]
