@@ -109,7 +109,7 @@ def text_grams(docs: DataFrame, k: int) -> DataFrame:
 def voted_spans(docs: DataFrame, templates: tuple[Template, ...], k: int, vote_share: float) -> DataFrame:
     """Merged diagonals with enough votes: ``doc_id, text_key, template, low, high``.
 
-    Equal rows vote for the same places, so votes count distinct places.
+    Equal rows vote for the same places, so votes count distinct places: as bits, 64 places a part.
     """
     places = template_grams(docs, templates, k)
     words = sum(len(t.text.split()) for t in templates)
@@ -119,7 +119,12 @@ def voted_spans(docs: DataFrame, templates: tuple[Template, ...], k: int, vote_s
         text_grams(docs, k)
         .withColumnRenamed("place", "at")
         .join(places, "gram")
-        .groupBy(*_KEY, "template", (F.col("at") - F.col("place")).alias("diagonal"))
+        .groupBy(
+            *_KEY,
+            "template",
+            (F.col("at") - F.col("place")).alias("diagonal"),
+            F.floor(F.col("place") / 64).cast("int").alias("part"),
+        )
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("place") % 64)).alias("hit"))
     )
     limits = [
@@ -133,13 +138,20 @@ def voted_spans(docs: DataFrame, templates: tuple[Template, ...], k: int, vote_s
         votes.join(F.broadcast(limits), "template")
         .withColumn("opens", F.coalesce((apart > F.col("slack")).cast("int"), F.lit(1)))
         .withColumn("span", F.sum("opens").over(along))
-        .groupBy(*_KEY, "template", "span")
+        .groupBy(*_KEY, "template", "span", "part")
         .agg(
             F.min("diagonal").alias("low"),
             F.max("diagonal").alias("high"),
             F.bit_count(F.bit_or("hit")).alias("votes"),
             F.first("wanted").alias("wanted"),
         )
+        .groupBy(*_KEY, "template", "span")
+        .agg(
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.sum("votes").alias("votes"),
+            F.first("wanted").alias("wanted"),
+        )
     )
     return merged.where("votes >= wanted").select(*_KEY, "template", "low", "high")
 
@@ -170,7 +182,6 @@ def scan_licenses(
     ``(label, start, end, found, base)`` by start; ``found`` is the share of the template's words.
     A null or empty text has no words and no spans; equal rows give equal rows; a null ``doc_id`` is
     a key like any other; other columns of ``docs`` are not read. Templates need at least ``k`` words.
-    Their text has at most 64 k-grams that are told apart when votes are counted.
     """
     keyed = _keyed(docs)
     spans = voted_spans(keyed, templates, k, vote_share)
