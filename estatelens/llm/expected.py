@@ -247,6 +247,85 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM docs d LEFT JOIN per_text USING (r)
 """
 
+#: Cuts, forms and digests from the draws; the restored text is the text itself.
+OP12_FILL_MIDDLE = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+           sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw
+    FROM documents
+),
+drawn AS (
+    SELECT *, CAST(len(units) AS BIGINT) AS n,
+           list_transform(range(4), lambda i: CAST('0x' || substr(draw, CAST(8 * i + 1 AS BIGINT), 8) AS BIGINT)) AS h
+    FROM docs
+),
+cut AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50
+                THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+),
+parts AS (
+    SELECT *, coalesce(array_to_string(units[1:low], ''), '') AS prefix,
+           coalesce(array_to_string(units[low + 1:high], ''), '') AS middle,
+           coalesce(array_to_string(units[high + 1:n], ''), '') AS suffix
+    FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+#: CRC-32 by a table of 256 remainders, made from the polynomial; then counts by bucket, gains and ranks.
+OP13_RESAMPLING = f"""
+WITH remainders AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda v, bit: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) ORDER BY i) AS t
+    FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))
+),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+used AS (SELECT r, unnest(words) AS word FROM docs),
+wanted AS (SELECT unnest(words) AS word FROM (SELECT {_WORDS} AS words FROM benchmark)),
+vocabulary AS (SELECT word, hex(encode(word)) AS code FROM (SELECT word FROM used UNION SELECT word FROM wanted)),
+hashed AS (
+    SELECT word, CAST(xor(list_reduce(
+               list_prepend(4294967295, list_transform(range(CAST(length(code) / 2 AS BIGINT)),
+                   lambda k: CAST('0x' || substr(code, CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT))),
+               lambda c, byte: xor(c >> 8, t[CAST(xor(c, byte) & 255 AS BIGINT) + 1])), 4294967295) AS BIGINT) % 10000 AS bucket
+    FROM vocabulary, remainders
+),
+source_counts AS (SELECT bucket, count(*) AS s FROM used JOIN hashed USING (word) GROUP BY bucket),
+target_counts AS (SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+    SELECT b.bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM used) + 10000)
+               / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM wanted) + 10000)))) AS BIGINT) AS gain
+    FROM (SELECT DISTINCT bucket FROM hashed) b LEFT JOIN source_counts USING (bucket) LEFT JOIN target_counts USING (bucket)
+),
+sums AS (
+    SELECT r, count(*) AS n, sum(gain) AS total FROM used JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY r
+),
+scored AS (
+    SELECT d.r, d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+           CAST(coalesce(floor(total::DOUBLE / n), 0) AS BIGINT) AS weight,
+           CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8)
+               AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS noise
+    FROM docs d LEFT JOIN sums USING (r)
+),
+placed AS (
+    SELECT r, row_number() OVER (ORDER BY weight + noise DESC, doc_id ASC NULLS LAST, n_features, weight) AS place,
+           floor(count(*) OVER () * 10 / 100) AS drawn
+    FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, weight + noise AS score,
+       CASE WHEN place <= drawn THEN CAST(place AS BIGINT) END AS rank
+FROM scored LEFT JOIN placed USING (r)
+"""
+
 
 def expected() -> dict[str, str]:
     return {
@@ -254,4 +333,6 @@ def expected() -> dict[str, str]:
         "op7_quality_rules": OP7_QUALITY_RULES,
         "op8_secrets": OP8_SECRETS,
         "op9_mixing": OP9_MIXING,
+        "op12_fill_middle": OP12_FILL_MIDDLE,
+        "op13_resampling": OP13_RESAMPLING,
     }

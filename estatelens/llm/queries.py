@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from estatelens.llm import (
     contamination,
     distribution_rules,
+    fill_middle,
     fingerprints,
     language,
     licenses,
     line_crf,
     mixing,
     personal,
+    resampling,
     secret_scan,
     spans,
     toxicity,
@@ -122,6 +124,24 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.col("n_features").cast("bigint").alias("n_features"), "weight", "score", "rank")
+
+
 def registered() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -136,5 +156,7 @@ def registered() -> dict[str, Query]:
             op8_secrets,
             op9_mixing,
             op10_line_quality,
+            op12_fill_middle,
+            op13_resampling,
         )
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -176,3 +177,41 @@ def targets(sizes, weights=(3, 1, 2)):
         if not over:
             return {s: 2 * sizes[s] if s in stopped else level * weight[s] for s in names}
         stopped |= over
+
+
+def fill_middle(doc_id, text):
+    """``n, form, prefix_chars, middle_chars, output``"""
+    text = text or ""
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    digest = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    low, high = sorted(x % (len(units) + 1) for x in h[:2])
+    prefix, middle, suffix = ("".join(x) for x in (units[:low], units[low:high], units[high:]))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return len(units), "plain", None, None, text
+    if h[3] % 100 < 80:
+        return len(units), "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return len(units), "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def resampling(docs, targets, buckets=10_000, most_words=1, least_words=20, percent=10):
+    """``doc_id, n_features, weight, score, rank`` of ``(doc_id, text)``; ties of ids by what else differs."""
+
+    def features(text):
+        words = alnum_words(text)
+        runs = [words[i : i + n] for n in range(1, most_words + 1) for i in range(len(words) - n + 1)]
+        return len(words), [zlib.crc32(" ".join(run).encode()) % buckets for run in runs]
+
+    found = [(i, *features(t)) for i, t in docs]
+    s = Counter(b for _, _, bs in found for b in bs)
+    t = Counter(b for x in targets for b in features(x)[1])
+    S, T = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (S + buckets) / ((s[b] + 1) * (T + buckets)))) for b in range(buckets)]
+    rows = []
+    for i, n_words, bs in found:
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in bs) // len(bs) if bs else 0
+        rows.append([i, len(bs), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n_words])
+    able = sorted((r for r in rows if r[4] >= least_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1], r[2]))
+    rank = {id(r): place for place, r in enumerate(able[: percent * len(able) // 100], 1)}
+    return [(*r[:4], rank.get(id(r))) for r in rows]

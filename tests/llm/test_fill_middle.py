@@ -1,0 +1,46 @@
+"""Cutting texts for infilling against the plain version, and back again."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from estatelens.llm import fill_middle
+from tests.llm import brute
+from tests.llm.conftest import bag, pairs
+
+MARKED = [(30 + i, t) for i, t in enumerate(("a <P> b", "<S>", "x<M", "<S", " <", "P>M>", "<<S>>", "é\x00日本\u2003 x \u00a0", "\r\n", "<P", "S> <M> y"))]
+
+
+@pytest.fixture(params=["edge", "small", "nothing", "marks"])
+def docs(request, spark):
+    if request.param == "marks":
+        # Every id gets every text, so that each meets each form.
+        rows = [(100 * k + i, t) for k in range(12) for i, t in MARKED]
+        return spark.createDataFrame(rows, "doc_id bigint, text string")
+    return request.getfixturevalue(request.param)
+
+
+def test_cuts_and_forms(docs):
+    found = fill_middle.fill_in_middle(docs)
+    got = found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output").collect()
+    assert bag(got) == bag((i, *brute.fill_middle(i, t)) for i, t in pairs(docs))
+
+
+def test_round_trip(docs):
+    found = fill_middle.fill_in_middle(docs, plain_percent=100)
+    back = found.select("doc_id", fill_middle.restored(F.col("output"), F.col("form")).alias("text"))
+    assert bag(back.collect()) == bag((i, t or "") for i, t in pairs(docs))
+
+
+def test_shares(spark):
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"))
+    shares = {r["form"]: r["count"] / 4000 for r in fill_middle.fill_in_middle(rows).groupBy("form").count().collect()}
+    assert shares == pytest.approx({"plain": 0.5, "spm": 0.4, "psm": 0.1}, abs=0.03)
+
+
+def test_long_text(spark):
+    text = "word \n" * 400_000
+    found = fill_middle.fill_in_middle(spark.createDataFrame([(3, text), (4, text)], "doc_id int, text string"), plain_percent=100)
+    for r in found.select("n", fill_middle.restored(F.col("output"), F.col("form")).alias("text")).collect():
+        assert r["text"] == text and r["n"] == 400_001
