@@ -17,6 +17,7 @@ from estatelens.llm import (
     line_crf,
     mixing,
     personal,
+    recurrent_lm,
     resampling,
     secret_scan,
     spans,
@@ -124,6 +125,10 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
     return cut.select(
@@ -156,6 +161,7 @@ def registered() -> dict[str, Query]:
             op8_secrets,
             op9_mixing,
             op10_line_quality,
+            op11_language_model,
             op12_fill_middle,
             op13_resampling,
         )
