@@ -1,14 +1,23 @@
-"""DataFrame operators the plans are composed of. None collects; ``rubric_join`` counts its rubric."""
+"""DataFrame operators the plans are composed of. None collects; ``chunk_levels`` asks for the range of a key."""
 
 from estatelens.operators.documents import json_document, nested
-from estatelens.operators.history import counter_delta, hourly_rate, rolling_window, snapshot_chunk, stat_pivot
+from estatelens.operators.history import (
+    chunk_levels,
+    counter_delta,
+    hourly_rate,
+    rolling_window,
+    snapshot_chunk,
+    stat_pivot,
+)
 from estatelens.operators.inventory import band_counts, count_units, fan_in, sampled_inventory, unit_rollup
 from estatelens.operators.keys import (
     attach_one,
     enabled_flag,
     enrich,
     exclude_keys,
+    key_slot,
     restrict_to_keys,
+    slot_table,
     sorted_rows,
     union_tagged,
 )
@@ -18,6 +27,7 @@ from estatelens.operators.rubric import rubric_join
 __all__ = [
     "attach_one",
     "band_counts",
+    "chunk_levels",
     "count_units",
     "counter_delta",
     "enabled_flag",
@@ -27,6 +37,7 @@ __all__ = [
     "first_rows",
     "hourly_rate",
     "json_document",
+    "key_slot",
     "latest_per_key",
     "nested",
     "order_by_band",
@@ -34,6 +45,7 @@ __all__ = [
     "rolling_window",
     "rubric_join",
     "sampled_inventory",
+    "slot_table",
     "snapshot_chunk",
     "sorted_rows",
     "stat_pivot",

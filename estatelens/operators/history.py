@@ -53,6 +53,22 @@ def snapshot_chunk(snap_id: str = "snap_id", size: int = SNAPSHOTS_PER_CHUNK) ->
     return F.call_function("div", F.col(snap_id), F.lit(size))
 
 
+def chunk_levels(df: DataFrame, key: str, size: int = SNAPSHOTS_PER_CHUNK) -> list[Column]:
+    """Chunks for ``counter_delta`` by an integer ``key``, fine to coarse, as many as the key's range asks for.
+
+    With one row per key and partition, no window of any level has more than ``size`` rows, however long the
+    history: a chunk of the first level spans ``size`` keys, one of each next level half as many chunks of the
+    level below, which hand on two rows each, and the last level has no more than that many chunks. The range is
+    asked of ``df`` at once.
+    """
+    low, high = df.agg(F.min(key), F.max(key)).first()
+    levels, width = [], size
+    while low is not None and width <= high - low:
+        levels.append(F.call_function("div", F.col(key) - F.lit(low), F.lit(width)))
+        width *= size // 2
+    return levels
+
+
 def _with_previous(
     df: DataFrame, name: str, partition_by: Sequence[str], order: Sequence[Column], chunks: Sequence[Column]
 ) -> DataFrame:

@@ -54,6 +54,23 @@ def attach_one(df: DataFrame, lookup: DataFrame, by: Sequence[str] = ()) -> Data
     return df.join(right, same, "left").drop(*[f"_{c}" for c in by])
 
 
+def slot_table(rows: DataFrame, slot: Column, value: Column, slots: int) -> Column:
+    """``value``, an aggregate, of the rows of each of ``slots`` slots, as one scalar array; NULL where there are none.
+
+    A lookup of fixed size for a filter: it is one subquery, known when files are read, and an element is found by
+    its place, so its cost grows neither with ``rows`` nor with the rows that are filtered.
+    """
+    found = rows.groupBy(slot.cast("int").alias("_slot")).agg(value.alias("_value"))
+    pairs = found.agg(F.map_from_entries(F.collect_list(F.struct("_slot", "_value"))).alias("_pairs"))
+    every = F.sequence(F.lit(0), F.lit(slots - 1))
+    return pairs.select(F.transform(every, lambda i: F.try_element_at("_pairs", i))).scalar()
+
+
+def key_slot(keys: Sequence[str], slots: int) -> Column:
+    """The slot of a row's keys, by hash."""
+    return F.pmod(F.hash(*keys), F.lit(slots)).cast("int")
+
+
 def union_tagged(
     sources: Sequence[tuple[str, DataFrame, Mapping[str, Column]]],
     schema: Mapping[str, str],
@@ -73,12 +90,23 @@ def union_tagged(
     return result
 
 
-def enabled_flag(df: DataFrame, enabled: DataFrame, on: Sequence[str], option: str, flag: str) -> DataFrame:
-    """YES where an enabling row exists, NO elsewhere; several enabling rows repeat the row."""
+def enabled_flag(
+    df: DataFrame, enabled: DataFrame, on: Sequence[str], option: str, flag: str, splits: int = 1
+) -> DataFrame:
+    """YES where an enabling row exists, NO elsewhere; several enabling rows repeat the row.
+
+    With ``splits``, the rows of one key are dealt into as many parts by their place, and each enabling row is
+    there for every part, so that a popular key is several tasks' work without adaptive execution.
+    """
     options = enabled.select(*on, F.col(option).alias("_option"))
-    joined = df.join(options, list(on), "left")
+    keys = list(on)
+    if splits > 1:
+        df = df.withColumn("_split", F.pmod(F.monotonically_increasing_id(), F.lit(splits)).cast("int"))
+        options = options.withColumn("_split", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
+        keys.append("_split")
+    joined = df.join(options, keys, "left")
     yes_no = F.when(F.col("_option").isNotNull(), "YES").otherwise("NO")
-    return joined.withColumn(flag, yes_no).drop("_option")
+    return joined.withColumn(flag, yes_no).drop("_option", "_split")
 
 
 def sorted_rows(df: DataFrame, *names: str) -> DataFrame:

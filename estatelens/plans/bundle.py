@@ -34,6 +34,7 @@ def rowsets(
     rubric: DataFrame | None = None,
     source_keys: Sequence[str] = (),
     stage: Callable[[str, DataFrame], DataFrame] = lambda name, table: table,
+    bands: int = 1,
 ) -> dict[str, DataFrame]:
     """The ten reports by their place in the folder.
 
@@ -42,16 +43,18 @@ def rowsets(
     c, keys = catalog, source_keys
     snapshots, users = c["dba_hist_snapshot"], c["dba_users"]
     window = rolling_window(snapshots, "begin_interval_time", as_of, WINDOW_DAYS)
-    facts = since(c["dba_hist_sysstat"], window)
+    facts = since(c["dba_hist_sysstat"], window, keys, bands)
     io = stage("io", facts.where(F.col("stat_name").isin(*IO_REQUESTS, *IO_BYTES)))
     units = stage("units", code_units(c["dba_source"], keys))
     return {
         FEATURES: feature_score(c["dba_feature_usage_statistics"], rubric, keys),
         "workload_baseline/awr_iops.csv": iops_by_hour(snapshots, io, as_of, keys),
         "workload_baseline/awr_throughput.csv": throughput_by_hour(snapshots, io, as_of, keys),
-        "workload_baseline/awr_top_waits.csv": top_waits(snapshots, c["dba_hist_system_event"], as_of, keys),
+        "workload_baseline/awr_top_waits.csv": top_waits(
+            snapshots, c["dba_hist_system_event"], as_of, keys, bands=bands
+        ),
         "workload_baseline/awr_cpu_pga.csv": cpu_memory_by_snapshot(
-            snapshots, c["dba_hist_osstat"], c["dba_hist_pgastat"], as_of, keys
+            snapshots, c["dba_hist_osstat"], c["dba_hist_pgastat"], as_of, keys, bands=bands
         ),
         BLOCKERS: blocker_inventory(c, source_keys=keys),
         "schema_complexity/plsql_inventory.csv": code_inventory(users, units, keys),

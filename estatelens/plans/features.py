@@ -31,5 +31,6 @@ def feature_score(
         "aux_count",
     )
     rubric = default_rubric(features.sparkSession) if rubric is None else rubric
-    scored = rubric_join(named, "feature_name", rubric, "feature_pattern", UNMATCHED)
+    # Names are listed from the scan; the latest samples are found once.
+    scored = rubric_join(named, "feature_name", rubric, "feature_pattern", UNMATCHED, texts=used.select("name"))
     return order_by_band(scored, "target_score", SCORE_ORDER, then=["feature_name", "target_notes", "aux_count"], by=source_keys)

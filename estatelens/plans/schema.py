@@ -64,6 +64,10 @@ _POLICY_SCHEMA = {
 }
 
 
+#: Parts of the rows of one policy name: each is joined with all of its enabling rows.
+POLICY_SPLITS = 8
+
+
 def audit_policies(
     users: DataFrame,
     fine_grained: DataFrame,
@@ -75,7 +79,7 @@ def audit_policies(
     owners = app_owners(users, source_keys=source_keys)
     on_app_schemas = restrict_to_keys(fine_grained, [*source_keys, "object_schema"], owners)
     custom = unified.where(~F.col("policy_name").like(BUILT_IN_POLICIES))
-    flagged = enabled_flag(custom, enabled, [*source_keys, "policy_name"], "enabled_option", "enable")
+    flagged = enabled_flag(custom, enabled, [*source_keys, "policy_name"], "enabled_option", "enable", POLICY_SPLITS)
     same = {c: F.col(c) for c in ("object_name", "policy_name", "policy_column", "enable", "statement_types", "audit_trail")}
     report = union_tagged(
         [

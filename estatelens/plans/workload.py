@@ -11,15 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estatelens.functions import ascending, hour_bucket, hour_label, safe_ratio, seconds_between
 from estatelens.operators import (
     counter_delta,
     hourly_rate,
+    key_slot,
     rolling_window,
+    slot_table,
     snapshot_chunk,
     stat_pivot,
     top_n,
@@ -36,6 +39,9 @@ from estatelens.plans.seeds import (
     WINDOW_DAYS,
 )
 
+#: Bounds of a fleet's facts; with more sources than slots, some share the lower bound.
+SOURCE_SLOTS = 1 << 12
+
 _SNAPSHOT = ("snap_id", "instance_number", "dbid")
 _HEADER_CHUNK, _HEADERS = "_header_chunk", "_headers"
 
@@ -44,13 +50,42 @@ def _unique(*names: str) -> list[str]:
     return list(dict.fromkeys(names))
 
 
-def since(facts: DataFrame, window: DataFrame) -> DataFrame:
-    """The facts from the window's lowest snapshot id on.
+def since(facts: DataFrame, window: DataFrame, source_keys: Sequence[str] = (), bands: int = 1) -> DataFrame:
+    """The facts from the window's lowest snapshot id on, that of their own source in a fleet.
+
+    Facts have no time. The bounds are scalar subqueries, so they are known when files are read: the lowest id
+    skips row groups, and the join with the window decides. A fleet's bounds are one array of ``SOURCE_SLOTS``
+    by hash of the source, whatever the number of sources; a slot has the lowest bound of its sources, so old
+    facts go where they are read, and where extracts are partitioned by source, so do the folders of sources
+    without a snapshot in the window.
 
-    Facts have no time. The bound is a scalar subquery, so it is known when files are read and skips
-    row groups; the join with the window decides.
+    A single scan can only skip row groups by one id. With more ``bands``, sources are dealt into as many parts
+    by their bounds, each with a scan of its own that starts at its lowest id. Use that for extracts partitioned
+    by source, where a scan opens the folders of its own sources only; others would be read once per band.
     """
-    return facts.where(F.col("snap_id") >= window.agg(F.min("snap_id")).scalar())
+    if not source_keys:
+        return facts.where(F.col("snap_id") >= window.agg(F.min("snap_id")).scalar())
+    lowest = slot_table(window, key_slot(source_keys, SOURCE_SLOTS), F.min("snap_id"), SOURCE_SLOTS)
+    own = F.get(lowest, key_slot(source_keys, SOURCE_SLOTS))
+    known = facts.where(own.isNotNull())
+    if bands == 1:
+        return known.where(F.col("snap_id") >= window.agg(F.min("snap_id")).scalar()).where(F.col("snap_id") >= own)
+    lows = window.groupBy(key_slot(source_keys, SOURCE_SLOTS)).agg(F.min("snap_id").alias("low"))
+    lows = lows.agg(F.array_sort(F.collect_list("low")).alias("lows"))
+
+    def first(band: int) -> Column:
+        at = F.floor(F.size("lows") * band / bands).cast("int")
+        return lows.select(F.get("lows", at)).scalar()
+
+    def inside(band: int) -> Column:
+        above = own >= first(band)
+        return above & (own < first(band + 1)) if band + 1 < bands else above
+
+    parts = []
+    for band in range(bands):
+        start = window.where(inside(band)).agg(F.min("snap_id")).scalar()
+        parts.append(known.where(inside(band)).where(F.col("snap_id") >= start).where(F.col("snap_id") >= own))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _with_header(facts: DataFrame, window: DataFrame, source_keys: Sequence[str], chunk_size: int) -> DataFrame:
@@ -82,6 +117,7 @@ def _delta_totals(
     stats: Mapping[str, str],
     source_keys: Sequence[str],
     chunk_size: int,
+    bands: int,
 ) -> DataFrame:
     """Statistics of each snapshot in the window that has any, with deltas and interval seconds."""
     keys = _unique(*source_keys, *_SNAPSHOT)
@@ -90,7 +126,7 @@ def _delta_totals(
         "end_interval_time",
         seconds_between(F.col("begin_interval_time"), F.col("end_interval_time")).alias("secs"),
     )
-    joined = window.join(stat_pivot(since(sysstat, window), keys, stats), keys)
+    joined = window.join(stat_pivot(since(sysstat, window, source_keys, bands), keys, stats), keys)
     return counter_delta(
         joined,
         {column: f"{column}_delta" for column in stats.values()},
@@ -115,9 +151,10 @@ def iops_by_hour(
     as_of: datetime | str,
     source_keys: Sequence[str] = (),
     chunk_size: int = SNAPSHOTS_PER_CHUNK,
+    bands: int = 1,
 ) -> DataFrame:
     """Read and write requests per second by hour of interval end and instance."""
-    deltas = _delta_totals(snapshots, sysstat, as_of, IO_REQUESTS, source_keys, chunk_size)
+    deltas = _delta_totals(snapshots, sysstat, as_of, IO_REQUESTS, source_keys, chunk_size, bands)
     rates = {"read_reqs_delta": "read_iops_avg", "write_reqs_delta": "write_iops_avg"}
     return _hourly_report(deltas, rates, 1, 1, source_keys)
 
@@ -128,9 +165,10 @@ def throughput_by_hour(
     as_of: datetime | str,
     source_keys: Sequence[str] = (),
     chunk_size: int = SNAPSHOTS_PER_CHUNK,
+    bands: int = 1,
 ) -> DataFrame:
     """Read, write and redo MiB per second by hour of interval end and instance."""
-    deltas = _delta_totals(snapshots, sysstat, as_of, IO_BYTES, source_keys, chunk_size)
+    deltas = _delta_totals(snapshots, sysstat, as_of, IO_BYTES, source_keys, chunk_size, bands)
     rates = {
         "read_bytes_delta": "read_mb_per_sec",
         "write_bytes_delta": "write_mb_per_sec",
@@ -146,13 +184,14 @@ def top_waits(
     source_keys: Sequence[str] = (),
     n: int = TOP_WAITS,
     chunk_size: int = SNAPSHOTS_PER_CHUNK,
+    bands: int = 1,
 ) -> DataFrame:
     """The ``n`` non-idle wait events with the most waited time in the window, per source.
 
     A snapshot has one header.
     """
     window = rolling_window(snapshots, "begin_interval_time", as_of, WINDOW_DAYS)
-    waits = since(system_event, window).where(F.col("wait_class") != IDLE_WAIT_CLASS)
+    waits = since(system_event, window, source_keys, bands).where(F.col("wait_class") != IDLE_WAIT_CLASS)
     waits = _with_header(waits, window, source_keys, chunk_size)
     deltas = counter_delta(
         waits,
@@ -183,6 +222,7 @@ def cpu_memory_by_snapshot(
     as_of: datetime | str,
     source_keys: Sequence[str] = (),
     chunk_size: int = SNAPSHOTS_PER_CHUNK,
+    bands: int = 1,
 ) -> DataFrame:
     """CPU percentage and allocated session memory, one row per snapshot under its hour label.
 
@@ -192,8 +232,8 @@ def cpu_memory_by_snapshot(
     keys = _unique(*source_keys, *_SNAPSHOT)
     joint = _unique(*source_keys, "snap_id", "instance_number")
     window = rolling_window(snapshots, "begin_interval_time", as_of, WINDOW_DAYS)
-    ticks = since(osstat, window).where(F.col("stat_name").isin(*CPU_TICKS))
-    gauge = since(pgastat, window).where(F.col("name").isin(*MEMORY_GAUGE)).withColumnRenamed("name", "stat_name")
+    ticks = since(osstat, window, source_keys, bands).where(F.col("stat_name").isin(*CPU_TICKS))
+    gauge = since(pgastat, window, source_keys, bands).where(F.col("name").isin(*MEMORY_GAUGE)).withColumnRenamed("name", "stat_name")
     stats = CPU_TICKS | MEMORY_GAUGE
     wide = stat_pivot(
         ticks.select(*keys, "stat_name", "value").unionByName(gauge.select(*keys, "stat_name", "value")),

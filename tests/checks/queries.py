@@ -186,11 +186,15 @@ def _cents() -> Column:
     return F.round(F.col("value") * 100).cast("bigint")
 
 
+#: No window of the query has more rows, at any scale.
+LONG_PARTITION_ROWS = 256
+
+
 def _counter_delta_long_partition(d: Derived) -> DataFrame:
-    """Two partitions hold all events; two levels of chunks."""
+    """Two partitions hold all events; as many levels of chunks as their range asks for."""
     instance = ((F.col("user_id") % 2).cast("int") + 1).alias("instance_number")
     events = d.base("events").select("event_id", instance, _cents().alias("cents"))
-    chunks = [ops.snapshot_chunk("event_id", size) for size in (512, 512 * 64)]
+    chunks = ops.chunk_levels(events, "event_id", LONG_PARTITION_ROWS)
     return ops.counter_delta(events, {"cents": "delta"}, ["instance_number"], ["event_id"], chunks)
 
 

@@ -178,6 +178,122 @@ def test_waits_are_shuffled_once_before_they_are_added_up(spark, extract):
     assert len(re.findall(r"hashpartitioning\(instance_number#\d+L?, event_name", plan)) == 1
 
 
+@pytest.fixture(scope="module")
+def fleet(spark, tmp_path_factory):
+    """Two sources whose snapshot ids lie far apart, a third without a snapshot in the window; small row groups."""
+    folder = str(tmp_path_factory.mktemp("fleet"))
+    begin = "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, CAST(snap_id - newest AS INT) + 2400)"
+    ids = spark.range(2500).selectExpr("id", "1 AS instance_number", "1L AS dbid")
+    sources = [("old", 100_000, 102_499), ("young", 0, 2_499), ("gone", 500_000, 600_000)]
+    rows = [ids.selectExpr(f"'{s}' AS source_id", f"id + {low} AS snap_id", "instance_number", "dbid", f"{new}L AS newest") for s, low, new in sources]
+    every = rows[0].union(rows[1]).union(rows[2])
+    snapshots = every.selectExpr("source_id", "snap_id", "instance_number", "dbid", f"{begin} AS begin_interval_time")
+    snapshots = snapshots.selectExpr("*", "begin_interval_time + INTERVAL '1' HOUR AS end_interval_time")
+    facts = every.selectExpr("source_id", "snap_id", "instance_number", "dbid", "'physical read total IO requests' AS stat_name", "snap_id * 7 AS value")
+    for name, table in (("dba_hist_snapshot", snapshots), ("dba_hist_sysstat", facts)):
+        ordered = table.repartition("source_id").sortWithinPartitions("source_id", "snap_id")
+        options = {"parquet.block.size": "1024", "parquet.page.size": "512", "parquet.block.size.row.check.min": "50", "parquet.page.size.row.check.min": "50"}
+        ordered.write.options(**options).partitionBy("source_id").parquet(f"{folder}/{name}")
+    return read_catalog(spark, folder, ["dba_hist_snapshot", "dba_hist_sysstat"], source_keys=["source_id"])
+
+
+def _nodes(plan):
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        yield node
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+
+
+def _node_rows(plan, kind: str, wanted: str = "") -> list[int]:
+    """Rows out of the executed nodes of one kind whose text holds ``wanted``."""
+    nodes = [n for n in _nodes(plan) if n.getClass().getSimpleName() == kind and wanted in n.toString()]
+    return [n.longMetric("numOutputRows").value() for n in nodes]
+
+
+@pytest.mark.parametrize("bands", [1, 2])
+def test_each_source_reads_only_its_own_row_groups(fleet, bands):
+    """With a band for each of two sources, a scan opens one source's folder and starts at its own lowest id."""
+    as_of, keys = "2024-07-01 00:00:00", ["source_id"]
+    snapshots, facts = fleet["dba_hist_snapshot"], fleet["dba_hist_sysstat"]
+    window = ops.rolling_window(snapshots, "begin_interval_time", as_of)
+    in_window = {r["source_id"]: r["count"] for r in window.groupBy("source_id").count().collect()}
+    assert set(in_window) == {"old", "young"} and all(0 < n < 400 for n in in_window.values())
+    pruned = plans.workload.since(facts, window, keys, bands)
+    assert {r["source_id"]: r["count"] for r in pruned.groupBy("source_id").count().collect()} == in_window
+    rows = pruned.select("source_id", "snap_id", "value")
+    rows.collect()
+    read = _node_rows(rows._jdf.queryExecution().executedPlan(), "FileSourceScanExec", "value")
+    assert len(read) == bands
+    if bands == 2:
+        # Whole row groups are read, so a little more than the window's rows.
+        assert sum(read) <= sum(in_window.values()) + 2 * 400
+    else:
+        assert sum(read) > sum(in_window.values()) + 2 * 400 and sum(read) <= 5_000
+    report = plans.iops_by_hour(snapshots, facts, as_of, keys, bands=bands)
+    assert sorted(map(tuple, report.collect()), key=repr) == sorted(map(tuple, plans.iops_by_hour(snapshots, facts, as_of, keys).collect()), key=repr)
+
+
+def test_the_rubric_join_gets_possible_matches_only(spark):
+    """Texts have thousands of grams, the rubric a few; rows into the join follow the rubric."""
+    texts = spark.range(200).selectExpr("concat(repeat('abcdefghij ', 300), CAST(id AS STRING), IF(id % 4 = 0, ' needle', '')) AS t")
+    rubric = spark.createDataFrame([("needle", "x"), ("qqq%z", "y"), ("n", "z")], "p string, s string")
+    joined = ops.rubric_join(texts, "t", rubric, "p", {"s": "none"})
+    assert joined.groupBy("s").count().orderBy("s").collect() == [("none", 150), ("x", 50), ("z", 50)]
+    plan = joined._jdf.queryExecution()
+    joined.collect()
+    generated = _node_rows(plan.executedPlan(), "GenerateExec")
+    # All grams of the 200 texts would be some 10,000 distinct rows.
+    assert generated and sum(generated) <= 200 * 3
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_no_window_of_a_long_history_grows(spark, folder):
+    """One bound for the rows of every window, at both scales."""
+    from tests.checks.queries import LONG_PARTITION_ROWS
+
+    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", (F.col("user_id") % 2).alias("k"))
+    levels = ops.chunk_levels(events, "event_id", LONG_PARTITION_ROWS)
+    rows = events
+    for level in levels:
+        chunked = rows.withColumn("chunk", level)
+        assert chunked.groupBy("k", "chunk").count().agg(F.max("count")).first()[0] <= LONG_PARTITION_ROWS
+        ends = chunked.groupBy("k", "chunk").agg(F.array(F.min("event_id"), F.max("event_id")).alias("ends"))
+        rows = ends.select("k", F.explode("ends").alias("event_id"))
+    assert rows.groupBy("k").count().agg(F.max("count")).first()[0] <= LONG_PARTITION_ROWS
+
+
+def test_popular_policies_are_split_without_adaptive_execution(spark):
+    """All rows have one policy name; with adaptive execution off, they meet its enabling rows in several tasks."""
+    policies = spark.range(4000).selectExpr("IF(id >= 0, 'P', 'Q') AS policy_name", "id")
+    enabled = spark.createDataFrame([("P", "all"), ("P", "some"), ("Q", "none")], "policy_name string, o string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        whole = ops.enabled_flag(policies, enabled, ["policy_name"], "o", "enable")
+        split = ops.enabled_flag(policies, enabled, ["policy_name"], "o", "enable", splits=16)
+
+        def tasks(joined):
+            return joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+
+        assert [r["count"] for r in tasks(whole)] == [8000]
+        counts = [r["count"] for r in tasks(split)]
+        assert len(counts) == 4 and max(counts) <= 4000
+        assert split.columns == whole.columns and sorted(split.collect()) == sorted(whole.collect())
+        assert "SortMergeJoin" in plan_text(split)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_popular_targets_are_spread_before_counting(spark):
     edges = spark.range(1000).selectExpr("'t' AS t", "CAST(id % 7 AS STRING) AS o", "CAST(id AS STRING) AS n")
     plan = plan_text(ops.fan_in(edges, ["t"], ["o", "n"]))
