@@ -27,6 +27,14 @@ MANIFEST = "manifest.json"
 SUMMARY = "summary/mab_summary.json"
 CHECKSUMS = "checksums.sha256"
 
+#: What a run that is not complete is called beside the complete ones.
+PARTIAL = ".partial"
+
+_IO_REPORTS = ("workload_baseline/awr_iops.csv", "workload_baseline/awr_throughput.csv")
+_UNIT_REPORTS = ("schema_complexity/plsql_inventory.csv", "schema_complexity/plsql_hotspots.csv")
+#: Tables that several reports read, and which.
+STAGED = {"io": _IO_REPORTS, "units": _UNIT_REPORTS}
+
 
 def rowsets(
     catalog: Mapping[str, DataFrame],
@@ -82,21 +90,37 @@ def write_bundle(
     as_of: datetime | str,
     rubric: DataFrame | None = None,
     source_keys: Sequence[str] = (),
+    bands: int = 1,
 ) -> str:
     """Write manifest, reports, summary and checksums below ``<folder>/<run_id>``; return that path.
 
-    The summary counts the reports as written, so they are not computed again. Tables that
-    several reports read are stored once in the cluster's shared folder, and removed at the end, also after a
-    failure. A failing step leaves what was written before it.
+    The run is written aside, in ``<run_id>.partial``, and gets its name when all of it is there, so a reader never
+    sees half a bundle. After a failure, the same call goes on with what is missing: a piece is complete once its
+    writer has marked it, and is not written again. A run that exists is not overwritten.
+
+    The summary counts the reports as written, so they are not computed again. Tables that several of the missing
+    reports read are stored once in the cluster's shared folder, and removed at the end, also after a failure.
     """
-    staging = f"{shared_folder(spark)}/staged-{run_id}"
+    out = f"{folder.rstrip('/')}/{run_id}"
+    aside, staging = f"{out}{PARTIAL}", f"{shared_folder(spark)}/staged-{run_id}"
+    if _exists(spark, out):
+        raise FileExistsError(f"run exists: {out}")
+
+    def is_complete(place: str) -> bool:
+        return _exists(spark, f"{aside}/{place}/_SUCCESS")
+
+    def write_once(place: str, write: Callable[[str], None]) -> None:
+        if not is_complete(place):
+            _remove(spark, f"{aside}/{place}")
+            write(f"{aside}/{place}")
 
     def stage(name: str, table: DataFrame) -> DataFrame:
+        if all(is_complete(place) for place in STAGED[name]):
+            return table
         path = f"{staging}/{name}"
-        table.write.parquet(path)
+        table.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    out = f"{folder.rstrip('/')}/{run_id}"
     environment = summary.fingerprint(
         catalog["v_database"],
         catalog["v_instance"],
@@ -105,21 +129,41 @@ def write_bundle(
         source_keys,
     )
     run = summary.manifest(environment, run_id, captured_at_utc, host)
-    summary.manifest_document(run, source_keys).select("document").write.text(f"{out}/{MANIFEST}")
+    document = summary.manifest_document(run, source_keys).select("document")
+    write_once(MANIFEST, document.write.text)
     try:
-        reports = rowsets(catalog, as_of, rubric, source_keys, stage)
+        reports = rowsets(catalog, as_of, rubric, source_keys, stage, bands)
         for place, report in reports.items():
-            write_rowset(report, f"{out}/{place}")
+            write_once(place, lambda path, report=report: write_rowset(report, path))
     finally:
         _remove(spark, staging)
-    written = {place: read_rowset(spark, f"{out}/{place}", reports[place].schema) for place in (FEATURES, BLOCKERS)}
+    written = {place: read_rowset(spark, f"{aside}/{place}", reports[place].schema) for place in (FEATURES, BLOCKERS)}
     scores = summary.scorecard(written[FEATURES], written[BLOCKERS], run, source_keys)
-    summary.summary_document(scores, source_keys).select("document").write.text(f"{out}/{SUMMARY}")
-    sums = checksum_manifest(spark, out)
-    sums.selectExpr("concat(sha256, '  ', path) AS line").write.text(f"{out}/{CHECKSUMS}")
+    write_once(SUMMARY, summary.summary_document(scores, source_keys).select("document").write.text)
+    _remove(spark, f"{aside}/{CHECKSUMS}")
+    sums = checksum_manifest(spark, aside)
+    sums.selectExpr("concat(sha256, '  ', path) AS line").write.text(f"{aside}/{CHECKSUMS}")
+    _publish(spark, aside, out)
     return out
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, name: str) -> bool:
+    path, store = _path(spark, name)
+    return store.exists(path)
+
+
+def _remove(spark: SparkSession, name: str) -> None:
+    path, store = _path(spark, name)
+    store.delete(path, True)
+
+
+def _publish(spark: SparkSession, aside: str, out: str) -> None:
+    """One rename; on a store without renames it is a copy, and the checksums are what proves a run whole."""
+    path, store = _path(spark, aside)
+    if not store.rename(path, _path(spark, out)[0]):
+        raise OSError(f"could not rename {aside} to {out}")

@@ -1,6 +1,6 @@
 """Where rows come from and where results go."""
 
-from estatelens.sources.catalog import Catalog, conform, read_catalog, read_jdbc
+from estatelens.sources.catalog import Catalog, conform, malformed_rows, read_catalog, read_jdbc
 from estatelens.sources.files import checksum_manifest
 from estatelens.sources.literals import literal_table
 from estatelens.sources.rowset import read_rowset, write_rowset
@@ -12,6 +12,7 @@ __all__ = [
     "checksum_manifest",
     "conform",
     "literal_table",
+    "malformed_rows",
     "read_catalog",
     "read_jdbc",
     "read_rowset",

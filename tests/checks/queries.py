@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from estatelens.functions import (
 )
 from estatelens.plans.seeds import IO_REQUESTS, SPEC_OF_BODY
 from estatelens.session import shared_folder
-from estatelens.sources import checksum_manifest, literal_table, read_catalog, read_rowset, write_rowset
+from estatelens.sources import checksum_manifest, literal_table, malformed_rows, read_catalog, read_rowset, write_rowset
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -308,37 +309,58 @@ def _csv_rowset(d: Derived) -> DataFrame:
     return read_rowset(d.spark, path, report.schema)
 
 
-def _foreign_users(d: Derived) -> DataFrame:
-    """The user view as another tool might write it: other order, upper case, a column more."""
-    names = F.concat(F.lit(" "), "username", F.lit('" ,x'))
-    return d.users().select(
-        F.lit(1).alias("USER_ID"), F.col("oracle_maintained").alias("ORACLE_MAINTAINED"), names.alias("USERNAME")
-    )
+def _foreign_features(d: Derived) -> DataFrame:
+    """The usage view as another tool might write it: other order and case, a column more, several files.
+
+    One row of fifty has a count that is no number.
+    """
+    f = d.features()
+    counts = F.when(F.col("aux_count") % 50 == 0, "n/a").otherwise(F.col("detected_usages").cast("string"))
+    return f.select(
+        F.lit(1).alias("USER_ID"),
+        F.date_format("last_sample_date", "yyyy-MM-dd").alias("LAST_SAMPLE_DATE"),
+        counts.alias("DETECTED_USAGES"),
+        F.concat(F.lit(" "), "name", F.lit('" ,x')).alias("NAME"),
+        *[F.col(c).alias(c.title()) for c in ("dbid", "currently_used", "total_samples", "aux_count")],
+        *[F.date_format(c, "yyyy-MM-dd").alias(c.upper()) for c in ("first_usage_date", "last_usage_date")],
+    ).repartition(5, "AUX_COUNT")
+
+
+def _foreign_view(d: Derived, fmt: str) -> DataFrame:
+    """Read back, with what could not be read beside it: a row with the number of malformed ones."""
+    folder, view = _scratch(d, f"catalog_{fmt}"), "dba_feature_usage_statistics"
+    written = _foreign_features(d)
+    if fmt == "csv":
+        kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        written.write.csv(f"{folder}/{view}", header=True, quoteAll=True, escape='"', nullValue="", emptyValue="", **kept)
+    else:
+        lines = F.to_json(F.struct(*written.columns))
+        # Some lines break off as well.
+        cut = F.when(F.col("AUX_COUNT") % 77 == 0, F.substring(lines, 1, 40)).otherwise(lines)
+        written.select(cut).write.text(f"{folder}/{view}")
+    read = read_catalog(d.spark, folder, [view], fmt, malformed="leave_out")[view]
+    bad = malformed_rows(d.spark, folder, [view], fmt).groupBy("view").agg(F.count("*").alias("n"))
+    return read.unionByName(bad.select(F.concat("view", F.lit(": malformed")).alias("name"), F.col("n").alias("aux_count")), True)
 
 
 def _catalog_csv(d: Derived) -> DataFrame:
-    folder = _scratch(d, "catalog_csv")
-    _foreign_users(d).write.csv(
-        f"{folder}/dba_users",
-        header=True,
-        quoteAll=True,
-        escape='"',
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
-    return read_catalog(d.spark, folder, ["dba_users"], "csv")["dba_users"]
+    return _foreign_view(d, "csv")
 
 
 def _catalog_json(d: Derived) -> DataFrame:
-    folder = _scratch(d, "catalog_json")
-    _foreign_users(d).write.json(f"{folder}/dba_users")
-    return read_catalog(d.spark, folder, ["dba_users"], "json")["dba_users"]
+    return _foreign_view(d, "json")
+
+
+def _row_text(rows: DataFrame) -> Column:
+    """Values by bar, rates as whole thousandths, so that engines write them alike."""
+    kinds = dict(rows.dtypes)
+    return F.concat_ws("|", *[F.round(F.col(c) * 1000).cast("bigint") if kinds[c] == "double" else F.col(c) for c in rows.columns])
 
 
 def _bundle_readback(d: Derived) -> DataFrame:
-    """A whole bundle, written, and some of its reports read back as text rows."""
+    """A whole bundle, written, and all of it read back: ten reports, both documents, and the wrong checksums."""
     catalog = d.default_catalog() | {
-        "dba_feature_usage_statistics": d.features(),
+        "dba_feature_usage_statistics": d.default_features(),
         "dba_hist_snapshot": d.snapshots(),
         "dba_hist_sysstat": d.sysstat(),
         "dba_hist_system_event": d.system_event(),
@@ -358,19 +380,18 @@ def _bundle_readback(d: Derived) -> DataFrame:
         "gv_instance": d.cluster_instances(),
         "nls_database_parameters": d.parameters(),
     }
-    out = plans.write_bundle(d.spark, catalog, _scratch(d, "bundles"), uuid.uuid4().hex, CAPTURED_AT, HOST, AS_OF)
-    reports = {
-        "schema_complexity/plsql_inventory.csv": _code_inventory(d),
-        "schema_complexity/plsql_hotspots.csv": _code_hotspots(d),
-        "schema_complexity/partition_topology.csv": _partition_topology(d),
-        "schema_complexity/fga_policies.csv": _audit_policies(d),
-    }
-    read = None
-    for place, report in reports.items():
+    out = plans.write_bundle(d.spark, catalog, _scratch(d, "bundles"), RUN_ID, CAPTURED_AT, HOST, AS_OF)
+    parts = []
+    for place, report in plans.rowsets(catalog, AS_OF).items():
         rows = read_rowset(d.spark, f"{out}/{place}", report.schema)
-        rows = rows.select(F.lit(place).alias("report"), F.concat_ws("|", *rows.columns).alias("row_text"))
-        read = rows if read is None else read.unionByName(rows)
-    return read
+        parts.append(rows.select(F.lit(place).alias("report"), _row_text(rows).alias("row_text")))
+    for place in ("manifest.json", "summary/mab_summary.json"):
+        parts.append(d.spark.read.text(f"{out}/{place}").select(F.lit(place).alias("report"), F.col("value").alias("row_text")))
+    said = d.spark.read.text(f"{out}/checksums.sha256").select(F.col("value").alias("line"))
+    found = checksum_manifest(d.spark, out).select(F.concat("sha256", F.lit("  "), "path").alias("line"))
+    wrong = said.exceptAll(found).unionByName(found.exceptAll(said)).agg(F.count("*").cast("string").alias("row_text"))
+    parts.append(wrong.select(F.lit("checksums.sha256").alias("report"), "row_text"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 _JOBS = {

@@ -12,8 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from estatelens.plans import write_bundle
+from estatelens.plans import bundle
 from estatelens.plans.bundle import rowsets
-from estatelens.sources import SCHEMAS, checksum_manifest, conform, read_catalog, read_rowset, write_rowset
+from estatelens.sources import SCHEMAS, checksum_manifest, conform, malformed_rows, read_catalog, read_rowset, write_rowset
 from estatelens.session import shared_folder
 from tests.conftest import tuples
 
@@ -93,6 +94,37 @@ def test_csv_files_with_other_headers_are_refused(spark, make, tmp_path):
         tuples(read_catalog(spark, str(tmp_path), ["dba_users"], "csv")["dba_users"])
 
 
+GOOD_JSON = ['{"SNAP_ID": 1, "instance_number": "2", "dbid": null}', '{"snap_id": 2}', "{}"]
+BAD_JSON = ['{"snap_id": 3', "[1]", "text", '{"snap_id": "x"}', '{"snap_id": 4, "begin_interval_time": "yesterday"}']
+GOOD_CSV = ["1,2,3,,", '2,"",,2024-01-01 00:00:00,', ",,,,"]
+BAD_CSV = ["3,2", "4,2,3,,,9,9", "x,2,3,,", "5,2,3,noon,"]
+
+
+@pytest.mark.parametrize("fmt, good, bad", [("json", GOOD_JSON, BAD_JSON), ("csv", GOOD_CSV, BAD_CSV)])
+def test_malformed_rows(spark, tmp_path, fmt, good, bad):
+    """Refused by default, with file and line; or left out and listed, and nothing else is."""
+    view = "dba_hist_snapshot"
+    folder = tmp_path / view
+    folder.mkdir()
+    header = ["SNAP_ID,INSTANCE_NUMBER,DBID,BEGIN_INTERVAL_TIME,END_INTERVAL_TIME"] if fmt == "csv" else []
+    for i in range(2):
+        (folder / f"{i}.{fmt}").write_text("\n".join(header + good[i::2] + bad[i::2]) + "\n")
+    whole = read_catalog(spark, str(tmp_path), [view], fmt, malformed="leave_out")[view]
+    assert sorted(r["snap_id"] or 0 for r in whole.collect()) == [0, 1, 2]
+    listed = malformed_rows(spark, str(tmp_path), [view], fmt).collect()
+    assert len(listed) == len(bad) and {r["view"] for r in listed} == {view}
+    assert {Path(r["file"]).name for r in listed} == {f"0.{fmt}", f"1.{fmt}"}
+    if fmt == "json":
+        assert {r["line"] for r in listed} == set(bad)
+    with pytest.raises(Exception, match="malformed row in"):
+        read_catalog(spark, str(tmp_path), [view], fmt)[view].select("dbid").collect()
+    for i in range(2):
+        (folder / f"{i}.{fmt}").write_text("\n".join(header + good[i::2]) + "\n")
+    assert read_catalog(spark, str(tmp_path), [view], fmt)[view].count() == 3
+    with pytest.raises(ValueError, match="malformed"):
+        read_catalog(spark, str(tmp_path), [view], fmt, malformed="maybe")
+
+
 def test_shared_folder_is_the_clusters(spark, monkeypatch):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
@@ -165,6 +197,39 @@ def test_bundle(spark, catalog, tmp_path):
     assert listed == written
 
 
+def test_a_failed_run_is_not_seen_and_goes_on(spark, catalog, tmp_path, monkeypatch):
+    """A failure in the fifth report: nothing under the run's name; the next call writes the other six and publishes."""
+    written = []
+    real = bundle.write_rowset
+
+    def failing(report, path):
+        if len(written) == 4:
+            raise OSError("disk full")
+        written.append(path)
+        real(report, path)
+
+    monkeypatch.setattr(bundle, "write_rowset", failing)
+    call = (spark, catalog, str(tmp_path / "runs"), "run-8", "2024-04-01T00:00:00Z", "h", datetime(2024, 4, 1))
+    with pytest.raises(OSError, match="disk full"):
+        write_bundle(*call)
+    assert [p.name for p in (tmp_path / "runs").iterdir()] == ["run-8.partial"]
+    # The piece that was being written when it failed is begun again.
+    half = tmp_path / "runs" / "run-8.partial" / "workload_baseline" / "awr_cpu_pga.csv"
+    half.mkdir(parents=True)
+    (half / "part-00000.csv").write_text("half a row")
+    again = []
+    monkeypatch.setattr(bundle, "write_rowset", lambda report, path: (again.append(path), real(report, path)))
+    out = Path(write_bundle(*call))
+    assert len(again) == 6 and not {Path(p).name for p in again} & {Path(p).name for p in written}
+    assert [p.name for p in (tmp_path / "runs").iterdir()] == ["run-8"]
+    assert not Path(shared_folder(spark).removeprefix("file://"), "staged-run-8").exists()
+    lines = "".join(p.read_text() for p in sorted((out / "checksums.sha256").glob("part-*"))).splitlines()
+    for digest, path in (line.split("  ") for line in lines):
+        assert hashlib.sha256((out / path).read_bytes()).hexdigest() == digest
+    assert REPORTS <= {str(p.parent.relative_to(out)) for p in out.rglob("_SUCCESS")}
+    assert "half a row" not in "".join(p.read_text() for p in (out / "workload_baseline" / "awr_cpu_pga.csv").glob("part-*"))
+
+
 def test_each_source_of_a_fleet_gets_its_own_reports(catalog):
     def of(source, table):
         return table.select(F.lit(source).alias("source_id"), *table.columns)
