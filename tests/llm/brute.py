@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import xxhash
 
@@ -39,6 +40,59 @@ def licenses(text):
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
 
 
+def license_labels(text, templates, k=2, vote_share=0.5, word_share=0.8):
+    """All labels of ``(label, text, slack, base, needs)`` templates, every place tried against every template."""
+    words, hits = alnum_words(text), []
+    for label, said, slack, base, needs in templates:
+        wanted = said.split()
+        if base:
+            hits += [(i, i + len(wanted), 1.0, label, True) for i in range(len(words)) if words[i : i + len(wanted)] == wanted]
+            continue
+        votes = defaultdict(set)
+        for i in range(len(words) - k + 1):
+            for j in range(len(wanted) - k + 1):
+                if words[i : i + k] == wanted[j : j + k]:
+                    votes[i - j].add(j)
+        chains = []
+        for d in sorted(votes):
+            if chains and d - chains[-1][-1] <= slack:
+                chains[-1].append(d)
+            else:
+                chains.append([d])
+        for chain in chains:
+            if len(set().union(*(votes[d] for d in chain))) < max(1, math.ceil(vote_share * (len(wanted) - k + 1))):
+                continue
+            best = None
+            for start in range(max(0, chain[0] - slack), min(len(words), chain[-1] + slack + 1)):
+                if words[start] not in wanted:
+                    continue
+                window = words[start : start + len(wanted) + slack]
+
+                @lru_cache(maxsize=None)
+                def longest(n, m):
+                    """Needed words and all words in order, of the first n of the window and m of the template."""
+                    if not n or not m:
+                        return (0, 0)
+                    found = max(longest(n - 1, m), longest(n, m - 1))
+                    if window[n - 1] == wanted[m - 1]:
+                        a, b = longest(n - 1, m - 1)
+                        found = max(found, (a + (wanted[m - 1] in needs.split()), b + 1))
+                    return found
+
+                top = longest(len(window), len(wanted))
+                end = min(n for n in range(len(window) + 1) if longest(n, len(wanted)) == top)
+                if top[0] == sum(w in needs.split() for w in wanted) and top[1] >= word_share * len(wanted):
+                    score = top[1] / max(len(wanted), end)
+                    if best is None or score > best[2]:
+                        best = (start, start + end, score, label, False)
+            hits += [best] if best else []
+    kept = []
+    for h in sorted(set(hits), key=lambda h: (-h[2], h[0] - h[1], h[0], h[3])):
+        if h[4] or all(h[1] <= x[0] or x[1] <= h[0] for x in kept if not x[4]):
+            kept.append(h)
+    return ",".join(sorted({h[3] for h in kept}))
+
+
 def _luhn(digits):
     total = 0
     for i, d in enumerate(reversed(digits)):
