@@ -2,9 +2,9 @@
 
 Two models, of toxic and of ordinary text, predict each byte from the four before it. They share all
 backoff counts: the continuation counts of shorter contexts are pooled over both classes, so an
-expression that one class has never shown costs both the same but for the weight of backing off. The
-length-normalised difference of the log-likelihoods, over the text and over its words, is calibrated
-on labelled rows that were not counted.
+expression that one class has never shown costs both the same but for the weight of backing off. Two more models, of the
+texts that words are in, tell whole words apart. The length-normalised difference of the log-likelihoods, over
+the text and over its words, and the evidence of its words are calibrated on labelled rows that were not counted.
 """
 
 from __future__ import annotations
@@ -41,7 +41,23 @@ _TABLES_BYTES = 4 << 20
 #: Grams combined in one task before they are handed on.
 _HELD_GRAMS = 4_000_000
 
-_FEATURES = ["mean_ratio", "top_ratio", "toxic_share"]
+_CHARACTERS = ["mean_ratio", "top_ratio", "toxic_share"]
+_WORDS = ["word_best", "word_sum", "word_strong", "word_sure", "word_number"]
+_FEATURES = _CHARACTERS + _WORDS
+
+#: Toxic texts that have to show a word before it is evidence, and its least log ratio.
+EVIDENCE_TEXTS = 2
+EVIDENCE_RATIO = 1.0
+#: Log ratios from which evidence counts as strong, and as sure.
+_STRONG, _SURE = 2.0, 3.0
+
+#: Bits by which tasks see that a word is no evidence: of fixed size; the join decides on the others.
+_SIEVE_BITS = 1 << 24
+_SIEVE_PART = 1 << 15
+
+#: Parts of the rows of one word in the join with the evidence.
+_SALTS = 16
+
 #: A word's log ratio from which it counts as toxic: twenty times likelier.
 _WORD_RATIO = 3.0
 
@@ -159,6 +175,110 @@ def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return seen.select("gram", ratio.alias("ratio")), unseen
 
 
+def word_counts(rows: DataFrame) -> DataFrame:
+    """``word, n_toxic, n_plain``: in how many of ``text, toxic`` each word is; a word is its 64-bit hash."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            found = [np.unique(np.concatenate(x or [np.zeros(0, np.uint64)]), return_counts=True) for x in held]
+            words = np.concatenate([found[0][0], found[1][0]]).view(np.int64)
+            counts = [np.concatenate([f[1] * (i == k) for i, f in enumerate(found)]) for k in (1, 0)]
+            return pa.RecordBatch.from_arrays([pa.array(words), *map(pa.array, counts)], ["word", "n_toxic", "n_plain"])
+
+        for batch in batches:
+            for piece in pieces(batch):
+                words, text = _words_of_texts(Words(text_bytes(piece.column("text")), ALNUM_BYTES, lower=True))
+                toxic = piece.column("toxic").to_numpy(zero_copy_only=False).astype(bool)[text]
+                held[0].append(words[~toxic])
+                held[1].append(words[toxic])
+                size += len(words)
+                if size > _HELD_GRAMS:
+                    yield flush()
+                    held, size = ([], []), 0
+        if size:
+            yield flush()
+
+    counted = rows.select("text", "toxic").mapInArrow(emit, "word bigint, n_toxic bigint, n_plain bigint")
+    return counted.groupBy("word").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_plain").alias("n_plain"))
+
+
+def _words_of_texts(found: Words, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of each text, as hashes, and their texts; of those that ``wanted`` bits do not rule out."""
+    words, text = found.hashes(), found.of_text()
+    if wanted is not None:
+        place = (words % np.uint64(_SIEVE_BITS)).astype(np.int64)
+        kept = np.flatnonzero(wanted[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+        words, text = words[kept], text[kept]
+    order = np.lexsort((words, text))
+    words, text = words[order], text[order]
+    first = np.ones(len(words), bool)
+    first[1:] = (words[1:] != words[:-1]) | (text[1:] != text[:-1])
+    return words[first], text[first]
+
+
+def word_evidence(counts: DataFrame) -> DataFrame:
+    """``word, ratio`` of the words that speak for toxic text.
+
+    Each class gives up a discount of its counts, estimated from how many words it has shown once and twice, to the
+    shared counts, so a word that few texts show has nearly the ratio that any word has.
+    """
+
+    def once_and_twice(c: str) -> list[Column]:
+        return [F.sum(c), *[F.count_if(F.col(c) == n) for n in (1, 2)], F.count_if(F.col(c) > 0)]
+
+    sums = counts.agg(*once_and_twice("n_toxic"), *once_and_twice("n_plain")).first()
+
+    def probability(c: str, total, once, twice, kinds) -> Column:
+        discount = once / (once + 2 * twice) if once else 0.5
+        shared = (F.col("n_toxic") + F.col("n_plain")) / float((sums[0] or 0) + (sums[4] or 0) or 1)
+        own = F.greatest(F.col(c) - discount, F.lit(0.0)) / float(total or 1)
+        return own + discount * kinds / float(total or 1) * shared
+
+    ratio = F.ln(probability("n_toxic", *sums[:4]) / probability("n_plain", *sums[4:]))
+    # Without texts of both classes, no word tells them apart.
+    known = F.lit(bool(sums[0] and sums[4]))
+    found = counts.where(known & (F.col("n_toxic") >= EVIDENCE_TEXTS)).select("word", ratio.alias("ratio"))
+    return found.where(F.col("ratio") > EVIDENCE_RATIO)
+
+
+def _sieve(evidence: DataFrame) -> np.ndarray:
+    """Bits of the evidence's words: ``_SIEVE_BITS`` of them, however many words there are."""
+    place = F.pmod("word", F.lit(_SIEVE_BITS))
+    part = F.floor(place / _SIEVE_PART).cast("int")
+    rows = evidence.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(place % _SIEVE_PART).alias("bits")).collect()
+    bits = np.zeros((_SIEVE_BITS // _SIEVE_PART, _SIEVE_PART // 8), np.uint8)
+    for r in rows:
+        bits[r["part"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return bits.ravel()
+
+
+def _with_words(features: DataFrame, evidence: DataFrame) -> DataFrame:
+    """The features of texts with those of their words: by a join of the words that may be evidence."""
+    salted = evidence.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    maybe = features.select("row", F.explode("words").alias("word"))
+    maybe = maybe.withColumn("salt", F.pmod(F.hash("row"), F.lit(_SALTS)))
+    found = maybe.join(salted, ["word", "salt"]).groupBy("row").agg(
+        F.max("ratio").alias("best"),
+        F.sum("ratio").alias("sum"),
+        F.count_if(F.col("ratio") > _STRONG).alias("strong"),
+        F.count_if(F.col("ratio") > _SURE).alias("sure"),
+    )
+    best, total, strong, sure = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("best", "sum", "strong", "sure"))
+    length = F.sqrt(F.greatest("n_words", F.lit(1)))
+    return features.join(found, "row", "left").select(
+        "doc_id",
+        *_CHARACTERS,
+        best.alias("word_best"),
+        (total / length).alias("word_sum"),
+        (strong / length).alias("word_strong"),
+        sure.alias("word_sure"),
+        F.log1p("n_words").alias("word_number"),
+    )
+
+
 class RatioTable:
     """Log ratios by exact key. ``mix`` maps keys one to one, so equal mixed keys are equal keys."""
 
@@ -249,8 +369,10 @@ def gram_ratios(grams: np.ndarray, tables: list[Broadcast]) -> np.ndarray:
     return ratios[places]
 
 
-def score_features(docs: DataFrame, tables: list[Broadcast]) -> DataFrame:
-    """``doc_id`` and the length-normalised log ratios of each whole text; zeros for a text without words."""
+def score_features(docs: DataFrame, tables: list[Broadcast], sieve: Broadcast) -> DataFrame:
+    """``row, doc_id``, the length-normalised log ratios of each whole text (zeros without words), ``n_words``, and
+    the ``words`` that may be evidence."""
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, size=PIECE_BYTES if len(tables) == 1 else _TABLES_BYTES):
@@ -267,13 +389,16 @@ def score_features(docs: DataFrame, tables: list[Broadcast]) -> DataFrame:
                 full = np.flatnonzero(words)
                 if len(full):
                     top[full] = np.maximum.reduceat(of_word, line.found.first[full])
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(mean), pa.array(top), pa.array(toxic)], ["doc_id", *_FEATURES]
-                )
+                maybe, owner = _words_of_texts(line.found, sieve.value)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(maybe.view(np.int64)))
+                columns = [piece.column("row"), piece.column("doc_id"), *map(pa.array, (mean, top, toxic, words)), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", *_CHARACTERS, "n_words", "words"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, " + ", ".join(f"{x} double" for x in _FEATURES)
-    return docs.select("doc_id", "text").mapInArrow(emit, schema)
+    schema = f"row bigint, doc_id {kind}, {', '.join(f'{x} double' for x in _CHARACTERS)}, n_words bigint, words array<bigint>"
+    rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    return rows.mapInArrow(emit, schema)
 
 
 def score_toxicity(
@@ -288,7 +413,7 @@ def score_toxicity(
     Rows with a remainder (crc32 of the id, modulo 4) of 0 or 1 and a label are counted, those of 3
     calibrate (a sample of ``sample_rows`` of them), those of 2 are never learned from. Ids with several
     labels count as the highest. Null ids have no label. A null or empty text scores like a text without
-    any evidence. Every gram keeps its own log ratio; ``table_grams`` only says how many one table holds, and
+    any evidence; equal rows score alike, and columns other than ``doc_id`` and ``text`` are not read. Every gram keeps its own log ratio; ``table_grams`` only says how many one table holds, and
     scores are the same for any number of tables. Without labels of both classes the score is the share of toxic ones, or a half.
     """
     marks = (
@@ -299,7 +424,10 @@ def score_toxicity(
     # Labels grow with the texts, so they are never broadcast, whatever their size.
     counted = texts.where(remainder < 2).join(marks.hint("merge"), "doc_id")
     grams = gram_counts(counted).checkpoint()
-    features = score_features(texts, ratio_tables(grams, table_grams)).checkpoint()
+    evidence = word_evidence(word_counts(counted).checkpoint()).checkpoint()
+    sieve = docs.sparkSession.sparkContext.broadcast(_sieve(evidence))
+    # Written, so that a row keeps its number whatever is computed again.
+    features = _with_words(score_features(texts, ratio_tables(grams, table_grams), sieve).checkpoint(), evidence)
     calibrate = features.where(remainder == 3).join(marks.hint("merge"), "doc_id")
     model = sample_and_fit(calibrate, _FEATURES, "toxic", sample_rows)
     score = model.column([F.col(x) for x in _FEATURES])

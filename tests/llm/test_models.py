@@ -20,8 +20,7 @@ def test_toxicity_held_out(spark):
     marks = spark.read.parquet(f"{LARGER}/labels.parquet").select("doc_id", "toxic")
     rows = found.join(marks, "doc_id").where("held_out").select("predicted", "toxic").toPandas()
     hits = ((rows.predicted == 1) & (rows.toxic == 1)).sum()
-    # In this table, 56 of the 120 held-out toxic rows differ from others by no word; 64 can be told.
-    assert hits >= 64 and hits >= 0.75 * rows.predicted.sum()
+    assert hits >= 0.9 * rows.toxic.sum() and hits >= 0.9 * rows.predicted.sum()
 
 
 def test_quality_held_out(spark):
