@@ -49,7 +49,7 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFra
                     ["window", "length", "item_id"],
                 )
 
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     return rows.mapInArrow(emit, "window binary, length int, item_id string").distinct()
 
 
@@ -59,7 +59,10 @@ class WindowSet:
     def __init__(self, rows: list):
         self.items: dict[bytes, list[str]] = defaultdict(list)
         for row in rows:
-            self.items[bytes(row["window"])].append(row["item_id"])
+            # A window of an item without an id is known, and names none.
+            named = self.items[bytes(row["window"])]
+            if row["item_id"] is not None:
+                named.append(row["item_id"])
         self.filters: dict[int, np.ndarray] = {}
         self.hashes: dict[int, np.ndarray] = {}
         by_length = defaultdict(list)
@@ -167,7 +170,7 @@ def scan_contamination(
 
     ``hits`` are ranges of words (from 0, both ends included) inside any occurrence of a window; ``items``
     the benchmark items these windows come from, sorted as strings. Null and empty texts have no words.
-    Items without words or id have no windows. A benchmark of more than ``set_windows`` windows is dealt
+    Items without words have no windows; those without an id have theirs, and are not in ``items``. A benchmark of more than ``set_windows`` windows is dealt
     by hash into several sets of at most about that size; each scans all of ``docs``, and what they find
     is joined by row. Equal rows give equal rows; other columns are not read.
     """

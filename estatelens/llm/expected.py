@@ -78,7 +78,7 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP6_CONTAMINATION = f"""
-WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL),
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS words FROM benchmark),
 windows AS (
     SELECT DISTINCT item_id, least(10, len(words)) AS length, list_slice(words, pos, pos + least(10, len(words)) - 1) AS window_words
     FROM (SELECT *, unnest(generate_series(1, len(words) - least(10, len(words)) + 1)) AS pos FROM items WHERE len(words) > 0)
@@ -98,7 +98,7 @@ hit_words AS (SELECT r, count(*) AS n FROM (
     SELECT DISTINCT r, unnest(generate_series(pos, pos + length - 1)) AS word FROM hits) GROUP BY r),
 hit_items AS (
     SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
-    FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r
+    FROM (SELECT DISTINCT r, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY r
 )
 SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(w.n, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(i.n, 0) AS BIGINT) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,

@@ -3,7 +3,8 @@
 The blended-spectrum presence kernel counts the byte n-grams (n from 1 to 4) that two texts share. A sample of
 texts per language are landmarks; Nystroem features against them are regressed one language
 against the rest. The kernel is linear in the presence of n-grams, so the landmarks' weights add up to
-one weight per n-gram and language, and texts are scored by sums of these. N-grams are told apart exactly.
+one weight per n-gram and language, and a batch is scored by the product of its presence matrix with these.
+N-grams are told apart exactly.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from estatelens.llm.words import held_out, text_bytes
+from estatelens.llm.words import held_out, mix, text_bytes
 
 GRAM_BYTES = (1, 2, 3, 4)
 
@@ -25,6 +26,9 @@ SAMPLE_TEXTS = 2_400
 LANDMARKS = 600
 RIDGE = 1e-4
 
+#: N-grams of one landmark; texts of some 100 KB have no more.
+LANDMARK_GRAMS = 1 << 16
+
 #: Rows of the table of languages that are broadcast; there are some seven thousand languages.
 BROADCAST_LANGUAGES = 10_000
 
@@ -121,14 +125,29 @@ def known_places(vocabulary: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return places[vocabulary[places] == ids]
 
 
-def regressions(vocabulary: np.ndarray, weights: np.ndarray, text: bytes) -> np.ndarray:
-    """The regression of each language for a whole text."""
-    ids = gram_ids(text)
-    places = known_places(vocabulary, ids)
-    found = np.zeros(weights.shape[1])
-    for at in range(0, len(places), _BLOCK):
-        found += weights[places[at : at + _BLOCK]].sum(0, dtype=np.float64)
-    return found / _norm(len(ids))
+def regressions(vocabulary: np.ndarray, weights: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """The regression of each language for whole texts: the presence matrix of the batch times the weights.
+
+    The matrix has a column for each n-gram of the vocabulary that is in the batch, and is made in blocks of these.
+    """
+    ids = [gram_ids(t) for t in texts]
+    places = [known_places(vocabulary, x) for x in ids]
+    owners = np.repeat(np.arange(len(texts)), [len(x) for x in places])
+    joined = np.concatenate([np.zeros(0, np.int64), *places])
+    present = np.zeros(len(vocabulary), bool)
+    present[joined] = True
+    columns = np.flatnonzero(present)
+    column_of = np.cumsum(present) - 1
+    at = column_of[joined] if len(joined) else joined
+    order = np.argsort(at // _BLOCK, kind="stable")
+    ends = np.searchsorted(at[order] // _BLOCK, np.arange(-(-len(columns) // _BLOCK) + 1))
+    found = np.zeros((len(texts), weights.shape[1]), np.float32)
+    for block, (low, high) in enumerate(zip(ends, ends[1:])):
+        own = columns[block * _BLOCK : (block + 1) * _BLOCK]
+        matrix = np.zeros((len(texts), len(own)), np.float32)
+        matrix[owners[order[low:high]], at[order[low:high]] - block * _BLOCK] = 1
+        found += matrix @ weights[own]
+    return found / np.array([_norm(len(x)) for x in ids])[:, None]
 
 
 def chosen_landmarks(langs: list[str], landmarks: int) -> list[int]:
@@ -156,29 +175,45 @@ def fit_languages(across: np.ndarray, langs: list[str], chosen: list[int], ridge
 
 
 def _sample(docs: DataFrame, sample_texts: int) -> DataFrame:
-    """``draw, lang, key, text`` of about ``sample_texts`` labelled rows, an equal number of each language."""
+    """``draw, lang, key, text`` of at most ``sample_texts`` labelled rows, as many of each language, at least one.
+
+    A language's rows are those with the smallest hashes of id and text, whether they have ids or not. Rows with
+    hashes far beyond the wanted number are passed over where they lie, so the ranking sees a bounded number.
+    """
     known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = known.select("lang", "text", F.xxhash64("doc_id", "lang").alias("draw"))
+    known = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))
     total = counts.agg(F.count("*")).first()[0]
     each = max(1, sample_texts // max(1, total))
-    # A row is drawn if its hash falls into its language's share of all hashes.
     # One row per language; a column with more values than there are languages is joined by shuffle.
     counts = F.broadcast(counts) if total <= BROADCAST_LANGUAGES else counts
-    drawn = known.join(counts, "lang").where(F.col("draw") / F.lit(2.0**64) + 0.5 < F.lit(each) / F.col("n"))
-    drawn = drawn.select("draw", "lang", F.xxhash64("text").alias("key"), "text")
-    return drawn.orderBy("draw", "lang", "key").limit(2 * sample_texts + total)
+    near = F.col("draw") / F.lit(2.0**64) + 0.5 < F.lit(2.0 * each + 20) / F.col("n")
+    # Where copies take the places below, a language keeps the row with the smallest hash.
+    least = known.groupBy("lang").agg(F.min("draw").alias("least"))
+    least = F.broadcast(least) if total <= BROADCAST_LANGUAGES else least
+    drawn = known.join(counts, "lang").join(least, "lang").where(near | (F.col("draw") == F.col("least")))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", F.xxhash64("text")))
+    drawn = drawn.select("draw", "lang", F.xxhash64("text").alias("key"), "text", place.alias("place"))
+    return drawn.where(F.col("place") <= each).drop("place")
+
+
+def sketched(ids: np.ndarray, most: int) -> np.ndarray:
+    """At most ``most`` of the n-grams, those with the smallest hashes, sorted."""
+    if len(ids) <= most:
+        return ids
+    return np.sort(ids[np.argpartition(mix(ids), most)[:most]])
 
 
-def _fit(docs: DataFrame, sample_texts: int, landmarks: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _fit(docs: DataFrame, sample_texts: int, landmarks: int, landmark_grams: int) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, the landmarks' n-grams, and the weight of each n-gram and language.
 
-    Only the landmarks' n-grams reach the driver; the kernel of the sample is made in tasks.
+    Only the landmarks' n-grams reach the driver, at most ``landmark_grams`` of each; the kernel of the sample is made
+    in tasks.
     """
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [gram_ids(t).tobytes() for t in text_bytes(batch.column("text"))]
+            rows = [sketched(gram_ids(t), landmark_grams).tobytes() for t in text_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(rows, pa.large_binary()).cast(pa.binary())], ["row", "ids"])
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,15 +243,21 @@ def _fit(docs: DataFrame, sample_texts: int, landmarks: int) -> tuple[list[str],
 
 
 def identify_language(
-    docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, landmarks: int = LANDMARKS
+    docs: DataFrame,
+    sample_texts: int = SAMPLE_TEXTS,
+    landmarks: int = LANDMARKS,
+    landmark_grams: int = LANDMARK_GRAMS,
 ) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for each row of ``docs`` (``doc_id, text, lang``).
 
-    Fits on about ``sample_texts`` rows with a language that are not held out, as many of each language.
+    Fits on at most ``sample_texts`` rows with a language that are not held out, as many of each language and at least
+    one; a landmark of more than ``landmark_grams`` n-grams is known by those with the smallest hashes. A null id is
+    not held out; equal rows get equal answers, languages with equal regressions go by name, and other columns
+    are not read, whatever their names.
     ``score`` is the share of the best language in a softmax of the regressions. A text that is null or
     has no letter is ``und`` with score 0, and so is every text where nothing could be learned.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_fit(docs, sample_texts, landmarks))
+    shared = docs.sparkSession.sparkContext.broadcast(_fit(docs, sample_texts, landmarks, landmark_grams))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, vocabulary, weights = shared.value
@@ -227,7 +268,7 @@ def identify_language(
                 known = [bool(names) and has_letter(t.decode()) for t in texts]
                 pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
                 if any(known):
-                    found = np.stack([regressions(vocabulary, weights, t) for t in texts])
+                    found = regressions(vocabulary, weights, texts)
                     odds = np.exp(4 * (found - found.max(1, keepdims=True)))
                     best = found.argmax(1)
                     pred = [names[b] if k else UNKNOWN for b, k in zip(best.tolist(), known)]

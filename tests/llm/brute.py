@@ -179,10 +179,9 @@ def contamination(docs, benchmark, size=10):
     windows = defaultdict(set)
     for item, text in benchmark:
         words = alnum_words(text)
-        if item is not None and words:
-            n = min(size, len(words))
-            for i in range(len(words) - n + 1):
-                windows[tuple(words[i : i + n])].add(str(item))
+        n = min(size, len(words))
+        for i in range(len(words) - n + 1 if words else 0):
+            windows[tuple(words[i : i + n])] |= set() if item is None else {str(item)}
     lengths = {len(w) for w in windows}
     out = []
     for doc_id, text in docs:
@@ -190,7 +189,7 @@ def contamination(docs, benchmark, size=10):
         for n in lengths:
             for i in range(len(words) - n + 1):
                 found = windows.get(tuple(words[i : i + n]))
-                if found:
+                if found is not None:
                     items |= found
                     hit.update(range(i, i + n))
         digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

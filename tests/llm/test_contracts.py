@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from estatelens.llm import contamination, distribution_rules, fingerprints, licenses, mixing, personal, queries, secret_scan, spans
+from estatelens.llm import components, contamination, distribution_rules, fingerprints, licenses, mixing, personal, queries, secret_scan, spans
 from tests.llm import brute
 from tests.llm.conftest import EDGE_TEXTS, SF, bag, pairs
 
@@ -92,6 +92,15 @@ def test_contaminated_spans_go(spark):
     assert bag(contamination.decontaminate(docs, bench).collect()) == bag([(2, None, 8), (3, "clean", 9)])
 
 
+def test_passages_without_an_item_id(spark):
+    """They are hit and removed like others, and name no item."""
+    docs = spark.createDataFrame([(1, "and x y too"), (2, "clean")], "doc_id int, text string")
+    bench = spark.createDataFrame([(None, "x y"), ("a", "x y too")], "item_id string, text string")
+    rows = contamination.scan_contamination(docs, bench).orderBy("doc_id").select("n_hit", "items").collect()
+    assert [tuple(r) for r in rows] == [(3, ["a"]), (0, [])]
+    assert [r["doc_id"] for r in contamination.decontaminate(docs, bench.where("item_id is null")).collect()] == [2]
+
+
 def test_contaminated_documents_go_by_one_set_or_several(spark, edge):
     bench = spark.createDataFrame([("a", "one two three"), ("b", "cc by"), ("c", "cat sat on")], "item_id string, text string")
     hit = {(x[0], t) for (_, t), x in zip(EDGE_TEXTS, brute.contamination(EDGE_TEXTS, [tuple(r) for r in bench.collect()])) if x[2]}
@@ -246,3 +255,10 @@ def test_long_span_lists(spark):
     got = runs.select("runs", spans.replaced(F.col("text"), F.col("runs")).alias("text")).first()
     assert [list(r) for r in got["runs"]] == wanted
     assert got["text"] == out + text[at:]
+
+
+def test_unfinished_components_are_an_error(spark):
+    chain = spark.range(200).selectExpr("id AS src", "id + 1 AS dst")
+    assert {r["label"] for r in components.component_labels(chain).collect()} == {0}
+    with pytest.raises(RuntimeError, match="not complete"):
+        components.component_labels(chain, rounds=2)
