@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.llm.words import ALNUM_BYTES, Words, gram_hashes, pieces, text_bytes
+from estatelens.llm.words import ALNUM_BYTES, Words, gram_hashes, packed, pieces, text_bytes, unpacked
 
 WINDOW_WORDS = 10
 
@@ -143,7 +143,8 @@ def _without_hits(docs: DataFrame, windows: WindowSet) -> DataFrame:
                 clean[np.searchsorted(found.first, hits, "right") - 1] = False
                 yield piece.filter(pa.array(clean))
 
-    return docs.mapInArrow(emit, docs.schema)
+    rows = packed(docs)
+    return rows.mapInArrow(emit, rows.schema).select(*unpacked(docs, F.col("text")))
 
 
 def merged_ranges(ranges: Column) -> Column:
@@ -215,10 +216,11 @@ def decontaminate(
     columns = [F.col(f"`{c}`") for c in docs.columns]
     found = scan_contamination(docs, benchmark, size, set_windows).where("n_hit > 0").select(*_KEY, "hits").distinct()
     found = found.select(F.col("doc_id").alias("id_r"), F.col("text_key").alias("key_r"), F.col("hits").alias("hits_r"))
-    same = docs["doc_id"].eqNullSafe(found["id_r"]) & (F.xxhash64(docs["text"]) == found["key_r"])
+    rows = packed(docs) if spans else docs
+    same = rows["doc_id"].eqNullSafe(found["id_r"]) & (F.xxhash64(rows["text"]) == found["key_r"])
     if not spans:
-        return docs.join(found, same, "left_anti").select(*columns)
-    joined = docs.join(found, same, "left")
+        return rows.join(found, same, "left_anti").select(*columns)
+    joined = rows.join(found, same, "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,8 +238,8 @@ def decontaminate(
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type)).drop_columns(["hits_r"])
 
-    wanted = joined.select(*columns, "hits_r")
-    return wanted.mapInArrow(cut, docs.schema)
+    wanted = joined.select(*rows.columns, "hits_r")
+    return wanted.mapInArrow(cut, rows.schema).select(*unpacked(docs, F.col("text")))
 
 
 def _upper() -> np.ndarray:

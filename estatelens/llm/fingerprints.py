@@ -222,21 +222,30 @@ def keep_one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component one row, that with the smallest id.
 
     Null ids come last. If several rows have that id, the one whose text has the smallest hash stays; of rows
-    with equal ids and texts, the one whose other columns come first. Texts are shuffled once.
+    with equal ids and texts, the one whose other columns come first, maps by their JSON. Texts are shuffled once.
+    The columns are those of ``docs``, whatever their names.
     """
     text_key = F.xxhash64("text").alias("text_key")
     marked = fingerprints(docs.select("doc_id", "text", text_key), k, ("doc_id", "text_key")).checkpoint()
     # A component's smallest member is a row's id and text, so rows need not be joined to their components.
     _, least = _components(marked, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
-    keys = ["dedup_id__", "dedup_no_id__", "dedup_text__"]
-
-    def keyed(rows: DataFrame, text_key: Column) -> DataFrame:
-        # Keys without nulls, so that the join and the ranking below need the same partitioning.
-        key = (F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(), text_key)
-        return rows.withColumns(dict(zip(keys, key)))
-
-    kept = keyed(least.select("least.*"), F.col("text_key")).select(*keys)
-    rows = keyed(docs, text_key).join(kept, keys, "left_semi")
-    others = [F.col(f"`{c}`").asc_nulls_last() for c in docs.columns if c not in ("doc_id", "text")]
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*(others or [F.lit(0)])))
-    return rows.withColumn("dedup_row__", first).where("dedup_row__ = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keys = ["no_id", "id", "text_key"]
+
+    def keyed(rows: DataFrame, *more: Column) -> DataFrame:
+        # Keys without nulls, so that the ranking and the join below need the same partitioning.
+        key = (F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_key"))
+        return rows.select(*[c.alias(k) for k, c in zip(keys, key)], *more)
+
+    kept = keyed(least.select("least.*"))
+    others = [f for f in docs.schema if f.name not in ("doc_id", "text")]
+    # Maps and the like have no order of their own; their text has.
+    order = [F.col("rest").getField(f.name) for f in others]
+    order = [F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c for c, f in zip(order, others)]
+    order = [c.asc_nulls_last() for c in order]
+    rest = F.struct(*[F.col(f"`{f.name}`") for f in others], F.lit(0).alias("one")).alias("rest")
+    rows = keyed(docs.select("doc_id", "text", text_key, rest), F.col("doc_id"), F.col("text"), F.col("rest"))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*(order or [F.lit(0)])))
+    # Equal rows go before the shuffle, all but one of a task; then rows meet their component where they are.
+    rows = rows.withColumn("place", first).where("place = 1").join(kept, keys, "left_semi")
+    own = {"doc_id", "text"}
+    return rows.select(*[F.col(c) if c in own else F.col("rest").getField(c).alias(c) for c in docs.columns])

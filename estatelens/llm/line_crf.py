@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from estatelens.llm.logistic import Logistic, fit_logistic
 from estatelens.llm.sampling import hash_sample
-from estatelens.llm.words import SPACED_BYTES, Words, held_out, pieces, text_bytes
+from estatelens.llm.words import SPACED_BYTES, Words, held_out, packed, pieces, text_bytes, unpacked
 
 THRESHOLD = 0.7
 
@@ -280,7 +280,7 @@ def score_quality(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are not called bad, with their columns; rows are judged where they are."""
+    """The rows of ``docs`` that are not called bad, with their columns, whatever their names; rows are judged where they are."""
     shared = docs.sparkSession.sparkContext.broadcast(_fitted(docs, labels, sample))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,4 +290,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS
                 score, _, _ = _scores(chain, model, text_bytes(piece.column("text")))
                 yield piece.filter(pa.array(score >= threshold))
 
-    return docs.mapInArrow(emit, docs.schema)
+    rows = packed(docs)
+    return rows.mapInArrow(emit, rows.schema).select(*unpacked(docs, F.col("text")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from estatelens.llm.boosting import Boosted, fit_boosted
 from estatelens.llm.sampling import hash_sample
 from estatelens.llm.spans import SPAN, joined, listed, matches, of_kind, placed, replaced, without_overlap
+from estatelens.llm.words import packed, unpacked
 
 #: The kinds of the contract, in the order they are listed in. They match as there; what
 #: cannot give back characters is possessive, and no match starts inside a run that has failed.
@@ -224,14 +225,17 @@ def find_personal(docs: DataFrame, sample: int = SAMPLE_CANDIDATES, precision: f
 
 
 def redact_personal(docs: DataFrame, sample: int = SAMPLE_CANDIDATES, precision: float = PRECISION) -> DataFrame:
-    """``docs`` with each span replaced by its kind in square brackets; rows without spans stay as they are."""
-    rows = with_candidates(docs)
+    """``docs`` with each span replaced by its kind in square brackets; rows without spans stay as they are.
+
+    The columns are those of ``docs``, whatever their names and types.
+    """
+    rows = with_candidates(packed(docs))
     model, threshold = fit_selector(rows.select("doc_id", "pii_found__").checkpoint(), sample, precision)
     spans = listed(F.col("pii_base__"), _selected(model, threshold))
     rows = rows.withColumn("pii_spans__", spans)
     rows = rows.withColumn("pii_runs__", without_overlap(F.col("pii_spans__")))
     text = replaced(F.col("text"), F.col("pii_runs__"))
-    return rows.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return rows.select(*unpacked(docs, text))
 
 
 def digest(spans: Column) -> Column:

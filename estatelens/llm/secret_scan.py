@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.llm.spans import joined, listed, matches, of_kind, placed, replaced, without_overlap
-from estatelens.llm.words import ascii_lower
+from estatelens.llm.words import ascii_lower, packed, unpacked
 
 
 class Rule(NamedTuple):
@@ -190,10 +190,10 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with each secret replaced by its kind in square brackets."""
-    rows = with_secrets(docs, rules).withColumn("secret_runs__", without_overlap(F.col("secret_spans__")))
+    """``docs`` with each secret replaced by its kind in square brackets; the columns are those of ``docs``."""
+    rows = with_secrets(packed(docs), rules).withColumn("secret_runs__", without_overlap(F.col("secret_spans__")))
     text = replaced(F.col("text"), F.col("secret_runs__"))
-    return rows.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return rows.select(*unpacked(docs, text))
 
 
 def digest(spans: Column) -> Column:

@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Regular expressions of the two kinds of words.
@@ -42,6 +42,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, text``: all columns but the text in one struct, so that no name of theirs meets an operator's own."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias("row"), "doc_id", "text")
+
+
+def unpacked(docs: DataFrame, text: Column) -> list[Column]:
+    """The columns of ``docs`` from rows that were packed, with another text."""
+    return [text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+
+
 def ascii_lower(text: Column) -> Column:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.translate(text, upper, upper.lower())

@@ -1,0 +1,63 @@
+"""Stages of the pipeline keep the caller's columns, whatever their names and types, and empty tables."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from estatelens.llm import contamination, fingerprints, line_crf, mixing, personal, secret_scan
+
+#: Names that the stages use themselves, or once did.
+NAMES = (
+    "row", "rest", "place", "no_id", "id", "text_key", "hits", "hits_r", "id_r", "key_r", "spans", "pii_email__", "pii_spans__",
+    "secret_id__", "secret_rules__", "score", "predicted", "carried", "size", "copies", "positions", "label", "fp",
+)
+
+TEXT = "mail a@b.cd, call +1 (386) 555-3733, token=abcdefghijklmnop, one two three and more words to keep"
+
+
+@pytest.fixture(scope="module")
+def crowded(spark):
+    rows = spark.createDataFrame([(1, TEXT, "a"), (2, None, "b"), (3, "", None), (None, TEXT + " x", "a"), (None, TEXT + " x", "a")], "doc_id bigint, text string, source string")
+    more = {n: F.lit(f"own {n}") for n in NAMES}
+    return rows.withColumns(more | {"a map": F.create_map(F.lit("k"), F.lit(1)), "a.dot": F.lit(2)})
+
+
+@pytest.fixture(scope="module")
+def bench(spark):
+    return spark.createDataFrame([("a", "one two three")], "item_id string, text string")
+
+
+def stages(bench, labels):
+    return {
+        "good": lambda d: line_crf.keep_good(d, labels),
+        "one of each": fingerprints.keep_one_of_each,
+        "clean": lambda d: contamination.decontaminate(d, bench),
+        "clean in sets": lambda d: contamination.decontaminate(d, bench, set_windows=0),
+        "cut": lambda d: contamination.decontaminate(d, bench, spans=True),
+        "personal": personal.redact_personal,
+        "secrets": secret_scan.redact_secrets,
+    }
+
+
+@pytest.mark.parametrize("name", ["good", "one of each", "clean", "cut", "personal", "secrets"])
+def test_columns(crowded, bench, labels, name):
+    stage = stages(bench, labels)[name]
+    found = stage(crowded)
+    assert found.dtypes == crowded.dtypes
+    rows = found.collect()
+    assert all(r[n] == f"own {n}" for r in rows for n in NAMES) and all(r["a map"] == {"k": 1} and r["a.dot"] == 2 for r in rows)
+    wanted = {"one of each": 3, "clean": 2}.get(name, 5)
+    assert len(rows) == wanted
+    text = next((r["text"] for r in rows if r["doc_id"] == 1), "")
+    changed = {"cut": "one two three", "personal": "a@b.cd", "secrets": "abcdefghijklmnop"}.get(name)
+    assert changed is None or (text and changed not in text)
+    assert stage(crowded.where("false")).collect() == []
+
+
+def test_mix(crowded):
+    found = mixing.mixed_documents(crowded)
+    assert found.columns == [*crowded.columns, "mix_copy", "mix_position"]
+    assert all(r[n] == f"own {n}" for r in found.collect() for n in NAMES)
+    with pytest.raises(ValueError, match="mix_copy"):
+        mixing.mixed_documents(crowded.withColumn("mix_copy", F.lit(1)))
