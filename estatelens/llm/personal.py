@@ -316,10 +316,11 @@ def _near_misses() -> list[Column]:
 
 
 def training_candidates(rows: DataFrame, sample: int = SAMPLE_SEEDS) -> DataFrame:
-    """``fitted, family, features, right`` of the candidates in snippets around at most ``sample`` seeds of each kind.
+    """``fitted, family, features, right, inside`` of the candidates in snippets around at most ``sample`` seeds of each kind.
 
     A snippet is what stands around a seed with another value between. The candidates are those of the same generators
-    that overlap this value; right is one that is just a rewritten value, not a part of it.
+    that overlap this value; right is one that is just a rewritten value, not a part of it. Inside are those that do not
+    reach beyond the value: of the others it is not known what the rest is.
     """
     each = rows.select(F.explode("pii_seeds__").alias("s")).select("s.*")
     draw = F.xxhash64("kind", "before", "value", "after")
@@ -352,23 +353,24 @@ def training_candidates(rows: DataFrame, sample: int = SAMPLE_SEEDS) -> DataFram
     found = found.select(*kept, F.explode(_described(F.col("snippet"), F.col("loose"), none)).alias("c"))
     found = found.where((F.col("c.start") < F.col("until")) & (F.col("begin") < F.col("c.end")))
     whole = (F.col("c.start") == F.col("begin")) & (F.col("c.end") == F.col("until"))
-    return found.select("fitted", "c.family", "c.features", (F.col("goal") & whole).alias("right"))
+    inside = (F.col("c.start") >= F.col("begin")) & (F.col("c.end") <= F.col("until"))
+    return found.select("fitted", "c.family", "c.features", (F.col("goal") & whole).alias("right"), inside.alias("inside"))
 
 
 def fit_selector(rows: DataFrame, sample: int = SAMPLE_SEEDS, precision: float = PRECISION) -> tuple[Boosted, list[float]]:
     """Trees, and a threshold for each family, from the seeds of ``rows``.
 
-    Half of the seeds, by hash, are fitted. A family's threshold is the lowest at which, on the other half, the share of
-    right ones is ``precision``, and ``LEAST_SCORE`` at least; if there is none, nothing of the family passes.
+    Half of the seeds, by hash, are fitted. A family's threshold is the lowest at which, of the other half's candidates
+    inside their value, the share of right ones is ``precision``, and ``LEAST_SCORE`` at least; if there is none, nothing of the family passes.
     """
     taken = training_candidates(rows, sample).collect()
-    taken = sorted((r["fitted"], r["family"], r["right"], *r["features"]) for r in taken)
-    table = np.array(taken, np.float64).reshape(len(taken), 3 + len(FEATURES))
-    fitted, family, right, x = table[:, 0] == 1, table[:, 1], table[:, 2], table[:, 3:]
+    taken = sorted((r["fitted"], r["family"], r["right"], r["inside"], *r["features"]) for r in taken)
+    table = np.array(taken, np.float64).reshape(len(taken), 4 + len(FEATURES))
+    fitted, family, right, inside, x = table[:, 0] == 1, table[:, 1], table[:, 2], table[:, 3] == 1, table[:, 4:]
     model = fit_boosted(x[fitted], right[fitted], ROUNDS, DEPTH)
     scores, thresholds = model.scores(x), []
     for i in range(len(FAMILIES)):
-        held = ~fitted & (family == i)
+        held = ~fitted & inside & (family == i)
         order = np.argsort(-scores[held], kind="stable")
         ranked, good = scores[held][order], right[held][order]
         share = np.cumsum(good) / np.arange(1, len(good) + 1)
