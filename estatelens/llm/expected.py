@@ -5,10 +5,10 @@ from __future__ import annotations
 from estatelens.llm.distribution_rules import (
     CLASS_DISTANCE,
     CLASS_WORDS,
-    COMMON,
     COMMON_DISTANCE,
     COMMON_WORDS,
-    OTHER,
+    LEAST_TEXTS,
+    LISTED_WORDS,
 )
 from estatelens.llm.secret_scan import FURTHER_RULES
 
@@ -112,21 +112,28 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-#: Language, place and word of each common word, as a list of values.
-_COMMON_ROWS = ", ".join(
-    f"({_quoted(language)}, {i}, {_quoted(word)})" for language, words in COMMON.items() for i, word in enumerate(words)
-)
-_LANGUAGES = ", ".join(map(_quoted, COMMON))
-
 #: Histograms as rows (text, kind, bin, count), references as their sums by language, distances as sums over bins.
 OP7_QUALITY_RULES = rf"""
-WITH docs AS (
-    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
-           CASE WHEN lang IN ({_LANGUAGES}) THEN lang ELSE {_quoted(OTHER)} END AS language,
+WITH numbered AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, 'is ' || lang AS language,
            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
     FROM documents
 ),
-common_words(language, bin, word) AS (VALUES {_COMMON_ROWS}),
+held AS (SELECT DISTINCT r, language, lower(unnest(words)) AS word FROM numbered WHERE language IS NOT NULL),
+frequent AS (
+    SELECT language, word, row_number() OVER (PARTITION BY language ORDER BY count(*) DESC, word) AS bin
+    FROM held WHERE NOT regexp_matches(word, '[\x00-\x60\x7B-\x7F]')
+    GROUP BY language, word HAVING count(*) >= {LEAST_TEXTS}
+),
+common_words AS (
+    SELECT * FROM frequent
+    WHERE bin <= {LISTED_WORDS} AND language IN (SELECT language FROM frequent WHERE bin = {LISTED_WORDS})
+),
+docs AS (
+    SELECT r, doc_id, text, words,
+           CASE WHEN language IN (SELECT language FROM common_words) THEN language ELSE 'others' END AS language
+    FROM numbered
+),
 doc_words AS (
     SELECT r, language, unnest(words) AS word, unnest(generate_series(1, len(words))) AS pos FROM docs WHERE len(words) > 0
 ),
