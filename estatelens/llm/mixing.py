@@ -3,7 +3,7 @@
 Each source has a target of words. How its share of the stream changes is a schedule, a piecewise linear
 weight over training from 0 to 1. The schedule's integral is the share of the target that is due by then;
 a document's position is the time at which the words before it in its source are due, and the mix is the
-range sort by position.
+range sort by position: what is taken of a document are its copies in the sorted mix, and where they stand.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from estatelens.llm.resampling import ranked
+
 #: Weights by place of the source, the share of all words to take, copies at most.
 WEIGHTS = (3, 1, 2)
 TOTAL_PERCENT = 150
@@ -124,7 +126,7 @@ def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(
+def _scheduled(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
     schedules: Sequence[tuple[float, float]] = SCHEDULES,
@@ -132,17 +134,7 @@ def mix_sources(
     copies: int = MOST_COPIES,
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken, positions`` of each row of ``docs``.
-
-    Within a source, rows are in the order of a hash of their id (ties by id, then by a hash of the text;
-    rows equal in all of these are told apart by nothing that shows). The mix goes through that order in rounds until the target's words
-    are taken: whole rounds, and a last one up to the document whose middle is the end. So the words taken
-    are within one document of the target, and no document is taken more than ``copies`` times.
-    ``positions``, between 0 and 1, say when each copy is due. ``carry`` names columns kept in ``carried``.
-
-    Null and empty texts have size 0 and are not taken. A null source is a source; a source without words
-    has target 0. Reruns agree.
-    """
+    """``carried`` (if any), ``doc_id, source, size, source_size, target`` and ``due``, the position of each copy to take."""
     rows = _sized(docs, carry)
     if not carry:
         # Without texts rows are narrow: they are kept, and the texts are read once.
@@ -171,16 +163,58 @@ def mix_sources(
         return due_time(share, F.col("schedule.first"), F.col("schedule.last"))
 
     every = F.transform(F.sequence(F.lit(0), F.lit(copies - 1)), due)
-    return rows.withColumn("copies", times).select(
+    return rows.select(
+        *(["carried"] if carry else []),
+        "doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        F.slice(every, F.lit(1), times.cast("int")).alias("due"),
+    )
+
+
+def mix_sources(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    schedules: Sequence[tuple[float, float]] = SCHEDULES,
+    percent: int = TOTAL_PERCENT,
+    copies: int = MOST_COPIES,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken, positions, places`` of each row of ``docs``.
+
+    Within a source, rows are in the order of a hash of their id (ties by id, then by a hash of the text;
+    rows equal in all of these are told apart by nothing that shows). The mix goes through that order in rounds until the target's words
+    are taken: whole rounds, and a last one up to the document whose middle is the end. So the words taken
+    are within one document of the target, and no document is taken more than ``copies`` times.
+    ``positions``, between 0 and 1, say when each copy is due. All copies are range-sorted by position, in the
+    order of ``mixed_documents`` (ties by source and size); ``places``, from 1, say where they stand in the whole mix,
+    and ``copies`` and ``taken`` count what is there. ``carry`` names columns kept in ``carried``.
+
+    Null and empty texts have size 0 and are not taken. A null source is a source; a source without words
+    has target 0. Reruns agree.
+    """
+    rows = _scheduled(docs, weights, schedules, percent, copies, carry)
+    # Written, so that a row keeps its number whatever is computed again.
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    stream = rows.select("row", "doc_id", "source", "size", F.posexplode("due").alias("copy", "position"))
+    order = [F.col("position"), F.xxhash64("doc_id"), *map(F.col, ("doc_id", "copy", "source", "size", "row"))]
+    mix = ranked(stream, order, "place").groupBy("row").agg(
+        F.sum("size").alias("taken"), F.sort_array(F.collect_list(F.struct("copy", "position", "place"))).alias("in_mix")
+    )
+    there = F.coalesce("in_mix", F.array().cast("array<struct<copy:int,position:double,place:bigint>>"))
+    return rows.join(mix, "row", "left").select(
         *(["carried"] if carry else []),
         "doc_id",
         "source",
         "size",
         "source_size",
         "target",
-        "copies",
-        (F.col("size") * F.col("copies")).alias("taken"),
-        F.slice(every, F.lit(1), F.col("copies").cast("int")).alias("positions"),
+        F.size(there).cast("bigint").alias("copies"),
+        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+        F.transform(there, lambda c: c["position"]).alias("positions"),
+        F.transform(there, lambda c: c["place"]).alias("places"),
     )
 
 
@@ -192,7 +226,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     columns = docs.columns
     if taken_names := {"mix_copy", "mix_position"} & set(columns):
         raise ValueError(f"columns of the mix are there already: {sorted(taken_names)}")
-    taken = mix_sources(docs, carry=columns, **options)
-    rows = taken.select("carried", F.posexplode("positions").alias("mix_copy", "mix_position"))
+    taken = _scheduled(docs, carry=columns, **options)
+    rows = taken.select("carried", F.posexplode("due").alias("mix_copy", "mix_position"))
     rows = rows.select(*[F.col("carried").getField(c).alias(c) for c in columns], "mix_copy", "mix_position")
     return rows.orderBy("mix_position", F.xxhash64("doc_id"), "doc_id", "mix_copy")
