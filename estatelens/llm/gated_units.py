@@ -82,50 +82,98 @@ def first_parameters(shape: Shape, counts: np.ndarray, seed: int = 11) -> np.nda
     return flat
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
-    return logits
+def _exponentials(logits: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The log probability of each row's picked column, and the rows' sums of exponentials, which replace ``logits``."""
+    peak = logits.max()
+    if peak - logits.min() > 60:
+        # One peak for all rows would leave nothing of the lowest ones.
+        peak = logits.max(1, keepdims=True)
+    logits -= peak
+    found = logits[np.arange(len(logits)), picked]
+    np.exp(logits, out=logits)
+    sums = logits @ np.ones(logits.shape[1], logits.dtype)
+    return found - np.log(sums), sums
+
+
+def _errors(logits: np.ndarray, picked: np.ndarray, real: np.ndarray | None) -> float:
+    """The loss of the picked columns; its slope, zero for rows that are not ``real``, replaces ``logits``."""
+    found, sums = _exponentials(logits, picked)
+    logits *= (1.0 / sums)[:, None]
+    logits[np.arange(len(logits)), picked] -= 1
+    if real is None:
+        return -float(found.sum())
+    logits *= real[:, None]
+    return -float((found * real).sum())
+
+
+def _in_order(values: np.ndarray, most: int) -> np.ndarray:
+    """A stable order of numbers below ``most``; short ones are sorted faster."""
+    return np.argsort(values.astype(np.uint16) if most <= 1 << 16 else values, kind="stable")
+
+
+def _by_class(shape: Shape, classes: np.ndarray) -> tuple[np.ndarray, list[tuple[slice, int, int]]]:
+    """The rows whose next token is a frequent word, class by class, and ``part of them, first word, end of words``."""
+    order = _in_order(classes, shape.classes)
+    ends = np.searchsorted(classes[order], np.arange(shape.word_classes + 1)).tolist()
+    parts = [
+        (slice(ends[c], ends[c + 1]), c * shape.class_words, min((c + 1) * shape.class_words, shape.words))
+        for c in range(shape.word_classes)
+        if ends[c + 1] > ends[c]
+    ]
+    return order[: ends[-1]], parts
 
 
-def _by_class(shape: Shape, symbols: np.ndarray):
-    """The rows whose next token is a frequent word, class by class: ``rows, first word, end of words``."""
-    classes = shape.class_of(symbols)
-    order = np.argsort(classes, kind="stable")
-    ends = np.searchsorted(classes[order], np.arange(shape.word_classes + 1))
-    for c in range(shape.word_classes):
-        if ends[c + 1] > ends[c]:
-            yield order[ends[c] : ends[c + 1]], c * shape.class_words, min((c + 1) * shape.class_words, shape.words)
-
-
-def _step(at: dict[str, np.ndarray], inward: np.ndarray, state: np.ndarray):
-    """One token: the gates, the proposed state and the next one."""
-    w = state.shape[1]
-    gate = state @ at["gates"]
-    gate += inward[:, : 2 * w]
-    gate *= 0.5
-    np.tanh(gate, out=gate)
-    gate += 1.0
-    gate *= 0.5
-    keep, reset = gate[:, :w], gate[:, w:]
-    proposed = (reset * state) @ at["recall"]
-    proposed += inward[:, 2 * w :]
-    np.tanh(proposed, out=proposed)
-    return keep, reset, proposed, proposed + keep * (state - proposed)
+@dataclass(frozen=True)
+class _Recurrence:
+    """The weights of a step, gate by gate: halves for keep and reset, so that a sigmoid is one tanh; ``table``
+    holds what each symbol adds to keep, reset and the proposed state."""
+
+    table: np.ndarray
+    gates: np.ndarray
+    recall: np.ndarray
+
+    @classmethod
+    def of(cls, at: dict[str, np.ndarray]) -> _Recurrence:
+        w = at["recall"].shape[0]
+        table = (at["embed"] @ at["inward"] + at["inward_bias"]).reshape(-1, 3, w).transpose(1, 0, 2).copy()
+        table[:2] *= 0.5
+        return cls(table, at["gates"].reshape(w, 2, w).transpose(1, 0, 2) * np.float32(0.5), at["recall"])
+
+    def step(self, inward: np.ndarray, state: np.ndarray):
+        """One token: the gates, the proposed state and the next one."""
+        gate = np.matmul(state, self.gates)
+        gate += inward[:2]
+        np.tanh(gate, out=gate)
+        gate += 1.0
+        gate *= 0.5
+        keep, reset = gate
+        proposed = (reset * state) @ self.recall
+        proposed += inward[2]
+        np.tanh(proposed, out=proposed)
+        after = state - proposed
+        after *= keep
+        after += proposed
+        return keep, reset, proposed, after
 
 
 def next_log_probabilities(shape: Shape, at: dict[str, np.ndarray], states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     """Natural log of the probability of each next symbol: of its class, and of a frequent word in its class."""
-    rows = np.arange(len(symbols))
-    found = _log_softmax(states @ at["class_out"] + at["class_bias"])[rows, shape.class_of(symbols)].astype(np.float64)
-    for own, low, high in _by_class(shape, symbols):
-        logits = _log_softmax(states[own] @ at["word_out"][low:high].T + at["word_bias"][low:high])
-        found[own] += logits[np.arange(len(own)), symbols[own] - low]
+    classes = shape.class_of(symbols)
+    logits = states @ at["class_out"]
+    logits += at["class_bias"]
+    found = _exponentials(logits, classes)[0].astype(np.float64)
+    order, parts = _by_class(shape, classes)
+    seen, wanted, inside = states[order], symbols[order], np.empty(len(order))
+    for own, low, high in parts:
+        logits = seen[own] @ at["word_out"][low:high].T
+        logits += at["word_bias"][low:high]
+        inside[own] = _exponentials(logits, wanted[own] - low)[0]
+    found[order] += inside
     return found
 
 
 def log_likelihoods(
-    shape: Shape, flat: np.ndarray, symbols: np.ndarray, lengths: np.ndarray, window_rows: int = 16_384
+    shape: Shape, flat: np.ndarray, symbols: np.ndarray, lengths: np.ndarray, window_rows: int = 8_192
 ) -> np.ndarray:
     """Natural log likelihood of each whole document; ``symbols`` has them one after another.
 
@@ -133,7 +181,7 @@ def log_likelihoods(
     Outputs are taken for a window of ``window_rows`` states at a time, which bounds memory, not results.
     """
     at = shape.views(flat)
-    table = at["embed"] @ at["inward"] + at["inward_bias"]
+    units = _Recurrence.of(at)
     order = np.argsort(-lengths, kind="stable")
     sorted_lengths = lengths[order]
     starts = (np.cumsum(lengths) - lengths)[order]
@@ -154,7 +202,7 @@ def log_likelihoods(
     left = len(lengths) - np.searchsorted(sorted_lengths[::-1], np.arange(most), "right") if most else []
     for step in range(most):
         n = int(left[step])
-        *_, state = _step(at, table[read[:n]], state[:n])
+        *_, state = units.step(units.table.take(read[:n], 1), state[:n])
         seen.append(state)
         waiting += n
         read = symbols[starts[:n] + step]
@@ -167,66 +215,114 @@ def log_likelihoods(
 
 
 def gradients(
-    shape: Shape, flat: np.ndarray, read: np.ndarray, wanted: np.ndarray, state: np.ndarray
+    shape: Shape,
+    flat: np.ndarray,
+    read: np.ndarray,
+    wanted: np.ndarray,
+    state: np.ndarray,
+    real: np.ndarray | None = None,
+    room: dict[str, np.ndarray] | None = None,
+    block_rows: int = 4_096,
 ) -> tuple[float, np.ndarray, np.ndarray]:
-    """The mean loss of a window of ``steps x lanes`` tokens, its gradient, and the state after it."""
+    """The mean loss of a window of ``steps x lanes`` tokens, its gradient, and the state after it.
+
+    Where ``real`` is zero, and not one, there is no token: the place adds nothing. ``room`` keeps arrays for the next
+    window. Outputs go by blocks of ``block_rows``, which bounds memory, not results.
+    """
     at, slope = shape.views(flat), np.zeros_like(flat)
-    to = shape.views(slope)
+    to, units = shape.views(slope), _Recurrence.of(at)
     steps, lanes = read.shape
     w, n = shape.width, steps * lanes
-    embedded = at["embed"][read.ravel()]
-    inward = (embedded @ at["inward"] + at["inward_bias"]).reshape(steps, lanes, 3 * w)
+    room = {} if room is None else room
+
+    def space(name: str, *dims: int) -> np.ndarray:
+        if name not in room or room[name].size < np.prod(dims):
+            room[name] = np.empty(dims, np.float32)
+        return room[name].ravel()[: int(np.prod(dims))].reshape(dims)
+
+    reading = np.ascontiguousarray(read).ravel()
+    inward = units.table.take(reading, 1, space("inward", 3, n, w), "clip").reshape(3, steps, lanes, w)
     going = (read != END).astype(np.float32)[:, :, None]
-    before, keeps, resets, proposals, states = (np.empty((steps, lanes, w), np.float32) for _ in range(5))
+    before, keeps, resets, proposals, states = (
+        space(x, steps, lanes, w) for x in ("before", "keeps", "resets", "proposals", "states")
+    )
     for t in range(steps):
-        before[t] = state * going[t]
-        keeps[t], resets[t], proposals[t], state = _step(at, inward[t], before[t])
+        np.multiply(state, going[t], out=before[t])
+        keeps[t], resets[t], proposals[t], state = units.step(inward[:, t], before[t])
         states[t] = state
 
-    rows, flat_states, symbols = np.arange(n), states.reshape(n, w), wanted.ravel()
-    logs = _log_softmax(flat_states @ at["class_out"] + at["class_bias"])
+    flat_states, symbols = states.reshape(n, w), wanted.ravel()
     classes = shape.class_of(symbols)
-    loss = -float(logs[rows, classes].sum())
-    error = np.exp(logs)
-    error[rows, classes] -= 1
-    error /= n
-    to["class_out"][:] = flat_states.T @ error
-    to["class_bias"][:] = error.sum(0)
-    back = error @ at["class_out"].T
-    for own, low, high in _by_class(shape, symbols):
-        logs = _log_softmax(flat_states[own] @ at["word_out"][low:high].T + at["word_bias"][low:high])
-        place = np.arange(len(own)), symbols[own] - low
-        loss -= float(logs[place].sum())
-        error = np.exp(logs)
-        error[place] -= 1
-        error /= n
-        to["word_out"][low:high] = error.T @ flat_states[own]
+    real = None if real is None else real.ravel().astype(np.float32)
+    loss, back = 0.0, space("back", n, w)
+    for low in range(0, n, block_rows):
+        own = slice(low, min(low + block_rows, n))
+        error = np.matmul(flat_states[own], at["class_out"], out=space("classes", own.stop - low, shape.classes))
+        error += at["class_bias"]
+        loss += _errors(error, classes[own], None if real is None else real[own])
+        to["class_out"] += (error.T @ flat_states[own]).T
+        to["class_bias"] += error.sum(0)
+        np.matmul(error, at["class_out"].T, out=back[own])
+    order, parts = _by_class(shape, classes)
+    seen = flat_states.take(order, 0, space("seen", len(order), w), "clip")
+    inside, picked = space("inside", len(order), w), symbols[order]
+    for own, low, high in parts:
+        error = seen[own] @ at["word_out"][low:high].T
+        error += at["word_bias"][low:high]
+        loss += _errors(error, picked[own] - low, None if real is None else real[order[own]])
+        to["word_out"][low:high] = error.T @ seen[own]
         to["word_bias"][low:high] = error.sum(0)
-        back[own] += error @ at["word_out"][low:high]
+        np.matmul(error, at["word_out"][low:high], out=inside[own])
+    back[order] += inside
 
     back = back.reshape(steps, lanes, w)
-    d_inward = np.empty((steps, lanes, 3 * w), np.float32)
+    # What was read of a step is not needed after its slopes: they take its place.
+    d_inward = inward
     later = np.zeros((lanes, w), np.float32)
+    recall, gates = np.ascontiguousarray(at["recall"].T), 2 * units.gates.transpose(0, 2, 1)
     for t in reversed(range(steps)):
-        d = back[t] + later
-        keep, reset, proposed, old = keeps[t], resets[t], proposals[t], before[t]
-        d_proposed = d * (1 - keep) * (1 - proposed * proposed)
-        d_reset = d_proposed @ at["recall"].T
-        d_gates = d_inward[t, :, : 2 * w]
-        d_gates[:, :w] = d * (old - proposed) * keep * (1 - keep)
-        d_gates[:, w:] = d_reset * old * reset * (1 - reset)
-        d_inward[t, :, 2 * w :] = d_proposed
-        later = (d * keep + d_reset * reset + d_gates @ at["gates"].T) * going[t]
-    d_flat, old = d_inward.reshape(n, 3 * w), before.reshape(n, w)
-    to["gates"][:] = old.T @ d_flat[:, : 2 * w]
-    to["recall"][:] = (resets.reshape(n, w) * old).T @ d_flat[:, 2 * w :]
-    to["inward"][:] = embedded.T @ d_flat
-    to["inward_bias"][:] = d_flat.sum(0)
-    d_embedded = d_flat @ at["inward"].T
-    order = np.argsort(read.ravel(), kind="stable")
-    found, firsts = np.unique(read.ravel()[order], return_index=True)
-    to["embed"][found] = np.add.reduceat(d_embedded[order], firsts)
-    return loss / n, slope, state
+        d, keep, reset, proposed, old = back[t], keeps[t], resets[t], proposals[t], before[t]
+        d += later
+        kept = d * keep
+        d -= kept
+        d_keep, d_reset, d_proposed = d_inward[:, t]
+        np.subtract(old, proposed, out=d_keep)
+        d_keep *= keep
+        d_keep *= d
+        np.multiply(proposed, proposed, out=d_proposed)
+        d_proposed *= d
+        np.subtract(d, d_proposed, out=d_proposed)
+        through = d_proposed @ recall
+        through *= reset
+        np.subtract(1, reset, out=d_reset)
+        d_reset *= through
+        d_reset *= old
+        later = d_keep @ gates[0]
+        later += d_reset @ gates[1]
+        later += kept
+        later += through
+        later *= going[t]
+    old, d_inward = before.reshape(n, w), d_inward.reshape(3, n, w)
+    for k in range(2):
+        to["gates"][:, k * w : (k + 1) * w] = (d_inward[k].T @ old).T
+    resets *= before
+    to["recall"][:] = (d_inward[2].T @ resets.reshape(n, w)).T
+    # The states are free by now, and what went back to them as well.
+    embedded, d_embedded = at["embed"].take(reading, 0, flat_states, "clip"), back.reshape(n, w)
+    for k in range(3):
+        own = slice(k * w, (k + 1) * w)
+        to["inward"][:, own] = (d_inward[k].T @ embedded).T
+        to["inward_bias"][own] = d_inward[k].sum(0)
+        if k == 0:
+            np.matmul(d_inward[k], at["inward"][:, own].T, out=d_embedded)
+        else:
+            d_embedded += np.matmul(d_inward[k], at["inward"][:, own].T, out=keeps.reshape(n, w))
+    order = _in_order(reading, shape.symbols)
+    found, firsts = np.unique(reading[order], return_index=True)
+    to["embed"][found] = np.add.reduceat(d_embedded.take(order, 0, keeps.reshape(n, w), "clip"), firsts)
+    total = n if real is None else max(float(real.sum()), 1.0)
+    slope /= total
+    return loss / total, slope, state
 
 
 def trained(
@@ -234,18 +330,22 @@ def trained(
 ) -> np.ndarray:
     """The parameters after one pass over a stream of documents, each ended by ``END``.
 
-    The stream is cut into lanes that go side by side; short streams into fewer, so that there are some
-    ``least_windows`` windows. Adam's averages begin anew in each call.
+    The stream is cut into lanes that go side by side, and all its tokens are learned from; short streams are cut
+    into fewer, so that there are some ``least_windows`` windows. Adam's averages begin anew in each call.
     """
-    read = np.concatenate([[END], stream[:-1]]).astype(np.int64)
     lanes = int(np.clip(len(stream) // (window * least_windows), 1, lanes))
-    steps = len(stream) // lanes
-    read, wanted = (x[: steps * lanes].reshape(lanes, steps).T for x in (read, stream.astype(np.int64)))
+    steps = -(-len(stream) // lanes)
+    spare = steps * lanes - len(stream)
+    stream = np.concatenate([[END], stream, np.full(spare, END)]).astype(np.int64)
+    read, wanted = (x.reshape(lanes, steps).T for x in (stream[:-1], stream[1:]))
+    real = (np.arange(steps * lanes) < steps * lanes - spare).reshape(lanes, steps).T
     flat = flat.astype(np.float32).copy()
     first, second = np.zeros_like(flat), np.zeros_like(flat)
-    state = np.zeros((lanes, shape.width), np.float32)
+    state, room = np.zeros((lanes, shape.width), np.float32), {}
     for i, at in enumerate(range(0, steps, window), 1):
-        _, slope, state = gradients(shape, flat, read[at : at + window], wanted[at : at + window], state)
+        here = slice(at, at + window)
+        there = None if real[here].all() else real[here]
+        _, slope, state = gradients(shape, flat, read[here], wanted[here], state, there, room)
         norm = float(np.sqrt((slope * slope).sum()))
         slope *= min(1.0, 1.0 / max(norm, 1e-9))
         first += 0.1 * (slope - first)

@@ -2,8 +2,8 @@
 
 All training documents give the counts of their tokens. The most frequent words are symbols of their own to
 the network, the others are read and predicted as one of some classes by how they end, and in their class by
-their counts. A share of the training documents, alike at every size, trains the network: in rounds, each
-task trains the last round's network on its part of the round's documents, and their weighted mean goes on.
+their counts. All tokens of all training documents train the network, once: in rounds, each task trains the last
+round's network on its part of the round's documents, and their weighted mean goes on.
 """
 
 from __future__ import annotations
@@ -29,15 +29,15 @@ CLASS_WORDS = 32
 RARE_CLASSES = 64
 WIDTH = 32
 
-#: Training: one of so many documents, in so many rounds; lanes and steps of a window; Adam's first rate.
-TRAIN_ONE_OF = 8
+#: Training: one of so many documents (1: all), in so many rounds; lanes and steps of a window; Adam's first rate.
+TRAIN_ONE_OF = 1
 ROUNDS = 8
-LANES = 64
+LANES = 512
 WINDOW = 32
 RATE = 0.04
 
 #: Tokens of one task of a round, and tasks of a round; more tokens than both allow make longer tasks.
-TASK_TOKENS = 65_536
+TASK_TOKENS = 262_144
 MOST_TASKS = 4_096
 
 #: Words whose counts every task gets; those of all others are met by a join.
@@ -193,8 +193,13 @@ def known_words(
     )
 
 
+def symbol_type(shape: Shape) -> str:
+    """Of the numbers in a stream."""
+    return "<u2" if shape.symbols <= 1 << 16 else "<i4"
+
+
 def _streams(docs: DataFrame, vocabulary, rounds: int) -> DataFrame:
-    """``turn, stream``: the symbols of the drawn documents, by the round they train in."""
+    """``turn, stream``: the symbols of the documents, by the round they train in."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary.value
@@ -203,7 +208,7 @@ def _streams(docs: DataFrame, vocabulary, rounds: int) -> DataFrame:
                 words = Words(text_bytes(piece.column("text")), SPACED_BYTES, lower=True)
                 stream, lengths = known.stream(words, known.read(words)[2])
                 turn = np.repeat(piece.column("turn").to_numpy(), lengths)
-                parts = [(r, stream[turn == r].astype("<i4").tobytes()) for r in range(rounds)]
+                parts = [(r, stream[turn == r].astype(symbol_type(known.shape)).tobytes()) for r in range(rounds)]
                 parts = [x for x in parts if x[1]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[0] for x in parts], pa.int32()), pa.array([x[1] for x in parts], pa.binary())],
@@ -221,7 +226,7 @@ def _trained_round(streams: DataFrame, turn: int, tasks: int, shape: Shape, flat
         own, seen, block, held = start.value, 0, [], 0
         for batch in batches:
             for stream in batch.column("stream").to_pylist():
-                block.append(np.frombuffer(stream, "<i4"))
+                block.append(np.frombuffer(stream, symbol_type(shape)))
                 held += len(block[-1])
                 if held >= _BLOCK_TOKENS:
                     own, seen = trained(shape, own, np.concatenate(block), LANES, WINDOW, rate), seen + held
@@ -254,9 +259,10 @@ def _trained_round(streams: DataFrame, turn: int, tasks: int, shape: Shape, flat
 def trained_network(
     docs: DataFrame, vocabulary: Vocabulary, shared, one_of: int = TRAIN_ONE_OF, rounds: int = ROUNDS, rate: float = RATE
 ) -> np.ndarray:
-    """The network's parameters after all rounds over one of ``one_of`` documents of ``docs``.
+    """The network's parameters after all rounds over ``docs``: each document is in one round.
 
-    Which, and in which round, a hash of id and text says. ``shared`` is the vocabulary as broadcast.
+    In which, a hash of id and text says. ``shared`` is the vocabulary as broadcast. A caller who wants to train on
+    one of ``one_of`` documents only can say so; the query does not.
     """
     turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_of * rounds)).cast("int")
     drawn = docs.select("text", turn.alias("turn")).where(F.col("turn") < rounds)
