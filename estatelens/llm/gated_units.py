@@ -14,6 +14,9 @@ import numpy as np
 #: The symbol that ends a document and stands before its first token; the state is zero when it is read.
 END = 0
 
+#: Rows whose classes are worked out at once: what they need stays in a core's cache.
+_BLOCK_ROWS = 2_048
+
 
 @dataclass(frozen=True)
 class Shape:
@@ -139,18 +142,18 @@ class _Recurrence:
         table[:2] *= 0.5
         return cls(table, at["gates"].reshape(w, 2, w).transpose(1, 0, 2) * np.float32(0.5), at["recall"])
 
-    def step(self, inward: np.ndarray, state: np.ndarray):
-        """One token: the gates, the proposed state and the next one."""
-        gate = np.matmul(state, self.gates)
+    def step(self, inward: np.ndarray, state: np.ndarray, gate=None, proposed=None, after=None):
+        """One token: the gates, the proposed state and the next one, in the arrays given for them."""
+        gate = np.matmul(state, self.gates, out=gate)
         gate += inward[:2]
         np.tanh(gate, out=gate)
         gate += 1.0
         gate *= 0.5
         keep, reset = gate
-        proposed = (reset * state) @ self.recall
+        proposed = np.matmul(reset * state, self.recall, out=proposed)
         proposed += inward[2]
         np.tanh(proposed, out=proposed)
-        after = state - proposed
+        after = np.subtract(state, proposed, out=after)
         after *= keep
         after += proposed
         return keep, reset, proposed, after
@@ -159,9 +162,12 @@ class _Recurrence:
 def next_log_probabilities(shape: Shape, at: dict[str, np.ndarray], states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     """Natural log of the probability of each next symbol: of its class, and of a frequent word in its class."""
     classes = shape.class_of(symbols)
-    logits = states @ at["class_out"]
-    logits += at["class_bias"]
-    found = _exponentials(logits, classes)[0].astype(np.float64)
+    found = np.empty(len(symbols))
+    for low in range(0, len(symbols), _BLOCK_ROWS):
+        own = slice(low, low + _BLOCK_ROWS)
+        logits = states[own] @ at["class_out"]
+        logits += at["class_bias"]
+        found[own] = _exponentials(logits, classes[own])[0]
     order, parts = _by_class(shape, classes)
     seen, wanted, inside = states[order], symbols[order], np.empty(len(order))
     for own, low, high in parts:
@@ -173,7 +179,7 @@ def next_log_probabilities(shape: Shape, at: dict[str, np.ndarray], states: np.n
 
 
 def log_likelihoods(
-    shape: Shape, flat: np.ndarray, symbols: np.ndarray, lengths: np.ndarray, window_rows: int = 8_192
+    shape: Shape, flat: np.ndarray, symbols: np.ndarray, lengths: np.ndarray, window_rows: int = 32_768
 ) -> np.ndarray:
     """Natural log likelihood of each whole document; ``symbols`` has them one after another.
 
@@ -222,12 +228,11 @@ def gradients(
     state: np.ndarray,
     real: np.ndarray | None = None,
     room: dict[str, np.ndarray] | None = None,
-    block_rows: int = 4_096,
 ) -> tuple[float, np.ndarray, np.ndarray]:
     """The mean loss of a window of ``steps x lanes`` tokens, its gradient, and the state after it.
 
     Where ``real`` is zero, and not one, there is no token: the place adds nothing. ``room`` keeps arrays for the next
-    window. Outputs go by blocks of ``block_rows``, which bounds memory, not results.
+    window.
     """
     at, slope = shape.views(flat), np.zeros_like(flat)
     to, units = shape.views(slope), _Recurrence.of(at)
@@ -243,20 +248,20 @@ def gradients(
     reading = np.ascontiguousarray(read).ravel()
     inward = units.table.take(reading, 1, space("inward", 3, n, w), "clip").reshape(3, steps, lanes, w)
     going = (read != END).astype(np.float32)[:, :, None]
-    before, keeps, resets, proposals, states = (
-        space(x, steps, lanes, w) for x in ("before", "keeps", "resets", "proposals", "states")
-    )
+    before, proposals, states = (space(x, steps, lanes, w) for x in ("before", "proposals", "states"))
+    both = space("gates", steps, 2, lanes, w)
     for t in range(steps):
         np.multiply(state, going[t], out=before[t])
-        keeps[t], resets[t], proposals[t], state = units.step(inward[:, t], before[t])
-        states[t] = state
+        *_, state = units.step(inward[:, t], before[t], both[t], proposals[t], states[t])
+    # The arrays are used again.
+    state = state.copy()
 
     flat_states, symbols = states.reshape(n, w), wanted.ravel()
     classes = shape.class_of(symbols)
     real = None if real is None else real.ravel().astype(np.float32)
     loss, back = 0.0, space("back", n, w)
-    for low in range(0, n, block_rows):
-        own = slice(low, min(low + block_rows, n))
+    for low in range(0, n, _BLOCK_ROWS):
+        own = slice(low, min(low + _BLOCK_ROWS, n))
         error = np.matmul(flat_states[own], at["class_out"], out=space("classes", own.stop - low, shape.classes))
         error += at["class_bias"]
         loss += _errors(error, classes[own], None if real is None else real[own])
@@ -281,7 +286,7 @@ def gradients(
     later = np.zeros((lanes, w), np.float32)
     recall, gates = np.ascontiguousarray(at["recall"].T), 2 * units.gates.transpose(0, 2, 1)
     for t in reversed(range(steps)):
-        d, keep, reset, proposed, old = back[t], keeps[t], resets[t], proposals[t], before[t]
+        d, (keep, reset), proposed, old = back[t], both[t], proposals[t], before[t]
         d += later
         kept = d * keep
         d -= kept
@@ -302,24 +307,21 @@ def gradients(
         later += kept
         later += through
         later *= going[t]
+        # What the proposed state was of, for its weights' slope.
+        np.multiply(reset, old, out=proposed)
     old, d_inward = before.reshape(n, w), d_inward.reshape(3, n, w)
     for k in range(2):
         to["gates"][:, k * w : (k + 1) * w] = (d_inward[k].T @ old).T
-    resets *= before
-    to["recall"][:] = (d_inward[2].T @ resets.reshape(n, w)).T
-    # The states are free by now, and what went back to them as well.
-    embedded, d_embedded = at["embed"].take(reading, 0, flat_states, "clip"), back.reshape(n, w)
-    for k in range(3):
-        own = slice(k * w, (k + 1) * w)
-        to["inward"][:, own] = (d_inward[k].T @ embedded).T
-        to["inward_bias"][own] = d_inward[k].sum(0)
-        if k == 0:
-            np.matmul(d_inward[k], at["inward"][:, own].T, out=d_embedded)
-        else:
-            d_embedded += np.matmul(d_inward[k], at["inward"][:, own].T, out=keeps.reshape(n, w))
+    to["recall"][:] = (d_inward[2].T @ proposals.reshape(n, w)).T
+    # Slopes are added up by the symbol that was read, and then go through the weights of symbols.
     order = _in_order(reading, shape.symbols)
     found, firsts = np.unique(reading[order], return_index=True)
-    to["embed"][found] = np.add.reduceat(d_embedded.take(order, 0, keeps.reshape(n, w), "clip"), firsts)
+    for k in range(3):
+        own = slice(k * w, (k + 1) * w)
+        sums = np.add.reduceat(d_inward[k].take(order, 0, back.reshape(n, w), "clip"), firsts)
+        to["inward"][:, own] = at["embed"][found].T @ sums
+        to["inward_bias"][own] = sums.sum(0)
+        to["embed"][found] += sums @ at["inward"][:, own].T
     total = n if real is None else max(float(real.sum()), 1.0)
     slope /= total
     return loss / total, slope, state

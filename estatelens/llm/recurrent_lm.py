@@ -46,7 +46,7 @@ LOOKUP_WORDS = 1 << 17
 _HELD_WORDS = 2_000_000
 _BLOCK_TOKENS = 1 << 20
 _CHUNK = 1024
-_SCORE_BYTES = 4 << 20
+_SCORE_BYTES = 8 << 20
 
 #: The end's place among the hashes of words.
 _END_HASH = 0
