@@ -17,6 +17,15 @@ END = 0
 #: Rows whose classes are worked out at once: what they need stays in a core's cache.
 _BLOCK_ROWS = 2_048
 
+#: Documents that take a step at once, for the same reason.
+_STEP_ROWS = 1_024
+
+#: Up to here exponentials and their sums are far from the ends of a float's range.
+_FAR = 60
+
+#: As arrays: a Python number costs a small step more than its arithmetic.
+_ONE, _TWO = (np.full((), x, np.float32) for x in (1, 2))
+
 
 @dataclass(frozen=True)
 class Shape:
@@ -87,11 +96,8 @@ def first_parameters(shape: Shape, counts: np.ndarray, seed: int = 11) -> np.nda
 
 def _exponentials(logits: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The log probability of each row's picked column, and the rows' sums of exponentials, which replace ``logits``."""
-    peak = logits.max()
-    if peak - logits.min() > 60:
-        # One peak for all rows would leave nothing of the lowest ones.
-        peak = logits.max(1, keepdims=True)
-    logits -= peak
+    if max(logits.max(initial=0), -logits.min(initial=0)) > _FAR:
+        logits -= logits.max(1, keepdims=True)
     found = logits[np.arange(len(logits)), picked]
     np.exp(logits, out=logits)
     sums = logits @ np.ones(logits.shape[1], logits.dtype)
@@ -128,8 +134,12 @@ def _by_class(shape: Shape, classes: np.ndarray) -> tuple[np.ndarray, list[tuple
 
 @dataclass(frozen=True)
 class _Recurrence:
-    """The weights of a step, gate by gate: halves for keep and reset, so that a sigmoid is one tanh; ``table``
-    holds what each symbol adds to keep, reset and the proposed state."""
+    """The weights of a step, gate by gate: negative for keep and reset and twice that for the proposed state, so that
+    a sigmoid is one over one plus one exponential and a tanh two over it less one; an exponential costs numpy half a
+    tanh. ``table`` holds what each symbol adds to keep, reset and the proposed state.
+
+    Exponentials may overflow to infinity, which gives the right end; callers keep numpy from warning.
+    """
 
     table: np.ndarray
     gates: np.ndarray
@@ -139,20 +149,24 @@ class _Recurrence:
     def of(cls, at: dict[str, np.ndarray]) -> _Recurrence:
         w = at["recall"].shape[0]
         table = (at["embed"] @ at["inward"] + at["inward_bias"]).reshape(-1, 3, w).transpose(1, 0, 2).copy()
-        table[:2] *= 0.5
-        return cls(table, at["gates"].reshape(w, 2, w).transpose(1, 0, 2) * np.float32(0.5), at["recall"])
+        table[:2] *= -1
+        table[2] *= -2
+        return cls(table, -at["gates"].reshape(w, 2, w).transpose(1, 0, 2), at["recall"] * np.float32(-2))
 
     def step(self, inward: np.ndarray, state: np.ndarray, gate=None, proposed=None, after=None):
         """One token: the gates, the proposed state and the next one, in the arrays given for them."""
         gate = np.matmul(state, self.gates, out=gate)
         gate += inward[:2]
-        np.tanh(gate, out=gate)
-        gate += 1.0
-        gate *= 0.5
+        np.exp(gate, out=gate)
+        gate += _ONE
+        np.reciprocal(gate, out=gate)
         keep, reset = gate
         proposed = np.matmul(reset * state, self.recall, out=proposed)
         proposed += inward[2]
-        np.tanh(proposed, out=proposed)
+        np.exp(proposed, out=proposed)
+        proposed += _ONE
+        np.divide(_TWO, proposed, out=proposed)
+        proposed -= _ONE
         after = np.subtract(state, proposed, out=after)
         after *= keep
         after += proposed
@@ -186,35 +200,36 @@ def log_likelihoods(
     Documents go side by side, the longest first, each with its own state from its first token to its last.
     Outputs are taken for a window of ``window_rows`` states at a time, which bounds memory, not results.
     """
-    at = shape.views(flat)
+    at, w = shape.views(flat), shape.width
     units = _Recurrence.of(at)
     order = np.argsort(-lengths, kind="stable")
     sorted_lengths = lengths[order]
     starts = (np.cumsum(lengths) - lengths)[order]
     total = np.zeros(len(lengths))
-    state = np.zeros((int((lengths > 0).sum()), shape.width), np.float32)
-    read = np.zeros(len(state), np.int64)
-    seen: list[np.ndarray] = []
+    side = int((lengths > 0).sum())
+    gates, proposed = (np.empty((*x, min(side, _STEP_ROWS), w), np.float32) for x in ((2,), ()))
+    states = np.empty((window_rows + side, w), np.float32)
+    state, read = np.zeros((side, w), np.float32), np.full(side, END)
+    wanted: list[np.ndarray] = []
     waiting = 0
 
-    def flush() -> None:
-        states = np.concatenate(seen)
-        owners = np.concatenate([np.arange(len(x)) for x in seen])
-        steps = np.repeat(np.arange(step - len(seen) + 1, step + 1), [len(x) for x in seen])
-        logs = next_log_probabilities(shape, at, states, symbols[starts[owners] + steps])
-        np.add.at(total, owners, logs)
-
     most = int(sorted_lengths[0]) if len(lengths) else 0
-    left = len(lengths) - np.searchsorted(sorted_lengths[::-1], np.arange(most), "right") if most else []
-    for step in range(most):
-        n = int(left[step])
-        *_, state = units.step(units.table.take(read[:n], 1), state[:n])
-        seen.append(state)
-        waiting += n
-        read = symbols[starts[:n] + step]
-        if waiting >= window_rows or step == most - 1:
-            flush()
-            seen, waiting = [], 0
+    left = (len(lengths) - np.searchsorted(sorted_lengths[::-1], np.arange(most), "right")).tolist() if most else []
+    with np.errstate(over="ignore"):
+        for step, n in enumerate(left):
+            after = states[waiting : waiting + n]
+            for low in range(0, n, _STEP_ROWS):
+                own = slice(low, min(low + _STEP_ROWS, n))
+                m = own.stop - low
+                units.step(units.table.take(read[own], 1), state[own], gates[:, :m], proposed[:m], after[own])
+            state, read = after, symbols[starts[:n] + step]
+            wanted.append(read)
+            waiting += n
+            if waiting >= window_rows or step == most - 1:
+                owners = np.concatenate([np.arange(len(x)) for x in wanted])
+                logs = next_log_probabilities(shape, at, states[:waiting], np.concatenate(wanted))
+                total[:side] += np.bincount(owners, logs, side)
+                state, wanted, waiting = state.copy(), [], 0
     out = np.zeros(len(lengths))
     out[order] = total
     return out
@@ -250,13 +265,14 @@ def gradients(
     going = (read != END).astype(np.float32)[:, :, None]
     before, proposals, states = (space(x, steps, lanes, w) for x in ("before", "proposals", "states"))
     both = space("gates", steps, 2, lanes, w)
-    for t in range(steps):
-        np.multiply(state, going[t], out=before[t])
-        *_, state = units.step(inward[:, t], before[t], both[t], proposals[t], states[t])
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            np.multiply(state, going[t], out=before[t])
+            *_, state = units.step(inward[:, t], before[t], both[t], proposals[t], states[t])
     # The arrays are used again.
     state = state.copy()
 
-    flat_states, symbols = states.reshape(n, w), wanted.ravel()
+    flat_states, symbols, ones = states.reshape(n, w), wanted.ravel(), np.ones(n, np.float32)
     classes = shape.class_of(symbols)
     real = None if real is None else real.ravel().astype(np.float32)
     loss, back = 0.0, space("back", n, w)
@@ -266,7 +282,7 @@ def gradients(
         error += at["class_bias"]
         loss += _errors(error, classes[own], None if real is None else real[own])
         to["class_out"] += (error.T @ flat_states[own]).T
-        to["class_bias"] += error.sum(0)
+        to["class_bias"] += ones[own] @ error
         np.matmul(error, at["class_out"].T, out=back[own])
     order, parts = _by_class(shape, classes)
     seen = flat_states.take(order, 0, space("seen", len(order), w), "clip")
@@ -276,7 +292,7 @@ def gradients(
         error += at["word_bias"][low:high]
         loss += _errors(error, picked[own] - low, None if real is None else real[order[own]])
         to["word_out"][low:high] = error.T @ seen[own]
-        to["word_bias"][low:high] = error.sum(0)
+        to["word_bias"][low:high] = ones[own] @ error
         np.matmul(error, at["word_out"][low:high], out=inside[own])
     back[order] += inside
 
@@ -284,7 +300,7 @@ def gradients(
     # What was read of a step is not needed after its slopes: they take its place.
     d_inward = inward
     later = np.zeros((lanes, w), np.float32)
-    recall, gates = np.ascontiguousarray(at["recall"].T), 2 * units.gates.transpose(0, 2, 1)
+    recall, gates = np.ascontiguousarray(at["recall"].T), -units.gates.transpose(0, 2, 1)
     for t in reversed(range(steps)):
         d, (keep, reset), proposed, old = back[t], both[t], proposals[t], before[t]
         d += later
@@ -311,8 +327,8 @@ def gradients(
         np.multiply(reset, old, out=proposed)
     old, d_inward = before.reshape(n, w), d_inward.reshape(3, n, w)
     for k in range(2):
-        to["gates"][:, k * w : (k + 1) * w] = (d_inward[k].T @ old).T
-    to["recall"][:] = (d_inward[2].T @ proposals.reshape(n, w)).T
+        to["gates"][:, k * w : (k + 1) * w] = old.T @ d_inward[k]
+    to["recall"][:] = proposals.reshape(n, w).T @ d_inward[2]
     # Slopes are added up by the symbol that was read, and then go through the weights of symbols.
     order = _in_order(reading, shape.symbols)
     found, firsts = np.unique(reading[order], return_index=True)

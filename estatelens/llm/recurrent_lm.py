@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,9 @@ _BLOCK_TOKENS = 1 << 20
 _CHUNK = 1024
 _SCORE_BYTES = 8 << 20
 
+#: Leading bits of a hash by which known words are looked up.
+_LEADING_BITS = 20
+
 #: The end's place among the hashes of words.
 _END_HASH = 0
 _NO_CLASS = -1
@@ -126,12 +130,27 @@ class Vocabulary:
     symbol_counts: np.ndarray
     scale: np.ndarray
 
+    @cached_property
+    def _firsts(self) -> np.ndarray:
+        """Of each value of a hash's leading bits: the place of the first known word with it or a higher one."""
+        leading = (self.hashes >> np.uint64(64 - _LEADING_BITS)).astype(np.int64)
+        sizes = np.bincount(leading, minlength=1 << _LEADING_BITS)
+        return (np.cumsum(sizes) - sizes).astype(np.int32)
+
+    @cached_property
+    def _bounded(self) -> np.ndarray:
+        """The hashes and the largest number, beyond which no search goes."""
+        return np.append(self.hashes, np.uint64(2**64 - 1))
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The place of each word among ``hashes``; -1 for others."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        known = self._bounded
+        at = self._firsts[(hashes >> np.uint64(64 - _LEADING_BITS)).astype(np.int64)].astype(np.int64)
+        behind = np.flatnonzero(known[at] < hashes)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[known[at[behind]] < hashes[behind]]
+        return np.where((known[at] == hashes) & (at < len(self.hashes)), at, -1)
 
     def read(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each word: its hash, its place among the known ones, its symbol and its class as a rare one."""
@@ -198,24 +217,9 @@ def symbol_type(shape: Shape) -> str:
     return "<u2" if shape.symbols <= 1 << 16 else "<i4"
 
 
-def _streams(docs: DataFrame, vocabulary, rounds: int) -> DataFrame:
-    """``turn, stream``: the symbols of the documents, by the round they train in."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary.value
-        for batch in batches:
-            for piece in pieces(batch):
-                words = Words(text_bytes(piece.column("text")), SPACED_BYTES, lower=True)
-                stream, lengths = known.stream(words, known.read(words)[2])
-                turn = np.repeat(piece.column("turn").to_numpy(), lengths)
-                parts = [(r, stream[turn == r].astype(symbol_type(known.shape)).tobytes()) for r in range(rounds)]
-                parts = [x for x in parts if x[1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in parts], pa.int32()), pa.array([x[1] for x in parts], pa.binary())],
-                    ["turn", "stream"],
-                )
-
-    return docs.mapInArrow(emit, "turn int, stream binary")
+def _streams(read: DataFrame, rounds: int) -> DataFrame:
+    """``turn, stream``: the symbols of each document that trains, and its round."""
+    return read.where(F.col("turn") < rounds).select("turn", "stream")
 
 
 def _trained_round(streams: DataFrame, turn: int, tasks: int, shape: Shape, flat: np.ndarray, rate: float) -> np.ndarray:
@@ -257,16 +261,13 @@ def _trained_round(streams: DataFrame, turn: int, tasks: int, shape: Shape, flat
 
 
 def trained_network(
-    docs: DataFrame, vocabulary: Vocabulary, shared, one_of: int = TRAIN_ONE_OF, rounds: int = ROUNDS, rate: float = RATE
+    read: DataFrame, vocabulary: Vocabulary, one_of: int = TRAIN_ONE_OF, rounds: int = ROUNDS, rate: float = RATE
 ) -> np.ndarray:
-    """The network's parameters after all rounds over ``docs``: each document is in one round.
+    """The network's parameters after all rounds over documents as ``_read`` has them: each is in one round.
 
-    In which, a hash of id and text says. ``shared`` is the vocabulary as broadcast. A caller who wants to train on
-    one of ``one_of`` documents only can say so; the query does not.
+    ``turn`` says in which; those whose turn is null or beyond the rounds do not train.
     """
-    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_of * rounds)).cast("int")
-    drawn = docs.select("text", turn.alias("turn")).where(F.col("turn") < rounds)
-    streams = _streams(drawn, shared, rounds).checkpoint()
+    streams = _streams(read, rounds)
     expected = vocabulary.tokens / one_of / rounds
     tasks = int(np.clip(expected / TASK_TOKENS, 1, MOST_TASKS))
     flat = first_parameters(vocabulary.shape, vocabulary.symbol_counts)
@@ -275,10 +276,11 @@ def trained_network(
     return flat
 
 
-_SCORED = (
-    "row bigint, doc_id {}, held_out boolean, n_tokens bigint, n_known bigint, count_logs double, model_logs double, "
-    "words array<bigint>, times array<int>"
+_READ = (
+    "row bigint, doc_id {}, held_out boolean, turn int, n_tokens bigint, n_known bigint, count_logs double, "
+    "rare_logs double, words array<bigint>, times array<int>, stream binary"
 )
+_SCORED = "row bigint, doc_id {}, held_out boolean, n_tokens bigint, n_known bigint, count_logs double, model_logs double"
 
 
 def _lists(owner: np.ndarray, values: pa.Array, texts: int) -> pa.ListArray:
@@ -286,8 +288,15 @@ def _lists(owner: np.ndarray, values: pa.Array, texts: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
-def _scored_piece(piece: pa.RecordBatch, known: Vocabulary, flat: np.ndarray) -> pa.RecordBatch:
-    """What tasks can say of each document, and the words whose counts they do not have."""
+def _binaries(values: np.ndarray, lengths: np.ndarray) -> pa.BinaryArray:
+    """The bytes of ``values`` in runs of the given lengths."""
+    offsets = (np.concatenate([[0], np.cumsum(lengths)]) * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _read_piece(piece: pa.RecordBatch, known: Vocabulary) -> pa.RecordBatch:
+    """What tasks can say of each document before there is a network, its symbols, and the words whose counts they do
+    not have."""
     words = Words(text_bytes(piece.column("text")), SPACED_BYTES, lower=True)
     texts = piece.num_rows
     hashes, place, symbols, kinds = known.read(words)
@@ -296,7 +305,6 @@ def _scored_piece(piece: pa.RecordBatch, known: Vocabulary, flat: np.ndarray) ->
     log_count = np.zeros(len(words))
     log_count[found] = np.log10(known.counts[place[found]] + 1.0)
     stream, lengths = known.stream(words, symbols)
-    network = log_likelihoods(known.shape, flat, stream, lengths) / np.log(10)
     within = np.where(rare, log_count - known.scale[kinds], 0.0)
     pair = np.lexsort((hashes[~found], owner[~found]))
     who, what = owner[~found][pair], hashes[~found][pair]
@@ -309,14 +317,39 @@ def _scored_piece(piece: pa.RecordBatch, known: Vocabulary, flat: np.ndarray) ->
             piece.column("row"),
             piece.column("doc_id"),
             piece.column("held_out"),
+            piece.column("turn"),
             pa.array(lengths.astype(np.int64)),
             pa.array(known_tokens.astype(np.int64)),
             pa.array(np.bincount(owner, log_count, texts) + np.log10(known.ends + 1.0)),
-            pa.array(network + np.bincount(owner, within, texts)),
+            pa.array(np.bincount(owner, within, texts)),
             _lists(who[firsts], signed(what[firsts]), texts),
             _lists(who[firsts], pa.array(times), texts),
+            _binaries(stream.astype(symbol_type(known.shape)), lengths),
         ],
-        ["row", "doc_id", "held_out", "n_tokens", "n_known", "count_logs", "model_logs", "words", "times"],
+        ["row", "doc_id", "held_out", "turn", "n_tokens", "n_known", "count_logs", "rare_logs", "words", "times", "stream"],
+    )
+
+
+def _read(docs: DataFrame, shared) -> DataFrame:
+    """Each row of ``row, doc_id, held_out, turn, text`` as ``_READ``: texts are cut into words once, for training
+    and scoring. ``shared`` is the vocabulary as broadcast."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                yield _read_piece(piece, shared.value)
+
+    return docs.mapInArrow(emit, _READ.format(docs.schema["doc_id"].dataType.simpleString()))
+
+
+def _scored_piece(piece: pa.RecordBatch, shape: Shape, flat: np.ndarray) -> pa.RecordBatch:
+    """The documents' log10 probabilities by the network, with those of rare words in their classes."""
+    symbols = np.frombuffer(b"".join(piece.column("stream").to_pylist()), symbol_type(shape)).astype(np.int64)
+    network = log_likelihoods(shape, flat, symbols, piece.column("n_tokens").to_numpy()) / np.log(10)
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "count_logs"]
+    return pa.RecordBatch.from_arrays(
+        [*(piece.column(x) for x in names), pa.array(network + piece.column("rare_logs").to_numpy())],
+        [*names, "model_logs"],
     )
 
 
@@ -344,21 +377,24 @@ def score_documents(
     spark = docs.sparkSession
     shared_folder(spark)
     given = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    learned = given.where(~F.col("held_out"))
-    counts = token_counts(learned, rare_classes).checkpoint()
+    counts = token_counts(given.where(~F.col("held_out")), rare_classes).checkpoint()
     vocabulary = known_words(counts, network_words, class_words, rare_classes, width, lookup)
-    shared = spark.sparkContext.broadcast(vocabulary)
-    network = spark.sparkContext.broadcast(trained_network(learned, vocabulary, shared, one_of, rounds))
+    # In which round a document trains, a hash of id and text says; with one_of, those beyond the rounds do not train.
+    turn = F.when(~F.col("held_out"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_of * rounds)).cast("int"))
+    numbered = given.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", turn.alias("turn"), "text")
+    # Written, so that a row keeps its number whatever is computed again.
+    read = _read(numbered, spark.sparkContext.broadcast(vocabulary)).checkpoint()
+    network = spark.sparkContext.broadcast(trained_network(read, vocabulary, one_of, rounds))
+    shape = vocabulary.shape
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, size=_SCORE_BYTES):
-                yield _scored_piece(piece, shared.value, network.value)
+            for piece in pieces(batch, "stream", _SCORE_BYTES):
+                yield _scored_piece(piece, shape, network.value)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # Written, so that a row keeps its number whatever is computed again.
-    scored = given.withColumn("row", F.monotonically_increasing_id()).mapInArrow(score, _SCORED.format(kind)).checkpoint()
-    left = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.*")
+    scored = read.drop("turn", "words", "times").mapInArrow(score, _SCORED.format(kind)).checkpoint()
+    left = read.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.*")
     met = left.join(counts.select(F.col("word").alias("words"), "n"), "words")
     more = met.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"), F.sum("times").alias("known")
